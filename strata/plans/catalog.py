@@ -276,13 +276,13 @@ SQL: dict[str, Callable[[], str]] = {
     "silver_valid_customers": _one(_sql_all_silver),
     "revenue_by_country": _one(
         _sql_all_silver,
-        lambda t: f"SELECT country, count(*) AS customer_count, round(sum(revenue_ytd), 2) AS total_revenue, "
-        f"round(avg(revenue_ytd), 2) AS avg_revenue FROM {t} GROUP BY country",
+        lambda t: f"SELECT country, count(*) AS customer_count, {O.round2('sum(revenue_ytd)')} AS total_revenue, "
+        f"{O.round2('avg(revenue_ytd)')} AS avg_revenue FROM {t} GROUP BY country",
     ),
     "revenue_by_segment": _one(
         _sql_all_silver,
         lambda t: f"SELECT country, revenue_tier, count(*) AS customer_count, "
-        f"round(sum(revenue_ytd), 2) AS total_revenue FROM {t} GROUP BY country, revenue_tier",
+        f"{O.round2('sum(revenue_ytd)')} AS total_revenue FROM {t} GROUP BY country, revenue_tier",
     ),
     "latest_per_customer": lambda: O.latest(f"({O.STATES})", SRC),
     "scd1_customers": _one(_sql_all_silver, lambda t: O.latest(t, SILVER)),

@@ -62,6 +62,12 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 """
 
 
+def round2(expr: str) -> str:
+    """Spark's ``round(x, 2)`` on a double: HALF_UP applied to the value's shortest
+    decimal text (``210390.565`` -> ``210390.57``), not to its binary value."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 10)), 2) AS DOUBLE)"
+
+
 def cols(names: Sequence[str], alias: str | None = None) -> str:
     return ", ".join(f"{alias}.{c}" if alias else c for c in names)
 
