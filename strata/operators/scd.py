@@ -145,47 +145,20 @@ def _align(
     return existing, incoming
 
 
-def scd2_changes(
+def _merge_keyed(
     existing: DataFrame,
     incoming: DataFrame,
-    key: str = CUSTOMER_KEY,
-    order: str = CUSTOMER_ORDER,
-    tracked: Sequence[str] | None = None,
-    *,
-    compare: str = "hash",
-    absent: str = "keep",
-    close_absent_at: datetime | Column | None = None,
-    late: str = "apply",
-    allow_missing_columns: bool = False,
-) -> DataFrame:
-    """New state of the current slice, with a :data:`CHANGE` column per row.
-
-    ``existing`` is the whole dimension (only its current rows are read) and
-    ``incoming`` a snapshot that may hold several rows per key. Output rows:
-
-    * ``new``       -- incoming key without a current row: inserted as current
-    * ``changed``   -- new current version of a key whose tracked values differ
-    * ``closed``    -- the previous version of such a key, ``effective_to`` set to
-      the incoming ordering value and ``is_current`` false
-    * ``unchanged`` -- current row whose incoming row has equal tracked values;
-      the old row is kept as it is (old ``updated_at`` and untracked values)
-    * ``absent``    -- current row whose key is not in the snapshot (no delete
-      detection unless ``absent="close"``)
-
-    Options:
-
-    * ``compare="hash"`` compares versioned SHA-256 change hashes (values cast
-      to text, so ``-0.0`` differs from ``0.0`` and values containing the
-      separator can collide); ``"struct"`` compares the values themselves with
-      null-safe equality.
-    * ``absent="close"`` closes current rows missing from the snapshot at
-      ``close_absent_at``.
-    * ``late="ignore"`` keeps the current row when the incoming row is not
-      newer than its ``effective_from`` (default applies it anyway, which can
-      give ``effective_to < effective_from``).
-    * ``allow_missing_columns`` pads columns present on one side only with nulls
-      instead of raising :class:`SchemaMismatchError`.
-    """
+    key: str,
+    order: str,
+    tracked: Sequence[str] | None,
+    compare: str,
+    absent: str,
+    close_absent_at: datetime | Column | None,
+    late: str,
+    allow_missing_columns: bool,
+) -> tuple[DataFrame, DataFrame, dict[str, DataType], list[str]]:
+    """Join part of the merge. Returns (merged keyed rows with :data:`CHANGE`,
+    aligned existing dimension, output types, output column order)."""
     if compare not in ("hash", "struct"):
         raise ValueError("compare must be 'hash' or 'struct'")
     if absent not in ("keep", "close"):
@@ -210,9 +183,7 @@ def scd2_changes(
     target = {c: _common_type(spark, ex_types[c], in_types[c]) for c in out_cols}
 
     latest = latest_per_key(incoming.select(*src_cols), key, order)
-    current = current_rows(existing)
-    keyed_current = current.filter(F.col(key).isNotNull())
-    null_key_current = current.filter(F.col(key).isNull())
+    keyed_current = current_rows(existing).filter(F.col(key).isNotNull())
 
     n = latest.withColumn(_N, F.lit(True))
     o = keyed_current.withColumn(_O, F.lit(True))
@@ -262,11 +233,60 @@ def scd2_changes(
         .when(has_n, F.array(row(kept, UNCHANGED)))
         .otherwise(F.array(absent_row))
     )
-    merged = joined.select(F.inline(emitted))
+    return joined.select(F.inline(emitted)), existing, target, out_cols
+
 
-    carried = null_key_current.select(
-        *[F.col(c).cast(target[c]).alias(c) for c in out_cols], F.lit(ABSENT).alias(CHANGE)
+def _cast_to(df: DataFrame, target: dict[str, DataType], out_cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast(target[c]).alias(c) for c in out_cols])
+
+
+def scd2_changes(
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str = CUSTOMER_KEY,
+    order: str = CUSTOMER_ORDER,
+    tracked: Sequence[str] | None = None,
+    *,
+    compare: str = "hash",
+    absent: str = "keep",
+    close_absent_at: datetime | Column | None = None,
+    late: str = "apply",
+    allow_missing_columns: bool = False,
+) -> DataFrame:
+    """New state of the current slice, with a :data:`CHANGE` column per row.
+
+    ``existing`` is the whole dimension (only its current rows are read) and
+    ``incoming`` a snapshot that may hold several rows per key. Output rows:
+
+    * ``new``       -- incoming key without a current row: inserted as current
+    * ``changed``   -- new current version of a key whose tracked values differ
+    * ``closed``    -- the previous version of such a key, ``effective_to`` set to
+      the incoming ordering value and ``is_current`` false
+    * ``unchanged`` -- current row whose incoming row has equal tracked values;
+      the old row is kept as it is (old ``updated_at`` and untracked values)
+    * ``absent``    -- current row whose key is not in the snapshot (no delete
+      detection unless ``absent="close"``); current rows with a null key,
+      which can never match, are always carried as ``absent``
+
+    Options:
+
+    * ``compare="hash"`` compares versioned SHA-256 change hashes (values cast
+      to text, so ``-0.0`` differs from ``0.0`` and values containing the
+      separator can collide); ``"struct"`` compares the values themselves with
+      null-safe equality.
+    * ``absent="close"`` closes current rows missing from the snapshot at
+      ``close_absent_at``.
+    * ``late="ignore"`` keeps the current row when the incoming row is not
+      newer than its ``effective_from`` (default applies it anyway, which can
+      give ``effective_to < effective_from``).
+    * ``allow_missing_columns`` pads columns present on one side only with nulls
+      instead of raising :class:`SchemaMismatchError`.
+    """
+    merged, existing, target, out_cols = _merge_keyed(
+        existing, incoming, key, order, tracked, compare, absent, close_absent_at, late, allow_missing_columns
     )
+    null_key_current = current_rows(existing).filter(F.col(key).isNull())
+    carried = _cast_to(null_key_current, target, out_cols).withColumn(CHANGE, F.lit(ABSENT))
     return merged.unionByName(carried)
 
 
@@ -276,23 +296,25 @@ def scd2_merge(
     key: str = CUSTOMER_KEY,
     order: str = CUSTOMER_ORDER,
     tracked: Sequence[str] | None = None,
-    **options,
+    *,
+    compare: str = "hash",
+    absent: str = "keep",
+    close_absent_at: datetime | Column | None = None,
+    late: str = "apply",
+    allow_missing_columns: bool = False,
 ) -> DataFrame:
-    """The whole new dimension: untouched history + the merged current slice.
+    """The whole new dimension: untouched rows + the merged current slice.
 
-    Column order is the existing dimension's. See :func:`scd2_changes` for the
-    per-key rules and options.
+    Rows that cannot take part in the join -- history, and current rows with
+    a null key -- pass through in one filter over ``existing``. Column order is
+    the existing dimension's. See :func:`scd2_changes` for the per-key rules
+    and the options.
     """
-    changes = scd2_changes(existing, incoming, key, order, tracked, **options)
-    cols = changes.drop(CHANGE).columns
-    history = history_rows(with_hash_version(existing))
-    for c in cols:
-        if c not in history.columns:
-            history = history.withColumn(c, F.lit(None))
-    history = history.select(
-        *[F.col(c).cast(changes.schema[c].dataType).alias(c) for c in cols]
+    merged, existing, target, out_cols = _merge_keyed(
+        existing, incoming, key, order, tracked, compare, absent, close_absent_at, late, allow_missing_columns
     )
-    return history.unionByName(changes.drop(CHANGE))
+    untouched = existing.filter(~F.col(IS_CURRENT) | (F.col(IS_CURRENT) & F.col(key).isNull()))
+    return _cast_to(untouched, target, out_cols).unionByName(merged.drop(CHANGE))
 
 
 def apply_scd_type2(

@@ -145,6 +145,9 @@ class DimensionStore:
         c = self._commit_for(version)
         if c is None:
             raise ValueError("store is empty")
+        return self._read_commit(c)
+
+    def _read_commit(self, c: Commit) -> DataFrame:
         v, cur = F.col(VERSION), F.col(IS_CURRENT)
         rows = self._scan().filter(
             ((v == c.version) & cur) | (v.between(c.base, c.version) & ~cur)
@@ -156,6 +159,9 @@ class DimensionStore:
         c = self._commit_for(version)
         if c is None:
             raise ValueError("store is empty")
+        return self._read_current_commit(c)
+
+    def _read_current_commit(self, c: Commit) -> DataFrame:
         rows = self._scan().filter((F.col(VERSION) == c.version) & F.col(IS_CURRENT))
         return rows.select(*self.schema.fieldNames())
 
@@ -184,11 +190,11 @@ class DimensionStore:
         ``options`` go to :func:`strata.operators.scd.scd2_changes`. The first
         merge into an empty store loads the snapshot as version 1.
         """
-        last = self.latest()
-        if batch_id is not None and last is not None:
-            for c in self.commits():
-                if c.batch_id == batch_id:
-                    return c
+        commits = self.commits()
+        last = commits[-1] if commits else None
+        for c in commits:
+            if batch_id is not None and c.batch_id == batch_id:
+                return c
         if last is None:
             existing = empty_dimension(incoming, self.order)
             existing = existing.select(
@@ -196,7 +202,7 @@ class DimensionStore:
             )
             version, base = 1, 1
         else:
-            existing = self.read_current(last.version)
+            existing = self._read_current_commit(last)
             version, base = last.version + 1, last.base
         changes = scd2_changes(existing, incoming, self.key, self.order, **options)
         out = changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
