@@ -117,8 +117,17 @@ class DimensionStore:
         return commits[-1] if commits else None
 
     def _append_log(self, commit: Commit) -> None:
-        row = (commit.version, commit.base, commit.kind, commit.batch_id, datetime.now(timezone.utc).isoformat())
-        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").json(self.log_path)
+        values = {
+            "version": commit.version,
+            "base": commit.base,
+            "kind": commit.kind,
+            "batch_id": commit.batch_id,
+            "committed_at": datetime.now(timezone.utc).isoformat(),
+        }
+        row = self.spark.range(1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields]
+        )
+        row.write.mode("append").json(self.log_path)
 
     # ---- reads --------------------------------------------------------------
 
