@@ -317,6 +317,41 @@ def scd2_merge(
     return _cast_to(untouched, target, out_cols).unionByName(merged.drop(CHANGE))
 
 
+# ---- the row sets of one merge, each as its own DataFrame -------------------
+
+
+def new_or_changed_rows(existing: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
+    """Latest incoming rows whose key has no current row or whose tracked values differ."""
+    return _changes_of(existing, incoming, (NEW, CHANGED), **kw).drop(
+        *SCD2_COLUMNS
+    )
+
+
+def closed_rows(existing: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
+    """Current rows closed by the merge (``effective_to`` set, ``is_current`` false)."""
+    return _changes_of(existing, incoming, (CLOSED,), **kw)
+
+
+def inserted_rows(existing: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
+    """New current rows opened by the merge."""
+    return _changes_of(existing, incoming, (NEW, CHANGED), **kw)
+
+
+def unchanged_current_rows(existing: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
+    """Current rows carried forward: equal tracked values, or key not in the snapshot."""
+    return _changes_of(existing, incoming, (UNCHANGED, ABSENT), **kw)
+
+
+def historical_rows(existing: DataFrame) -> DataFrame:
+    """History rows, retained unchanged by every merge."""
+    return history_rows(with_hash_version(existing))
+
+
+def _changes_of(existing: DataFrame, incoming: DataFrame, kinds: tuple[str, ...], **kw) -> DataFrame:
+    changes = scd2_changes(existing, incoming, **kw)
+    return changes.filter(F.col(CHANGE).isin(*kinds)).drop(CHANGE)
+
+
 def apply_scd_type2(
     existing_scd2: DataFrame,
     incoming: DataFrame,

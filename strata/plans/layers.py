@@ -85,6 +85,38 @@ def customer_layers(bronze: DataFrame, existing_scd2: DataFrame | None = None) -
     return layers
 
 
+# ---------------------------------------------------------------------------
+# Datasets resolved by name
+# ---------------------------------------------------------------------------
+
+
+def compute_dataset(spark: SparkSession, name: str, **sources: str) -> DataFrame:
+    """Compute one dataset from its upstream datasets looked up with ``spark.table``.
+
+    This is how a pipeline runner (or a test with temp views as stand-ins)
+    evaluates a layer: ``silver_active_users`` reads the table or view named
+    ``bronze_users``, the golds and both dimensions read
+    ``silver_valid_customers``, and ``dim_customers_scd2`` reads its previous
+    state from the table named ``dim_customers_scd2``. Bronze datasets read
+    their file source from ``users_csv`` / ``customers_parquet`` keyword paths.
+    """
+    table = spark.table
+    computations = {
+        "bronze_users": lambda: read_users_csv(spark, sources["users_csv"]),
+        "silver_active_users": lambda: silver_users(table("bronze_users")),
+        "gold_user_count_by_country": lambda: user_count_by_country(table("silver_active_users")),
+        "bronze_customers": lambda: read_customers_parquet(spark, sources["customers_parquet"]),
+        "silver_valid_customers": lambda: silver_customers(table("bronze_customers")),
+        "gold_revenue_by_country": lambda: revenue_by_country(table("silver_valid_customers")),
+        "gold_revenue_by_segment": lambda: revenue_by_segment(table("silver_valid_customers")),
+        "dim_customers_scd1": lambda: scd1(table("silver_valid_customers")),
+        "dim_customers_scd2": lambda: scd2_merge(table("dim_customers_scd2"), table("silver_valid_customers")),
+    }
+    if name not in computations:
+        raise KeyError(f"unknown dataset {name!r}; known: {sorted(computations)}")
+    return computations[name]()
+
+
 # ---------------------------------------------------------------------------
 # Batch jobs
 # ---------------------------------------------------------------------------

@@ -86,3 +86,58 @@ def test_bronze_ingest_appends_new_files_only(spark, tmp_path):
     fx.customers(spark, fx.ZOE_MAR).write.mode("append").parquet(src)
     ingest_stream(read_stream(spark, src, CUSTOMER_SCHEMA), out, checkpoint=ckpt).awaitTermination(120)
     assert sorted(r.customer_id for r in spark.read.parquet(out).collect()) == ["C001", "C999"]
+
+
+def test_datasets_resolved_by_name(spark):
+    from strata.plans.layers import compute_dataset
+
+    fx.users(spark, fx.MIXED_USERS[:3]).createOrReplaceTempView("bronze_users")
+    bronze = fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN, fx.NULL_ID_JAN)
+    bronze.createOrReplaceTempView("bronze_customers")
+    try:
+        silver_users_df = compute_dataset(spark, "silver_active_users")
+        assert "full_name" in silver_users_df.columns and silver_users_df.count() == 2
+        silver_users_df.createOrReplaceTempView("silver_active_users")
+        assert set(compute_dataset(spark, "gold_user_count_by_country").columns) == {"country", "user_count"}
+        silver = compute_dataset(spark, "silver_valid_customers")
+        assert {"full_name", "revenue_tier"} <= set(silver.columns) and silver.count() == 2
+        silver.createOrReplaceTempView("silver_valid_customers")
+        empty_dimension(silver).createOrReplaceTempView("dim_customers_scd2")
+        assert compute_dataset(spark, "dim_customers_scd1").count() == 2
+        assert compute_dataset(spark, "dim_customers_scd2").filter(F.col("is_current")).count() == 2
+        assert set(compute_dataset(spark, "gold_revenue_by_segment").columns) == {
+            "country", "revenue_tier", "customer_count", "total_revenue"
+        }
+        with pytest.raises(KeyError):
+            compute_dataset(spark, "nope")
+    finally:
+        for v in ("bronze_users", "silver_active_users", "bronze_customers", "silver_valid_customers", "dim_customers_scd2"):
+            spark.catalog.dropTempView(v)
+
+
+def test_declarative_definitions_raise_outside_a_runner(spark, tmp_path):
+    from pyspark.errors import PySparkRuntimeError
+
+    from strata.plans.declarative import define_customer_datasets, define_user_datasets
+
+    with pytest.raises(PySparkRuntimeError):
+        define_user_datasets(str(tmp_path), spark)
+    with pytest.raises(PySparkRuntimeError):
+        define_customer_datasets(str(tmp_path), spark)
+
+
+def test_merge_row_sets(spark):
+    from strata.operators.scd import (
+        closed_rows,
+        historical_rows,
+        inserted_rows,
+        new_or_changed_rows,
+        unchanged_current_rows,
+    )
+
+    state, snap = fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR_99, fx.ZOE_MAR)
+    assert sorted(r.customer_id for r in new_or_changed_rows(state, snap).collect()) == ["C001", "C999"]
+    assert [(r.customer_id, r.effective_to) for r in closed_rows(state, snap).collect()] == [("C001", fx.T3)]
+    assert sorted(r.customer_id for r in inserted_rows(state, snap).collect()) == ["C001", "C999"]
+    assert [r.customer_id for r in unchanged_current_rows(state, snap).collect()] == ["C002"]
+    assert [r.revenue_ytd for r in historical_rows(state).collect()] == [75_000.0]
