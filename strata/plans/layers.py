@@ -156,12 +156,15 @@ def run_customer_job(
     batch_id: int | None = None,
     strict: bool = False,
     register: bool = False,
+    scd2_buckets: int | None = None,
     **scd2_options,
 ) -> Commit:
     """Parquet -> bronze -> silver -> golds, SCD1, and one SCD2 merge.
 
     The SCD2 dimension lives in a :class:`DimensionStore` under
     ``warehouse/dim_customers_scd2``; the returned commit names the new version.
+    ``scd2_buckets`` keeps its current slice bucketed by ``customer_id`` so a
+    merge shuffles only the incoming snapshot.
     """
     ds = {d.name: d for d in CUSTOMER_DATASETS}
     bronze_src = read_customers_parquet(spark, source_parquet, strict=strict)
@@ -170,9 +173,12 @@ def run_customer_job(
     _materialize(spark, revenue_by_country(silver), warehouse, ds["gold_revenue_by_country"], register)
     _materialize(spark, revenue_by_segment(silver), warehouse, ds["gold_revenue_by_segment"], register)
     _materialize(spark, scd1(silver), warehouse, ds["dim_customers_scd1"], register)
-    return customer_dimension(spark, warehouse, silver.schema).merge(silver, batch_id=batch_id, **scd2_options)
+    store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
+    return store.merge(silver, batch_id=batch_id, **scd2_options)
 
 
-def customer_dimension(spark: SparkSession, warehouse: str, silver_schema) -> DimensionStore:
+def customer_dimension(
+    spark: SparkSession, warehouse: str, silver_schema, buckets: int | None = None
+) -> DimensionStore:
     """The SCD2 store of the customer flow."""
-    return DimensionStore(spark, _path(warehouse, "dim_customers_scd2"), scd2_schema(silver_schema))
+    return DimensionStore(spark, _path(warehouse, "dim_customers_scd2"), scd2_schema(silver_schema), buckets=buckets)

@@ -2,28 +2,38 @@
 
 Plain Parquet tables cannot ``MERGE`` and must not be overwritten while they
 are being read, so every merge writes a *new version* and a small log entry
-marks it committed. Layout under ``root``::
+commits it. Layout under ``root``::
 
-    data/scd2_version=<n>/is_current=true/   current slice as of version n
-    data/scd2_version=<n>/is_current=false/  rows closed by version n
-    _log/                                    one JSON row per committed version
+    data/attempt=<version>-<id>/is_current=true/    current slice as of the version
+    data/attempt=<version>-<id>/is_current=false/   rows closed by the version
+    _log/                                           one JSON row per committed version
 
 Version ``n`` of the dimension is the current slice of ``n`` plus the closed
 rows of versions ``base..n``; ``base`` is the last version written in full.
-A merge therefore writes the current slice and only the rows it closes --
-history is never rewritten -- and reads only the current slice of the
-previous version (partition pruning on both partition columns). Both outputs
-come from one job over one ``partitionBy`` write.
-
-Failure handling: a version directory only counts once its log row exists,
-and the log row is appended after the data job has committed. A failed or
-interrupted attempt leaves an unlogged directory that the retry overwrites.
-Merges carrying a ``batch_id`` already in the log are skipped, so replayed
-stream batches are idempotent. One writer per store is assumed.
+A merge therefore reads only the current slice of the previous version
+(partition pruning on ``attempt`` and ``is_current``) and writes the new
+current slice plus the rows it closes in one partitioned write -- history is
+never rewritten.
+
+With ``buckets=N`` the slices are also bucketed by the key into ``N`` files
+per partition, and the next merge reads the current slice as a bucketed
+table: it is already hash-partitioned by the key, so only the incoming
+snapshot is shuffled (into the same ``N`` partitions). The store pins
+``spark.sql.shuffle.partitions`` to ``N`` while it runs a merge, which is what
+keeps both sides of the join co-partitioned.
+
+Failure handling: every attempt writes to a fresh directory, and the log row
+that names it is appended only after the data job has committed. A failed
+attempt leaves an unnamed directory that no reader ever lists; the retry
+writes a new one. Merges carrying a ``batch_id`` already in the log are
+skipped, so replayed stream batches are idempotent. One writer per store.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -41,7 +51,7 @@ from pyspark.sql.types import (
 from strata.constants import CUSTOMER_KEY, CUSTOMER_ORDER, IS_CURRENT
 from strata.operators.scd import empty_dimension, scd2_changes
 
-VERSION = "scd2_version"
+ATTEMPT = "attempt"
 
 LOG_SCHEMA = StructType(
     [
@@ -49,6 +59,8 @@ LOG_SCHEMA = StructType(
         StructField("base", IntegerType(), False),
         StructField("kind", StringType(), False),
         StructField("batch_id", LongType(), True),
+        StructField("path", StringType(), False),
+        StructField("buckets", IntegerType(), True),
         StructField("committed_at", StringType(), False),
     ]
 )
@@ -60,6 +72,29 @@ class Commit:
     base: int
     kind: str
     batch_id: int | None
+    path: str
+    buckets: int | None
+
+    @property
+    def attempt(self) -> str:
+        return self.path.rstrip("/").rsplit(f"{ATTEMPT}=", 1)[1]
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str | None):
+    """Temporarily set a session conf (no-op for ``None``)."""
+    if value is None:
+        yield
+        return
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
 
 
 class DimensionStore:
@@ -72,14 +107,18 @@ class DimensionStore:
         schema: StructType,
         key: str = CUSTOMER_KEY,
         order: str = CUSTOMER_ORDER,
+        buckets: int | None = None,
     ) -> None:
         if IS_CURRENT not in schema.fieldNames():
             raise ValueError("schema must be an SCD2 dimension schema")
+        if buckets is not None and buckets < 1:
+            raise ValueError("buckets must be positive")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.key = key
         self.order = order
+        self.buckets = buckets
 
     # ---- paths ------------------------------------------------------------
 
@@ -91,15 +130,15 @@ class DimensionStore:
     def log_path(self) -> str:
         return f"{self.root}/_log"
 
-    def _version_path(self, version: int) -> str:
-        return f"{self.data_path}/{VERSION}={version}"
+    def _new_attempt_path(self, version: int) -> str:
+        return f"{self.data_path}/{ATTEMPT}={version:08d}-{uuid.uuid4().hex[:12]}"
 
     # ---- log ----------------------------------------------------------------
 
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
-        except Exception as exc:  # path does not exist yet
+        except Exception as exc:  # nothing committed yet
             if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
                 return None
             raise
@@ -110,7 +149,7 @@ class DimensionStore:
         if log is None:
             return []
         rows = log.orderBy("version").collect()
-        return [Commit(r.version, r.base, r.kind, r.batch_id) for r in rows]
+        return [Commit(r.version, r.base, r.kind, r.batch_id, r.path, r.buckets) for r in rows]
 
     def latest(self) -> Commit | None:
         commits = self.commits()
@@ -122,6 +161,8 @@ class DimensionStore:
             "base": commit.base,
             "kind": commit.kind,
             "batch_id": commit.batch_id,
+            "path": commit.path,
+            "buckets": commit.buckets,
             "committed_at": datetime.now(timezone.utc).isoformat(),
         }
         row = self.spark.range(1).select(
@@ -131,17 +172,17 @@ class DimensionStore:
 
     # ---- reads --------------------------------------------------------------
 
-    def _scan(self) -> DataFrame:
+    def _scan(self, paths: list[str]) -> DataFrame:
         full = StructType(
             [f for f in self.schema.fields if f.name != IS_CURRENT]
-            + [StructField(VERSION, IntegerType(), True), StructField(IS_CURRENT, BooleanType(), True)]
+            + [StructField(ATTEMPT, StringType(), True), StructField(IS_CURRENT, BooleanType(), True)]
         )
-        return self.spark.read.schema(full).option("basePath", self.data_path).parquet(self.data_path)
+        return self.spark.read.schema(full).option("basePath", self.data_path).parquet(*paths)
 
-    def _commit_for(self, version: int | None) -> Commit | None:
-        commits = self.commits()
+    def _commit_for(self, version: int | None, commits: list[Commit] | None = None) -> Commit:
+        commits = self.commits() if commits is None else commits
         if not commits:
-            return None
+            raise ValueError("store is empty")
         if version is None:
             return commits[-1]
         for c in commits:
@@ -151,45 +192,61 @@ class DimensionStore:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The whole dimension at ``version`` (default: latest)."""
-        c = self._commit_for(version)
-        if c is None:
-            raise ValueError("store is empty")
-        return self._read_commit(c)
-
-    def _read_commit(self, c: Commit) -> DataFrame:
-        v, cur = F.col(VERSION), F.col(IS_CURRENT)
-        rows = self._scan().filter(
-            ((v == c.version) & cur) | (v.between(c.base, c.version) & ~cur)
-        )
+        commits = self.commits()
+        c = self._commit_for(version, commits)
+        paths = [x.path for x in commits if c.base <= x.version <= c.version]
+        a, cur = F.col(ATTEMPT), F.col(IS_CURRENT)
+        rows = self._scan(paths).filter(((a == F.lit(c.attempt)) & cur) | ~cur)
         return rows.select(*self.schema.fieldNames())
 
     def read_current(self, version: int | None = None) -> DataFrame:
-        """Only the current slice at ``version`` (a single partition directory)."""
-        c = self._commit_for(version)
-        if c is None:
-            raise ValueError("store is empty")
-        return self._read_current_commit(c)
-
-    def _read_current_commit(self, c: Commit) -> DataFrame:
-        rows = self._scan().filter((F.col(VERSION) == c.version) & F.col(IS_CURRENT))
+        """Only the current slice at ``version`` (bucketed by key if written so)."""
+        return self._read_current(self._commit_for(version))
+
+    def _current_table(self, c: Commit) -> str:
+        return "strata_current_" + hashlib.sha1(c.path.encode()).hexdigest()[:16]
+
+    def _read_current(self, c: Commit) -> DataFrame:
+        if not c.buckets:
+            rows = self._scan([c.path]).filter((F.col(ATTEMPT) == F.lit(c.attempt)) & F.col(IS_CURRENT))
+            return rows.select(*self.schema.fieldNames())
+        name = self._current_table(c)
+        cols = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields if f.name != IS_CURRENT
+        )
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+            f"CLUSTERED BY (`{self.key}`) INTO {c.buckets} BUCKETS "
+            f"LOCATION '{c.path}/{IS_CURRENT}=true'"
+        )
+        rows = self.spark.table(name).withColumn(IS_CURRENT, F.lit(True))
         return rows.select(*self.schema.fieldNames())
 
     # ---- writes -------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, version: int) -> None:
-        (
-            rows.select(*self.schema.fieldNames())
-            .write.mode("overwrite")
-            .partitionBy(IS_CURRENT)
-            .parquet(self._version_path(version))
-        )
+    def _write(self, rows: DataFrame, version: int) -> str:
+        path = self._new_attempt_path(version)
+        rows = rows.select(*self.schema.fieldNames())
+        if not self.buckets:
+            rows.write.partitionBy(IS_CURRENT).parquet(path)
+            return path
+        tmp = "strata_write_" + uuid.uuid4().hex[:16]
+        with _session_conf(self.spark, "spark.sql.shuffle.partitions", str(self.buckets)):
+            (
+                rows.write.partitionBy(IS_CURRENT)
+                .bucketBy(self.buckets, self.key)
+                .option("path", path)
+                .saveAsTable(tmp)
+            )
+        self.spark.sql(f"DROP TABLE IF EXISTS {tmp}")  # external table: the files stay
+        return path
 
     def write_full(self, dim: DataFrame, batch_id: int | None = None) -> Commit:
         """Store a whole dimension as a new base version."""
         last = self.latest()
         version = 1 if last is None else last.version + 1
-        self._write(dim, version)
-        commit = Commit(version, version, "full", batch_id)
+        path = self._write(dim, version)
+        commit = Commit(version, version, "full", batch_id, path, self.buckets)
         self._append_log(commit)
         return commit
 
@@ -200,22 +257,23 @@ class DimensionStore:
         merge into an empty store loads the snapshot as version 1.
         """
         commits = self.commits()
-        last = commits[-1] if commits else None
         for c in commits:
             if batch_id is not None and c.batch_id == batch_id:
                 return c
+        last = commits[-1] if commits else None
         if last is None:
-            existing = empty_dimension(incoming, self.order)
-            existing = existing.select(
+            existing = empty_dimension(incoming, self.order).select(
                 *[F.col(f.name).cast(f.dataType) for f in self.schema.fields]
             )
             version, base = 1, 1
         else:
-            existing = self._read_current_commit(last)
+            existing = self._read_current(last)
             version, base = last.version + 1, last.base
         changes = scd2_changes(existing, incoming, self.key, self.order, **options)
         out = changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        self._write(out, version)
-        commit = Commit(version, base, "merge", batch_id)
+        path = self._write(out, version)
+        commit = Commit(version, base, "merge", batch_id, path, self.buckets)
         self._append_log(commit)
+        if last is not None and last.buckets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._current_table(last)}")
         return commit

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.scd import apply_scd_type2
@@ -10,12 +13,13 @@ from strata.schemas import SCD2_SCHEMA
 from tests import fixtures as fx
 
 
-def _store(spark, root):
-    return DimensionStore(spark, root, SCD2_SCHEMA)
+def _store(spark, root, buckets=None):
+    return DimensionStore(spark, root, SCD2_SCHEMA, buckets=buckets)
 
 
-def test_versions_match_in_memory_merges(spark, scratch):
-    store = _store(spark, f"{scratch}/dim")
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_versions_match_in_memory_merges(spark, scratch, buckets):
+    store = _store(spark, f"{scratch}/dim", buckets)
     s1 = fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN)
     s2 = fx.customers(spark, fx.ALICE_FEB, fx.BOB_UK_MAR, fx.ZOE_MAR)
     s3 = fx.customers(spark, fx.ALICE_MAR_99, fx.BOB_UK_MAR_21)
@@ -33,8 +37,8 @@ def test_history_is_not_rewritten(spark, scratch):
     store = _store(spark, f"{scratch}/dim")
     store.merge(fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN))
     store.merge(fx.customers(spark, fx.ALICE_FEB))
-    store.merge(fx.customers(spark, fx.ALICE_MAR))
-    closed_v3 = spark.read.parquet(f"{scratch}/dim/data/scd2_version=3/is_current=false")
+    v3 = store.merge(fx.customers(spark, fx.ALICE_MAR))
+    closed_v3 = spark.read.parquet(f"{v3.path}/is_current=false")
     assert [r.revenue_ytd for r in closed_v3.collect()] == [80_000.0]
 
 
@@ -43,7 +47,8 @@ def test_reads_prune_partitions(spark, scratch):
     store.merge(fx.customers(spark, fx.ALICE_JAN))
     store.merge(fx.customers(spark, fx.ALICE_FEB))
     plan = fx.plan_text(store.read_current())
-    assert "PartitionFilters: [isnotnull(scd2_version" in plan and "(scd2_version#" in plan
+    pruned = re.search(r"PartitionFilters: \[(.*)\]", plan).group(1)
+    assert "attempt" in pruned and "is_current" in pruned
 
 
 def test_replayed_batch_is_skipped(spark, scratch):
@@ -59,9 +64,10 @@ def test_uncommitted_version_is_ignored_and_overwritten(spark, scratch):
     store.merge(fx.customers(spark, fx.ALICE_JAN))
     # an interrupted attempt: data written for version 2, no log row
     junk = store.read().withColumn("revenue_ytd", F.lit(-1.0))
-    store._write(junk, 2)
+    stale = store._write(junk, 2)
     assert [r.revenue_ytd for r in store.read().collect()] == [75_000.0]
-    store.merge(fx.customers(spark, fx.ALICE_FEB))
+    v2 = store.merge(fx.customers(spark, fx.ALICE_FEB))
+    assert v2.version == 2 and v2.path != stale
     assert sorted(r.revenue_ytd for r in store.read().collect()) == [75_000.0, 80_000.0]
 
 
@@ -73,3 +79,23 @@ def test_full_write_starts_a_new_base(spark, scratch):
     commit = store.write_full(spark.createDataFrame(whole.collect(), SCD2_SCHEMA))
     assert commit.base == commit.version == 3
     assert sorted(store.read().collect()) == sorted(whole.collect())
+
+
+def test_bucketed_current_slice_is_not_shuffled(spark, scratch):
+    store = _store(spark, f"{scratch}/dim", buckets=4)
+    store.merge(fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN))
+    store.merge(fx.customers(spark, fx.ALICE_FEB))
+    from strata.operators.scd import scd2_changes
+    from strata.plans.store import _session_conf
+
+    current = store.read_current()
+    with _session_conf(spark, "spark.sql.shuffle.partitions", "4"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = fx.plan_text(scd2_changes(current, fx.customers(spark, fx.ALICE_MAR)), "simple")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # only the incoming snapshot is shuffled; the current slice is read bucketed
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "SelectedBucketsCount: 4 out of 4" in plan
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # restored
