@@ -240,6 +240,31 @@ def _cast_to(df: DataFrame, target: dict[str, DataType], out_cols: list[str]) ->
     return df.select(*[F.col(c).cast(target[c]).alias(c) for c in out_cols])
 
 
+def _carry(
+    rows: DataFrame,
+    key: str,
+    target: dict[str, DataType],
+    out_cols: list[str],
+    absent: str,
+    close_absent_at: datetime | Column | None,
+) -> DataFrame:
+    """Rows that bypass the join: history stays as it is; a current row with a
+    null key is absent from every snapshot (kept, or closed with ``absent="close"``)."""
+    keyless = F.col(IS_CURRENT) & F.col(key).isNull()
+    cols = {c: F.col(c) for c in out_cols}
+    if absent == "close":
+        at = close_absent_at if isinstance(close_absent_at, Column) else F.lit(close_absent_at)
+        cols[EFFECTIVE_TO] = F.when(keyless, at).otherwise(F.col(EFFECTIVE_TO))
+        cols[IS_CURRENT] = F.when(keyless, F.lit(False)).otherwise(F.col(IS_CURRENT))
+        label = F.when(keyless, F.lit(CLOSED))
+    else:
+        label = F.when(keyless, F.lit(ABSENT))
+    return rows.select(
+        *[cols[c].cast(target[c]).alias(c) for c in out_cols],
+        label.alias(CHANGE),
+    )
+
+
 def scd2_changes(
     existing: DataFrame,
     incoming: DataFrame,
@@ -252,6 +277,7 @@ def scd2_changes(
     close_absent_at: datetime | Column | None = None,
     late: str = "apply",
     allow_missing_columns: bool = False,
+    keyless_current: DataFrame | None = None,
 ) -> DataFrame:
     """New state of the current slice, with a :data:`CHANGE` column per row.
 
@@ -265,8 +291,8 @@ def scd2_changes(
     * ``unchanged`` -- current row whose incoming row has equal tracked values;
       the old row is kept as it is (old ``updated_at`` and untracked values)
     * ``absent``    -- current row whose key is not in the snapshot (no delete
-      detection unless ``absent="close"``); current rows with a null key,
-      which can never match, are always carried as ``absent``
+      detection unless ``absent="close"``); a current row with a null key can
+      never match, so it is always absent
 
     Options:
 
@@ -281,13 +307,18 @@ def scd2_changes(
       give ``effective_to < effective_from``).
     * ``allow_missing_columns`` pads columns present on one side only with nulls
       instead of raising :class:`SchemaMismatchError`.
+    * ``keyless_current``: current rows with a null key kept apart from
+      ``existing`` (which then holds no such rows), so that a key-partitioned
+      ``existing`` -- a bucketed table -- reaches the join without a shuffle.
     """
     merged, existing, target, out_cols = _merge_keyed(
         existing, incoming, key, order, tracked, compare, absent, close_absent_at, late, allow_missing_columns
     )
-    null_key_current = current_rows(existing).filter(F.col(key).isNull())
-    carried = _cast_to(null_key_current, target, out_cols).withColumn(CHANGE, F.lit(ABSENT))
-    return merged.unionByName(carried)
+    if keyless_current is None:
+        keyless_current = current_rows(existing).filter(F.col(key).isNull())
+    else:
+        keyless_current = with_hash_version(keyless_current)
+    return merged.unionByName(_carry(keyless_current, key, target, out_cols, absent, close_absent_at))
 
 
 def scd2_merge(
@@ -314,7 +345,8 @@ def scd2_merge(
         existing, incoming, key, order, tracked, compare, absent, close_absent_at, late, allow_missing_columns
     )
     untouched = existing.filter(~F.col(IS_CURRENT) | (F.col(IS_CURRENT) & F.col(key).isNull()))
-    return _cast_to(untouched, target, out_cols).unionByName(merged.drop(CHANGE))
+    carried = _carry(untouched, key, target, out_cols, absent, close_absent_at)
+    return carried.unionByName(merged).drop(CHANGE)
 
 
 # ---- the row sets of one merge, each as its own DataFrame -------------------

@@ -138,6 +138,9 @@ SPARK: dict[str, Query] = {
     "scd2_unvalidated": lambda s, d: scd2_merge(
         _first_load(s, d, 1, validated=False), snapshot(s, d, 2)
     ),
+    "scd2_unvalidated_absent_close": lambda s, d: scd2_merge(
+        _first_load(s, d, 1, validated=False), snapshot(s, d, 3), absent="close", close_absent_at=_ts(CLOSE_AT)
+    ),
     "scd2_struct_compare": lambda s, d: scd2_merge(
         _first_load(s, d), _silver_snapshot(s, d, 2), compare="struct"
     ),
@@ -305,6 +308,15 @@ SQL: dict[str, Callable[[], str]] = {
     "scd2_unvalidated": _one(
         lambda q: q.merge("m2", _sql_first_load(q, 1, validated=False), q.snapshot(2, validated=False), SRC)
     ),
+    "scd2_unvalidated_absent_close": _one(
+        lambda q: q.merge(
+            "m3",
+            _sql_first_load(q, 1, validated=False),
+            q.snapshot(3, validated=False),
+            SRC,
+            absent_close_at=CLOSE_AT,
+        )
+    ),
     "scd2_struct_compare": _one(
         lambda q: q.merge("m2", _sql_first_load(q), q.snapshot(2), SILVER, compare="struct")
     ),

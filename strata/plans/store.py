@@ -4,9 +4,9 @@ Plain Parquet tables cannot ``MERGE`` and must not be overwritten while they
 are being read, so every merge writes a *new version* and a small log entry
 commits it. Layout under ``root``::
 
-    data/attempt=<version>-<id>/is_current=true/    current slice as of the version
-    data/attempt=<version>-<id>/is_current=false/   rows closed by the version
-    _log/                                           one JSON row per committed version
+    data/attempt=<version>-<id>/is_current=true/has_key=*/   current slice as of the version
+    data/attempt=<version>-<id>/is_current=false/has_key=*/  rows closed by the version
+    _log/                                                    one JSON row per committed version
 
 Version ``n`` of the dimension is the current slice of ``n`` plus the closed
 rows of versions ``base..n``; ``base`` is the last version written in full.
@@ -20,7 +20,9 @@ per partition, and the next merge reads the current slice as a bucketed
 table: it is already hash-partitioned by the key, so only the incoming
 snapshot is shuffled (into the same ``N`` partitions). The store pins
 ``spark.sql.shuffle.partitions`` to ``N`` while it runs a merge, which is what
-keeps both sides of the join co-partitioned.
+keeps both sides of the join co-partitioned. Rows without a key, which a merge
+re-inserts every run and which would all fall into one bucket, sit in their
+own ``has_key=false`` partition and are read by a plain, file-split scan.
 
 Failure handling: every attempt writes to a fresh directory, and the log row
 that names it is appended only after the data job has committed. A failed
@@ -52,6 +54,7 @@ from strata.constants import CUSTOMER_KEY, CUSTOMER_ORDER, IS_CURRENT
 from strata.operators.scd import empty_dimension, scd2_changes
 
 ATTEMPT = "attempt"
+HAS_KEY = "has_key"
 
 LOG_SCHEMA = StructType(
     [
@@ -175,7 +178,11 @@ class DimensionStore:
     def _scan(self, paths: list[str]) -> DataFrame:
         full = StructType(
             [f for f in self.schema.fields if f.name != IS_CURRENT]
-            + [StructField(ATTEMPT, StringType(), True), StructField(IS_CURRENT, BooleanType(), True)]
+            + [
+                StructField(ATTEMPT, StringType(), True),
+                StructField(IS_CURRENT, BooleanType(), True),
+                StructField(HAS_KEY, BooleanType(), True),
+            ]
         )
         return self.spark.read.schema(full).option("basePath", self.data_path).parquet(*paths)
 
@@ -207,9 +214,15 @@ class DimensionStore:
         return "strata_current_" + hashlib.sha1(c.path.encode()).hexdigest()[:16]
 
     def _read_current(self, c: Commit) -> DataFrame:
+        keyed, keyless = self._current_parts(c)
+        return keyed if keyless is None else keyed.unionByName(keyless)
+
+    def _current_parts(self, c: Commit) -> tuple[DataFrame, DataFrame | None]:
+        """(current rows, None) -- or, bucketed, (keyed rows as a bucketed table, keyless rows)."""
+        current = (F.col(ATTEMPT) == F.lit(c.attempt)) & F.col(IS_CURRENT)
         if not c.buckets:
-            rows = self._scan([c.path]).filter((F.col(ATTEMPT) == F.lit(c.attempt)) & F.col(IS_CURRENT))
-            return rows.select(*self.schema.fieldNames())
+            return self._scan([c.path]).filter(current).select(*self.schema.fieldNames()), None
+        keyless = self._scan([c.path]).filter(current & ~F.col(HAS_KEY)).select(*self.schema.fieldNames())
         name = self._current_table(c)
         cols = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields if f.name != IS_CURRENT
@@ -217,23 +230,23 @@ class DimensionStore:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
             f"CLUSTERED BY (`{self.key}`) INTO {c.buckets} BUCKETS "
-            f"LOCATION '{c.path}/{IS_CURRENT}=true'"
+            f"LOCATION '{c.path}/{IS_CURRENT}=true/{HAS_KEY}=true'"
         )
-        rows = self.spark.table(name).withColumn(IS_CURRENT, F.lit(True))
-        return rows.select(*self.schema.fieldNames())
+        keyed = self.spark.table(name).withColumn(IS_CURRENT, F.lit(True)).select(*self.schema.fieldNames())
+        return keyed, keyless
 
     # ---- writes -------------------------------------------------------------
 
     def _write(self, rows: DataFrame, version: int) -> str:
         path = self._new_attempt_path(version)
-        rows = rows.select(*self.schema.fieldNames())
+        rows = rows.select(*self.schema.fieldNames(), F.col(self.key).isNotNull().alias(HAS_KEY))
         if not self.buckets:
-            rows.write.partitionBy(IS_CURRENT).parquet(path)
+            rows.write.partitionBy(IS_CURRENT, HAS_KEY).parquet(path)
             return path
         tmp = "strata_write_" + uuid.uuid4().hex[:16]
         with _session_conf(self.spark, "spark.sql.shuffle.partitions", str(self.buckets)):
             (
-                rows.write.partitionBy(IS_CURRENT)
+                rows.write.partitionBy(IS_CURRENT, HAS_KEY)
                 .bucketBy(self.buckets, self.key)
                 .option("path", path)
                 .saveAsTable(tmp)
@@ -261,15 +274,16 @@ class DimensionStore:
             if batch_id is not None and c.batch_id == batch_id:
                 return c
         last = commits[-1] if commits else None
+        keyless = None
         if last is None:
             existing = empty_dimension(incoming, self.order).select(
                 *[F.col(f.name).cast(f.dataType) for f in self.schema.fields]
             )
             version, base = 1, 1
         else:
-            existing = self._read_current(last)
+            existing, keyless = self._current_parts(last)
             version, base = last.version + 1, last.base
-        changes = scd2_changes(existing, incoming, self.key, self.order, **options)
+        changes = scd2_changes(existing, incoming, self.key, self.order, keyless_current=keyless, **options)
         out = changes.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         path = self._write(out, version)
         commit = Commit(version, base, "merge", batch_id, path, self.buckets)

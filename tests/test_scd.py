@@ -276,3 +276,13 @@ def test_single_pass_merge_matches_model(spark, seed):
         got = [r.asDict() for r in state_df.collect()]
         assert _canon(got) == _canon(state_model), f"seed {seed} step {step}"
         state_df = spark.createDataFrame(got, MODEL_DIM)  # keep the lazy plan short
+
+
+def test_absent_close_also_closes_keyless_current_rows(spark):
+    at = datetime(2024, 4, 1)
+    state = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NULL_ID_JAN))
+    out = scd2_merge(state, fx.customers(spark, fx.ZOE_MAR), absent="close", close_absent_at=at)
+    (row,) = out.filter(F.col("customer_id").isNull()).collect()
+    assert (row.is_current, row.effective_to) == (False, at)
+    chg = scd2_changes(state, fx.customers(spark, fx.ZOE_MAR), absent="close", close_absent_at=at)
+    assert [r[CHANGE] for r in chg.filter(F.col("customer_id").isNull()).collect()] == ["closed"]

@@ -38,7 +38,7 @@ def test_history_is_not_rewritten(spark, scratch):
     store.merge(fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN))
     store.merge(fx.customers(spark, fx.ALICE_FEB))
     v3 = store.merge(fx.customers(spark, fx.ALICE_MAR))
-    closed_v3 = spark.read.parquet(f"{v3.path}/is_current=false")
+    closed_v3 = spark.read.parquet(f"{v3.path}/is_current=false/has_key=true")
     assert [r.revenue_ytd for r in closed_v3.collect()] == [80_000.0]
 
 
@@ -88,14 +88,27 @@ def test_bucketed_current_slice_is_not_shuffled(spark, scratch):
     from strata.operators.scd import scd2_changes
     from strata.plans.store import _session_conf
 
-    current = store.read_current()
+    keyed, keyless = store._current_parts(store.latest())
     with _session_conf(spark, "spark.sql.shuffle.partitions", "4"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
-            plan = fx.plan_text(scd2_changes(current, fx.customers(spark, fx.ALICE_MAR)), "simple")
+            changes = scd2_changes(keyed, fx.customers(spark, fx.ALICE_MAR), keyless_current=keyless)
+            plan = fx.plan_text(changes, "simple")
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # only the incoming snapshot is shuffled; the current slice is read bucketed
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SelectedBucketsCount: 4 out of 4" in plan
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # restored
+
+
+def test_keyless_rows_stay_out_of_the_buckets(spark, scratch):
+    store = _store(spark, f"{scratch}/dim", buckets=4)
+    store.merge(fx.customers(spark, fx.NULL_ID_JAN, fx.ALICE_JAN))
+    store.merge(fx.customers(spark, fx.NULL_ID_JAN, fx.ALICE_FEB))
+    current = store.read_current()
+    assert sorted((r.customer_id or "") for r in current.collect()) == ["", "", "C001"]
+    plan = fx.plan_text(current, "simple")
+    assert "strata_current_" in plan  # keyed rows: the bucketed table
+    assert "has_key" in plan  # keyless rows: their own partition, plain scan
+    assert store.read().count() == 4
