@@ -76,8 +76,10 @@ def dimension_report(dim: DataFrame, key: str = CUSTOMER_KEY, version: int = HAS
     null_is_current_rows, interval_violations, open_history_rows,
     stale_hash_rows, duplicate_current_keys.
 
-    Two chained aggregates: per key (partial-aggregated before its shuffle),
-    then a global sum over the per-key counts.
+    Two chained aggregates. Only current rows need grouping by key (to find
+    keys with two current rows); every other row is grouped by the task that
+    reads it, so the partial aggregate before the shuffle folds all history of
+    a task into one row and the history is never shuffled row by row.
     """
     dim = with_hash_version(dim)
     cur, ef, et = F.col(IS_CURRENT), F.col(EFFECTIVE_FROM), F.col(EFFECTIVE_TO)
@@ -85,10 +87,15 @@ def dimension_report(dim: DataFrame, key: str = CUSTOMER_KEY, version: int = HAS
     def n(cond):
         return F.count(F.when(cond, F.lit(1)))
 
-    per_key = dim.groupBy(key).agg(
+    is_cur = F.coalesce(cur, F.lit(False))
+    per_group = dim.groupBy(
+        F.when(is_cur, F.col(key)).alias("_key"),
+        F.when(~is_cur, F.spark_partition_id()).alias("_task"),
+    ).agg(
         F.count(F.lit(1)).alias("rows"),
         n(cur).alias("current_rows"),
         n(~cur).alias("history_rows"),
+        n(F.col(key).isNull()).alias("null_key_rows"),
         n(cur.isNull()).alias("null_is_current_rows"),
         n(et < ef).alias("interval_violations"),
         n((~cur & et.isNull()) | (cur & et.isNotNull())).alias("open_history_rows"),
@@ -102,11 +109,11 @@ def dimension_report(dim: DataFrame, key: str = CUSTOMER_KEY, version: int = HAS
         "interval_violations",
         "open_history_rows",
         "stale_hash_rows",
+        "null_key_rows",
     ]
-    return per_key.agg(
+    return per_group.agg(
         *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in sums],
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("rows"))), F.lit(0))
-        .cast("bigint")
-        .alias("null_key_rows"),
-        F.count(F.when(F.col("current_rows") > 1, F.lit(1))).alias("duplicate_current_keys"),
+        F.count(F.when(F.col("_task").isNull() & (F.col("current_rows") > 1), F.lit(1))).alias(
+            "duplicate_current_keys"
+        ),
     )

@@ -206,9 +206,9 @@ def _merge_keyed(
     if late == "ignore":
         differs = differs & ~F.coalesce(nc(order) <= oc(EFFECTIVE_FROM), F.lit(False))
 
-    def row(values: dict[str, Column], change: str) -> Column:
-        fields = [values[c].cast(target[c]).alias(c) for c in out_cols]
-        return F.struct(*fields, F.lit(change).alias(CHANGE))
+    # each column is cast once per side and reused by every struct below
+    def cast(values: dict[str, Column]) -> dict[str, Column]:
+        return {c: v.cast(target[c]).alias(c) for c, v in values.items()}
 
     inserted = {c: nc(c) for c in src_cols}
     inserted.update(
@@ -219,11 +219,16 @@ def _merge_keyed(
             HASH_VERSION_COL: F.lit(HASH_VERSION),
         }
     )
-    kept = {c: oc(c) for c in out_cols}
-    closed = dict(kept, **{EFFECTIVE_TO: nc(order), IS_CURRENT: F.lit(False)})
+    inserted = cast(inserted)
+    kept = cast({c: oc(c) for c in out_cols})
+    closed = dict(kept, **cast({EFFECTIVE_TO: nc(order), IS_CURRENT: F.lit(False)}))
+
+    def row(values: dict[str, Column], change: str) -> Column:
+        return F.struct(*[values[c] for c in out_cols], F.lit(change).alias(CHANGE))
+
     if absent == "close":
         at = close_absent_at if isinstance(close_absent_at, Column) else F.lit(close_absent_at)
-        absent_row = row(dict(kept, **{EFFECTIVE_TO: at, IS_CURRENT: F.lit(False)}), CLOSED)
+        absent_row = row(dict(kept, **cast({EFFECTIVE_TO: at, IS_CURRENT: F.lit(False)})), CLOSED)
     else:
         absent_row = row(kept, ABSENT)
 
