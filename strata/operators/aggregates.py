@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
@@ -36,15 +37,23 @@ def revenue_by_country(df: DataFrame, revenue: str = "revenue_ytd") -> DataFrame
     )
 
 
+MONEY = DecimalType(18, 2)
+
+
 def revenue_by_segment(
-    df: DataFrame, revenue: str = "revenue_ytd", round_to: int | None = None
+    df: DataFrame, revenue: str = "revenue_ytd", round_to: int | None = None, exact: bool = False
 ) -> DataFrame:
     """country, revenue_tier, customer_count, total_revenue.
 
-    The sum is unrounded by default (as in the source contract); pass
-    ``round_to`` for a value that does not depend on summation order.
+    The double sum is unrounded by default (as in the source contract), so its
+    last digits depend on the order in which partitions are added. ``round_to``
+    rounds it; ``exact=True`` sums the amounts as ``decimal(18,2)`` -- an exact,
+    order-independent sum -- and returns it as a double.
     """
-    total = F.sum(revenue)
+    if exact:
+        total = F.sum(F.col(revenue).cast(MONEY)).cast("double")
+    else:
+        total = F.sum(revenue)
     if round_to is not None:
         total = F.round(total, round_to)
     return df.groupBy("country", "revenue_tier").agg(

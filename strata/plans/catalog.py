@@ -116,6 +116,7 @@ SPARK: dict[str, Query] = {
     # gold
     "revenue_by_country": lambda s, d: revenue_by_country(_all_silver(s, d)),
     "revenue_by_segment": lambda s, d: revenue_by_segment(_all_silver(s, d), round_to=2),
+    "revenue_by_segment_exact": lambda s, d: revenue_by_segment(_all_silver(s, d), exact=True),
     # dedup / type 1
     "latest_per_customer": lambda s, d: latest_per_key(customer_states(s, d), "customer_id", "updated_at"),
     "scd1_customers": lambda s, d: scd1(_all_silver(s, d)),
@@ -287,6 +288,12 @@ SQL: dict[str, Callable[[], str]] = {
         lambda t: f"SELECT country, revenue_tier, count(*) AS customer_count, "
         f"{O.round2('sum(revenue_ytd)')} AS total_revenue FROM {t} GROUP BY country, revenue_tier",
     ),
+    "revenue_by_segment_exact": _one(
+        _sql_all_silver,
+        lambda t: f"SELECT country, revenue_tier, count(*) AS customer_count, "
+        f"CAST(sum(CAST(revenue_ytd AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue "
+        f"FROM {t} GROUP BY country, revenue_tier",
+    ),
     "latest_per_customer": lambda: O.latest(f"({O.STATES})", SRC),
     "scd1_customers": _one(_sql_all_silver, lambda t: O.latest(t, SILVER)),
     "change_hash": _one(

@@ -66,3 +66,12 @@ def test_revenue_by_segment_counts_rows_not_customers(spark):
 def test_aggregate_is_partial_then_final(spark):
     plan = fx.plan_text(count_by(fx.users(spark), ["country"], "n"), "simple")
     assert plan.count("HashAggregate") == 2 and "Exchange hashpartitioning(country" in plan
+
+
+def test_exact_segment_sum_does_not_depend_on_order(spark):
+    rows = [fx.cust(f"C{i}", "A", "B", "US", "X", "S", v, True, fx.T1) for i, v in enumerate([0.1] * 10 + [0.2] * 10)]
+    df = with_revenue_tier(fx.customers(spark, *rows))
+    (r,) = revenue_by_segment(df, exact=True).collect()
+    assert r.total_revenue == 3.0 and r.customer_count == 20
+    (r,) = revenue_by_segment(df.repartition(7), exact=True).collect()
+    assert r.total_revenue == 3.0
