@@ -1,0 +1,34 @@
+"""Invariants after every merge of the snapshot chain built from the test tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators.quality import dimension_report
+from strata.operators.scd import empty_dimension, scd2_merge
+from strata.plans import catalog
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+
+
+def test_invariants_hold_after_each_merge(spark):
+    snaps = [catalog._silver_snapshot(spark, SF, n) for n in (1, 2, 3)]
+    state = empty_dimension(snaps[0])
+    history = 0
+    for snap in snaps:
+        state = spark.createDataFrame(scd2_merge(state, snap).collect(), state.schema)
+        (r,) = dimension_report(state).collect()
+        assert r.duplicate_current_keys == 0
+        assert r.open_history_rows == 0 and r.null_is_current_rows == 0
+        assert r.history_rows >= history
+        history = r.history_rows
+        # every key of the snapshot has exactly one current row
+        keys = snap.select("customer_id").distinct()
+        current = state.filter(F.col("is_current")).select("customer_id")
+        assert keys.join(current, "customer_id", "left_anti").count() == 0
+    again = scd2_merge(state, snaps[-1])
+    assert sorted(again.collect(), key=repr) == sorted(state.collect(), key=repr)
