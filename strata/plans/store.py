@@ -100,6 +100,15 @@ def _session_conf(spark: SparkSession, key: str, value: str | None):
             spark.conf.set(key, previous)
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, n: int):
+    """Make every new shuffle produce ``n`` partitions (AQE's initial number included),
+    so a shuffled side lines up with an ``n``-bucket table."""
+    with _session_conf(spark, "spark.sql.shuffle.partitions", str(n)):
+        with _session_conf(spark, "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n)):
+            yield
+
+
 class DimensionStore:
     """A type 2 dimension kept as append-only versions under ``root``."""
 
@@ -244,7 +253,7 @@ class DimensionStore:
             rows.write.partitionBy(IS_CURRENT, HAS_KEY).parquet(path)
             return path
         tmp = "strata_write_" + uuid.uuid4().hex[:16]
-        with _session_conf(self.spark, "spark.sql.shuffle.partitions", str(self.buckets)):
+        with _shuffle_partitions(self.spark, self.buckets):
             (
                 rows.write.partitionBy(IS_CURRENT, HAS_KEY)
                 .bucketBy(self.buckets, self.key)

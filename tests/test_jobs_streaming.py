@@ -141,3 +141,14 @@ def test_merge_row_sets(spark):
     assert sorted(r.customer_id for r in inserted_rows(state, snap).collect()) == ["C001", "C999"]
     assert [r.customer_id for r in unchanged_current_rows(state, snap).collect()] == ["C002"]
     assert [r.revenue_ytd for r in historical_rows(state).collect()] == [75_000.0]
+
+
+def test_csv_bronze_stream(spark, tmp_path):
+    from strata.schemas import USER_SCHEMA
+
+    src, out, ckpt = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "ckpt")
+    src.mkdir()
+    (src / "a.csv").write_text("id,first_name,last_name,country,is_active\n1,A,B,US,true\n2,C,D,IT,false\n")
+    ingest_stream(read_stream(spark, str(src), USER_SCHEMA, fmt="csv"), out, checkpoint=ckpt).awaitTermination(120)
+    bronze = spark.read.schema(USER_SCHEMA).parquet(out)
+    assert sorted((r.id, r.is_active) for r in bronze.collect()) == [("1", True), ("2", False)]
