@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
@@ -12,7 +19,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     session names none: a machine-local default would not survive the loss of
     the machine, so callers that run locally must set it themselves.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
     return root.rstrip("/")
@@ -20,7 +27,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only where none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if not root:
         spark.sparkContext.setCheckpointDir(fallback)
         root = fallback

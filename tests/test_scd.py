@@ -286,3 +286,12 @@ def test_absent_close_also_closes_keyless_current_rows(spark):
     assert (row.is_current, row.effective_to) == (False, at)
     chg = scd2_changes(state, fx.customers(spark, fx.ZOE_MAR), absent="close", close_absent_at=at)
     assert [r[CHANGE] for r in chg.filter(F.col("customer_id").isNull()).collect()] == ["closed"]
+
+
+def test_ntz_snapshot_into_ltz_dimension(spark):
+    snap = fx.customers(spark, fx.ALICE_MAR_99).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+    out = apply_scd_type2(fx.existing_state(spark), snap)
+    assert out.schema["updated_at"].dataType == TimestampType()
+    assert out.schema["effective_to"].dataType == TimestampType()
+    rows = {(r.revenue_ytd, r.is_current): r for r in out.collect()}
+    assert rows[(80_000.0, False)].effective_to == T3 and rows[(99_000.0, True)].effective_from == T3
