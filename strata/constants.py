@@ -41,3 +41,9 @@ EFFECTIVE_FROM: str = "effective_from"
 EFFECTIVE_TO: str = "effective_to"
 IS_CURRENT: str = "is_current"
 HASH_VERSION_COL: str = "hash_version"
+
+# names used by code written against the user / customer flow contract
+PLATINUM_THRESHOLD = PLATINUM_MIN
+GOLD_THRESHOLD = GOLD_MIN
+SILVER_THRESHOLD = SILVER_MIN
+SCD2_TRACKED_COLUMNS = TRACKED_COLUMNS

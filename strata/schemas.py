@@ -57,3 +57,7 @@ def scd2_schema(source: StructType = CUSTOMER_SCHEMA) -> StructType:
 
 
 SCD2_SCHEMA = scd2_schema()
+
+# names used by code written against the user / customer flow contract
+USER_CSV_SCHEMA = USER_SCHEMA
+CUSTOMER_PARQUET_SCHEMA = CUSTOMER_SCHEMA
