@@ -3,7 +3,8 @@
 Each entry pairs a Spark query ``(spark, sf_dir) -> DataFrame`` with the SQL
 text of an independent oracle formulation (see :mod:`strata.plans.oracle`).
 Every query reads whole tables; computed columns carry the same alias on both
-sides.
+sides. Chained merges cut lineage between states with ``checkpoint()`` in the
+session's checkpoint folder, so each state is computed once.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ from strata.operators.scd import (
     stale_hash_rows,
 )
 from strata.plans import oracle as O
+from strata.session import cut_lineage
 from strata.sources.tables import SNAPSHOT_2_END, customer_states, snapshot, users
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,11 +70,11 @@ def _silver_snapshot(spark: SparkSession, d: str, n: int) -> DataFrame:
 
 def _first_load(spark: SparkSession, d: str, n: int = 1, validated: bool = True) -> DataFrame:
     snap = _silver_snapshot(spark, d, n) if validated else snapshot(spark, d, n)
-    return scd2_merge(empty_dimension(snap), snap)
+    return cut_lineage(scd2_merge(empty_dimension(snap), snap))
 
 
 def _state2(spark: SparkSession, d: str) -> DataFrame:
-    return scd2_merge(_first_load(spark, d), _silver_snapshot(spark, d, 2))
+    return cut_lineage(scd2_merge(_first_load(spark, d), _silver_snapshot(spark, d, 2)))
 
 
 def _state3(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _context_checkpoint_dir(spark: SparkSession) -> str | None:
@@ -52,3 +54,20 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the session's checkpoint folder and read it
+    back, so later steps start from stored data instead of re-running its plan.
+
+    A written table computes the plan once (an eager ``checkpoint()`` runs it
+    twice: once to count, once to save). Returns ``df`` unchanged when the
+    session names no checkpoint folder.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
+    if not root:
+        return df
+    path = f"{root.rstrip('/')}/strata-lineage/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
