@@ -152,3 +152,24 @@ def test_csv_bronze_stream(spark, tmp_path):
     ingest_stream(read_stream(spark, str(src), USER_SCHEMA, fmt="csv"), out, checkpoint=ckpt).awaitTermination(120)
     bronze = spark.read.schema(USER_SCHEMA).parquet(out)
     assert sorted((r.id, r.is_active) for r in bronze.collect()) == [("1", True), ("2", False)]
+
+
+def test_command_line(spark, tmp_path):
+    from strata.__main__ import main
+
+    src = tmp_path / "users.csv"
+    src.write_text("id,first_name,last_name,country,is_active\n1,A,B,US,true\n")
+    out = main(["user-job", "--source", str(src), "--warehouse", str(tmp_path / "wh")], spark)
+    assert set(out["datasets"]) == {"bronze_users", "silver_active_users", "gold_user_count_by_country"}
+    cust = str(tmp_path / "c")
+    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).write.parquet(cust)
+    args = ["customer-job", "--source", cust, "--warehouse", str(tmp_path / "wh2"), "--batch-id", "7", "--buckets", "4"]
+    assert main(args, spark)["scd2_version"] == 1
+    assert main(args, spark)["scd2_version"] == 1  # same batch again: skipped
+    stream_src = str(tmp_path / "landing")
+    fx.customers(spark, fx.ALICE_FEB).write.parquet(stream_src)
+    res = main(
+        ["customer-stream", "--source", stream_src, "--warehouse", str(tmp_path / "wh2"), "--checkpoint", str(tmp_path / "ck")],
+        spark,
+    )
+    assert res["scd2_version"] == 2
