@@ -173,3 +173,14 @@ def test_command_line(spark, tmp_path):
         spark,
     )
     assert res["scd2_version"] == 2
+
+
+def test_lineage_cut_writes_below_the_checkpoint_folder(spark):
+    from strata.session import checkpoint_root, cut_lineage
+
+    df = fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN)
+    cut = cut_lineage(df)
+    files = cut.inputFiles()
+    assert files and all("strata-lineage" in f for f in files)
+    assert checkpoint_root(spark).split(":")[-1].rstrip("/") in files[0]
+    assert sorted(cut.collect()) == sorted(df.collect())
