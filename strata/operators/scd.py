@@ -241,10 +241,6 @@ def _merge_keyed(
     return joined.select(F.inline(emitted)), existing, target, out_cols
 
 
-def _cast_to(df: DataFrame, target: dict[str, DataType], out_cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast(target[c]).alias(c) for c in out_cols])
-
-
 def _carry(
     rows: DataFrame,
     key: str,
@@ -359,9 +355,7 @@ def scd2_merge(
 
 def new_or_changed_rows(existing: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
     """Latest incoming rows whose key has no current row or whose tracked values differ."""
-    return _changes_of(existing, incoming, (NEW, CHANGED), **kw).drop(
-        *SCD2_COLUMNS
-    )
+    return _changes_of(existing, incoming, (NEW, CHANGED), **kw).drop(*SCD2_COLUMNS)
 
 
 def closed_rows(existing: DataFrame, incoming: DataFrame, **kw) -> DataFrame:
