@@ -272,6 +272,12 @@ class DimensionStore:
         self._append_log(commit)
         return commit
 
+    def compact(self) -> Commit:
+        """Rewrite the latest version as a new base: one directory instead of the
+        closed rows of every version since the last base. Readers of older
+        versions are unaffected (their directories are kept)."""
+        return self.write_full(self.read())
+
     def merge(self, incoming: DataFrame, batch_id: int | None = None, **options) -> Commit:
         """Merge a snapshot into the latest version and commit the result.
 

@@ -112,3 +112,17 @@ def test_keyless_rows_stay_out_of_the_buckets(spark, scratch):
     assert "strata_current_" in plan  # keyed rows: the bucketed table
     assert "has_key" in plan  # keyless rows: their own partition, plain scan
     assert store.read().count() == 4
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_compact_keeps_the_dimension(spark, scratch, buckets):
+    store = _store(spark, f"{scratch}/dim", buckets)
+    for snap in ([fx.ALICE_JAN, fx.BOB_UK_JAN, fx.NULL_ID_JAN], [fx.ALICE_FEB], [fx.ALICE_MAR, fx.ZOE_MAR]):
+        store.merge(fx.customers(spark, *snap))
+    before = sorted(store.read().collect(), key=repr)
+    c = store.compact()
+    assert (c.version, c.base, c.kind) == (4, 4, "full")
+    assert sorted(store.read().collect(), key=repr) == before
+    assert sorted(store.read(3).collect(), key=repr) == before
+    store.merge(fx.customers(spark, fx.ALICE_MAR_99))
+    assert store.read().count() == len(before) + 1
