@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from strata.constants import (
     CUSTOMER_KEY,
+    CUSTOMER_ORDER,
     EFFECTIVE_FROM,
     EFFECTIVE_TO,
     HASH_VERSION,
     HASH_VERSION_COL,
     IS_CURRENT,
 )
+from strata.operators.dedupe import latest_per_key
 from strata.operators.scd import current_rows, with_hash_version
 
 
@@ -64,6 +66,24 @@ def open_history(dim: DataFrame) -> DataFrame:
     )
 
 
+def late_rows(
+    dim: DataFrame, incoming: DataFrame, key: str = CUSTOMER_KEY, order: str = CUSTOMER_ORDER
+) -> DataFrame:
+    """Latest incoming rows that are not newer than the current version of their key.
+
+    A merge applies them anyway (closing the current row before it starts)
+    unless ``late="ignore"``; run this before a merge to see them. Output: the
+    incoming row plus ``current_effective_from``. One shuffle per side by key;
+    keys are unique on both sides after deduplication, so no key can skew it.
+    """
+    latest = latest_per_key(incoming, key, order)
+    current = current_rows(dim).filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("__late_key"), F.col(EFFECTIVE_FROM).alias("current_effective_from")
+    )
+    joined = latest.join(current, latest[key] == current["__late_key"], "inner")
+    return joined.filter(F.col(order) <= F.col("current_effective_from")).drop("__late_key")
+
+
 def null_current_flags(dim: DataFrame) -> DataFrame:
     """Rows with a null ``is_current``: a merge reads them as neither current nor history."""
     return dim.filter(F.col(IS_CURRENT).isNull())

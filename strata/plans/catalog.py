@@ -25,6 +25,7 @@ from strata.operators.quality import (
     duplicate_keys,
     interval_violations,
     key_uniqueness,
+    late_rows,
     null_keys,
 )
 from strata.operators.rows import (
@@ -163,6 +164,7 @@ SPARK: dict[str, Query] = {
     "key_uniqueness": lambda s, d: key_uniqueness(scd1(_all_silver(s, d))),
     "null_key_rows": lambda s, d: null_keys(customer_states(s, d)),
     "interval_violations": lambda s, d: interval_violations(_out_of_order(s, d)),
+    "late_rows": lambda s, d: late_rows(_first_load(s, d, 3), _silver_snapshot(s, d, 1)),
     "dimension_report": lambda s, d: dimension_report(_out_of_order(s, d)),
 }
 
@@ -244,6 +246,17 @@ def _dup_sql(t: str, where: str = "") -> str:
     return f"SELECT customer_id, count(*) AS cnt FROM {t} {where} GROUP BY customer_id HAVING count(*) > 1"
 
 
+def _sql_late_rows(q: O.Sql) -> str:
+    state = _sql_first_load(q, 3, p="m1")
+    latest = q.add("late_l", O.latest(q.snapshot(1), SILVER))
+    return q.add(
+        "late",
+        f"SELECT {O.cols(SILVER, 'l')}, c.effective_from AS current_effective_from "
+        f"FROM {latest} l JOIN {state} c ON l.customer_id = c.customer_id "
+        f"WHERE c.is_current AND l.updated_at <= c.effective_from",
+    )
+
+
 _DIM_REPORT = """
 SELECT CAST(coalesce(sum(rows), 0) AS BIGINT) AS rows,
        CAST(coalesce(sum(current_rows), 0) AS BIGINT) AS current_rows,
@@ -352,6 +365,10 @@ SQL: dict[str, Callable[[], str]] = {
         _sql_out_of_order, lambda t: f"SELECT * FROM {t} WHERE effective_to < effective_from"
     ),
     "dimension_report": _one(_sql_out_of_order, lambda t: _DIM_REPORT.format(t=t)),
+    "late_rows": _one(
+        _sql_late_rows,
+        lambda t: f"SELECT * FROM {t}",
+    ),
 }
 
 

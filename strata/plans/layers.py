@@ -15,7 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.aggregates import revenue_by_country, revenue_by_segment, user_count_by_country
-from strata.operators.rows import silver_customers, silver_users
+from strata.operators.rows import (
+    filter_valid_customers,
+    silver_customers,
+    silver_users,
+    with_full_name,
+    with_revenue_tier,
+)
 from strata.operators.scd import scd1, scd2_merge
 from strata.plans.store import Commit, DimensionStore
 from strata.schemas import scd2_schema
@@ -157,6 +163,7 @@ def run_customer_job(
     strict: bool = False,
     register: bool = False,
     scd2_buckets: int | None = None,
+    track_deactivation: bool = False,
     **scd2_options,
 ) -> Commit:
     """Parquet -> bronze -> silver -> golds, SCD1, and one SCD2 merge.
@@ -164,7 +171,11 @@ def run_customer_job(
     The SCD2 dimension lives in a :class:`DimensionStore` under
     ``warehouse/dim_customers_scd2``; the returned commit names the new version.
     ``scd2_buckets`` keeps its current slice bucketed by ``customer_id`` so a
-    merge shuffles only the incoming snapshot.
+    merge shuffles only the incoming snapshot. By default the dimension is fed
+    from silver (active customers only), so a deactivated customer just stops
+    arriving and its last active version stays current; with
+    ``track_deactivation`` it is fed from all valid rows and ``is_active``
+    changes become versions like any other tracked change.
     """
     ds = {d.name: d for d in CUSTOMER_DATASETS}
     bronze_src = read_customers_parquet(spark, source_parquet, strict=strict)
@@ -174,7 +185,8 @@ def run_customer_job(
     _materialize(spark, revenue_by_segment(silver), warehouse, ds["gold_revenue_by_segment"], register)
     _materialize(spark, scd1(silver), warehouse, ds["dim_customers_scd1"], register)
     store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
-    return store.merge(silver, batch_id=batch_id, **scd2_options)
+    scd2_input = with_revenue_tier(with_full_name(filter_valid_customers(bronze))) if track_deactivation else silver
+    return store.merge(scd2_input, batch_id=batch_id, **scd2_options)
 
 
 def customer_dimension(

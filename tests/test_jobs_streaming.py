@@ -184,3 +184,33 @@ def test_lineage_cut_writes_below_the_checkpoint_folder(spark):
     assert files and all("strata-lineage" in f for f in files)
     assert checkpoint_root(spark).split(":")[-1].rstrip("/") in files[0]
     assert sorted(cut.collect()) == sorted(df.collect())
+
+
+def test_deactivation_becomes_a_version_when_tracked(spark, tmp_path):
+    from datetime import datetime
+
+    gone = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 75_000.0, False, datetime(2024, 2, 1))
+    for track, expected in ((False, [(True, True)]), (True, [(False, True), (True, False)])):
+        wh = str(tmp_path / f"wh{track}")
+        s1, s2 = str(tmp_path / f"a{track}"), str(tmp_path / f"b{track}")
+        fx.customers(spark, fx.ALICE_JAN).write.parquet(s1)
+        fx.customers(spark, gone).write.parquet(s2)
+        run_customer_job(spark, s1, wh, track_deactivation=track)
+        run_customer_job(spark, s2, wh, track_deactivation=track)
+        silver = spark.read.parquet(os.path.join(wh, "silver_valid_customers"))
+        dim = customer_dimension(spark, wh, silver.schema).read()
+        assert sorted((r.is_active, r.is_current) for r in dim.collect()) == expected
+
+
+def test_late_rows_report(spark):
+    from strata.operators.quality import late_rows
+
+    late = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime_(2023, 6, 1))
+    out = late_rows(fx.existing_state(spark), fx.customers(spark, late, fx.ZOE_MAR, fx.BOB_UK_MAR))
+    assert [(r.customer_id, r.current_effective_from) for r in out.collect()] == [("C001", fx.T2)]
+
+
+def datetime_(*a):
+    from datetime import datetime
+
+    return datetime(*a)
