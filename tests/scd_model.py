@@ -37,20 +37,46 @@ def latest(rows: list[dict], key: str, order: str, cols: list[str]) -> list[dict
     return [r for _, r in best.values()]
 
 
-def merge(state: list[dict], incoming: list[dict], key: str, order: str, src: list[str], tracked: list[str]) -> list[dict]:
+def merge(
+    state: list[dict],
+    incoming: list[dict],
+    key: str,
+    order: str,
+    src: list[str],
+    tracked: list[str],
+    compare: str = "hash",
+    late_ignore: bool = False,
+    absent_close_at=None,
+) -> list[dict]:
     lat = latest(incoming, key, order, src)
     cur = [r for r in state if r["is_current"] is True]
     hist = [r for r in state if r["is_current"] is False]
+
+    def differs(n, c):
+        if compare == "hash":
+            d = digest(["1"] + [n[t] for t in tracked]) != digest(["1"] + [c[t] for t in tracked])
+        else:
+            d = any(n[t] != c[t] for t in tracked)
+        if late_ignore and n[order] is not None and c["effective_from"] is not None:
+            d = d and not (n[order] <= c["effective_from"])
+        return d
+
     changed = []
     for n in lat:
         matches = [c for c in cur if n[key] is not None and c[key] == n[key]]
         if not matches:
             changed.append((n, None))
         for c in matches:
-            if digest(["1"] + [n[t] for t in tracked]) != digest(["1"] + [c[t] for t in tracked]):
+            if differs(n, c):
                 changed.append((n, c))
     changed_keys = {n[key] for n, _ in changed if n[key] is not None}
+    seen_keys = {n[key] for n in lat if n[key] is not None}
     unchanged = [c for c in cur if c[key] is None or c[key] not in changed_keys]
+    if absent_close_at is not None:
+        unchanged = [
+            c if (c[key] is not None and c[key] in seen_keys) else dict(c, effective_to=absent_close_at, is_current=False)
+            for c in unchanged
+        ]
     closed = [dict(c, effective_to=n[order], is_current=False) for n, c in changed if c is not None]
     inserted = [
         dict({s: n[s] for s in src}, effective_from=n[order], effective_to=None, is_current=True, hash_version=1)

@@ -263,16 +263,31 @@ def _canon(rows):
     return sorted(tuple(scd_model.text(r[c]) for c in MODEL_DIM.fieldNames()) for r in rows)
 
 
+MODEL_OPTIONS = {
+    "default": ({}, {}),
+    "struct": ({"compare": "struct"}, {"compare": "struct"}),
+    "late_ignore": ({"late": "ignore"}, {"late_ignore": True}),
+    "absent_close": (
+        {"absent": "close", "close_absent_at": datetime(2024, 6, 1)},
+        {"absent_close_at": datetime(2024, 6, 1)},
+    ),
+}
+
+
 @pytest.mark.parametrize("seed", range(6))
-def test_single_pass_merge_matches_model(spark, seed):
+@pytest.mark.parametrize("option", sorted(MODEL_OPTIONS))
+def test_single_pass_merge_matches_model(spark, seed, option):
+    spark_opts, model_opts = MODEL_OPTIONS[option]
     rng = random.Random(seed)
     state_model: list[dict] = []
     state_df = spark.createDataFrame([], MODEL_DIM)
     for step in range(3):
-        snap = _snapshot(rng, step * 5)
-        state_model = scd_model.merge(state_model, snap, "k", "ts", MODEL_SRC, ["a", "b"])
+        # late_ignore needs out-of-order snapshots to matter
+        day0 = (2 - step) * 5 if option == "late_ignore" and seed % 2 else step * 5
+        snap = _snapshot(rng, day0)
+        state_model = scd_model.merge(state_model, snap, "k", "ts", MODEL_SRC, ["a", "b"], **model_opts)
         snap_df = spark.createDataFrame([tuple(r[c] for c in MODEL_SRC) for r in snap], MODEL_SCHEMA)
-        state_df = scd2_merge(state_df, snap_df, "k", "ts", ["a", "b"])
+        state_df = scd2_merge(state_df, snap_df, "k", "ts", ["a", "b"], **spark_opts)
         got = [r.asDict() for r in state_df.collect()]
         assert _canon(got) == _canon(state_model), f"seed {seed} step {step}"
         state_df = spark.createDataFrame(got, MODEL_DIM)  # keep the lazy plan short
