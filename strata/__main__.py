@@ -1,7 +1,8 @@
 """Command line for the batch and streaming jobs (``spark-submit`` or ``python -m strata``).
 
     python -m strata user-job --source users.csv --warehouse /data/wh
-    python -m strata customer-job --source /landing/2024-03-01 --warehouse /data/wh --batch-id 20240301 --buckets 512
+    python -m strata customer-job --source /landing --warehouse /data/wh --batch-id 20240301 --buckets 512
+    python -m strata customer-job --incremental --source /landing/2024-03-01 --warehouse /data/wh --batch-id 20240301
     python -m strata customer-stream --source /landing --warehouse /data/wh [--checkpoint DIR]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,
@@ -31,6 +32,12 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--buckets", type=int, help="keep the SCD2 current slice bucketed by key")
     c.add_argument("--strict", action="store_true")
     c.add_argument("--register", action="store_true", help="register the datasets in the catalog")
+    c.add_argument(
+        "--incremental",
+        action="store_true",
+        help="the source holds one new batch (needs --batch-id): append it instead of a full refresh",
+    )
+    c.add_argument("--ignore-late", action="store_true", help="keep newer SCD2 versions when a batch is older")
     s = sub.add_parser("customer-stream", help="merge every new Parquet file batch into the SCD2 store")
     s.add_argument("--source", required=True)
     s.add_argument("--warehouse", required=True)
@@ -43,11 +50,20 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"strata-{args.command}").getOrCreate()
-    from strata.plans.layers import customer_dimension, run_customer_job, run_user_job
+    from strata.plans.layers import customer_dimension, run_customer_batch, run_customer_job, run_user_job
 
     if args.command == "user-job":
         result = {"datasets": run_user_job(spark, args.source, args.warehouse, strict=args.strict)}
+    elif args.command == "customer-job" and args.incremental:
+        if args.batch_id is None:
+            raise SystemExit("--incremental needs --batch-id")
+        late = {"late": "ignore"} if args.ignore_late else {}
+        commit = run_customer_batch(
+            spark, args.source, args.warehouse, args.batch_id, strict=args.strict, scd2_buckets=args.buckets, **late
+        )
+        result = {"scd2_version": commit.version, "path": commit.path}
     elif args.command == "customer-job":
+        late = {"late": "ignore"} if args.ignore_late else {}
         commit = run_customer_job(
             spark,
             args.source,
@@ -56,6 +72,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             strict=args.strict,
             register=args.register,
             scd2_buckets=args.buckets,
+            **late,
         )
         result = {"scd2_version": commit.version, "path": commit.path}
     else:

@@ -109,28 +109,19 @@ def _shuffle_partitions(spark: SparkSession, n: int):
             yield
 
 
-class DimensionStore:
-    """A type 2 dimension kept as append-only versions under ``root``."""
+class VersionedTable:
+    """A table kept as append-only versions under ``root``: every write goes to a
+    fresh directory, and a row in the version log commits it.
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        root: str,
-        schema: StructType,
-        key: str = CUSTOMER_KEY,
-        order: str = CUSTOMER_ORDER,
-        buckets: int | None = None,
-    ) -> None:
-        if IS_CURRENT not in schema.fieldNames():
-            raise ValueError("schema must be an SCD2 dimension schema")
-        if buckets is not None and buckets < 1:
-            raise ValueError("buckets must be positive")
+    Used directly for tables that are rewritten whole on each version (the
+    type 1 dimension of an incremental job); :class:`DimensionStore` builds
+    the type 2 layout on the same log.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
-        self.key = key
-        self.order = order
-        self.buckets = buckets
 
     # ---- paths ------------------------------------------------------------
 
@@ -182,6 +173,68 @@ class DimensionStore:
         )
         row.write.mode("append").json(self.log_path)
 
+    def _commit_for(self, version: int | None, commits: list[Commit] | None = None) -> Commit:
+        commits = self.commits() if commits is None else commits
+        if not commits:
+            raise ValueError("store is empty")
+        if version is None:
+            return commits[-1]
+        for c in commits:
+            if c.version == version:
+                return c
+        raise ValueError(f"version {version} is not committed")
+
+    def committed_batch(self, batch_id: int | None, commits: list[Commit] | None = None) -> Commit | None:
+        """The commit that recorded ``batch_id``, if any (replays are skipped)."""
+        if batch_id is None:
+            return None
+        for c in self.commits() if commits is None else commits:
+            if c.batch_id == batch_id:
+                return c
+        return None
+
+    # ---- whole-table versions ---------------------------------------------
+
+    def read_version(self, version: int | None = None) -> DataFrame:
+        """A version written by :meth:`write_version`."""
+        c = self._commit_for(version)
+        return self.spark.read.schema(self.schema).parquet(c.path)
+
+    def write_version(self, df: DataFrame, batch_id: int | None = None) -> Commit:
+        """Write ``df`` whole as the next version (skipped if ``batch_id`` is committed)."""
+        commits = self.commits()
+        done = self.committed_batch(batch_id, commits)
+        if done is not None:
+            return done
+        version = commits[-1].version + 1 if commits else 1
+        path = self._new_attempt_path(version)
+        df.select(*self.schema.fieldNames()).write.parquet(path)
+        commit = Commit(version, version, "full", batch_id, path, None)
+        self._append_log(commit)
+        return commit
+
+
+class DimensionStore(VersionedTable):
+    """A type 2 dimension kept as append-only versions under ``root``."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        key: str = CUSTOMER_KEY,
+        order: str = CUSTOMER_ORDER,
+        buckets: int | None = None,
+    ) -> None:
+        if IS_CURRENT not in schema.fieldNames():
+            raise ValueError("schema must be an SCD2 dimension schema")
+        if buckets is not None and buckets < 1:
+            raise ValueError("buckets must be positive")
+        super().__init__(spark, root, schema)
+        self.key = key
+        self.order = order
+        self.buckets = buckets
+
     # ---- reads --------------------------------------------------------------
 
     def _scan(self, paths: list[str]) -> DataFrame:
@@ -195,17 +248,6 @@ class DimensionStore:
         )
         return self.spark.read.schema(full).option("basePath", self.data_path).parquet(*paths)
 
-    def _commit_for(self, version: int | None, commits: list[Commit] | None = None) -> Commit:
-        commits = self.commits() if commits is None else commits
-        if not commits:
-            raise ValueError("store is empty")
-        if version is None:
-            return commits[-1]
-        for c in commits:
-            if c.version == version:
-                return c
-        raise ValueError(f"version {version} is not committed")
-
     def read(self, version: int | None = None) -> DataFrame:
         """The whole dimension at ``version`` (default: latest)."""
         commits = self.commits()
@@ -285,9 +327,9 @@ class DimensionStore:
         merge into an empty store loads the snapshot as version 1.
         """
         commits = self.commits()
-        for c in commits:
-            if batch_id is not None and c.batch_id == batch_id:
-                return c
+        done = self.committed_batch(batch_id, commits)
+        if done is not None:
+            return done
         last = commits[-1] if commits else None
         keyless = None
         if last is None:
