@@ -214,3 +214,18 @@ def datetime_(*a):
     from datetime import datetime
 
     return datetime(*a)
+
+
+def test_command_line_incremental(spark, tmp_path):
+    from strata.__main__ import main
+
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).write.parquet(a)
+    fx.customers(spark, fx.ALICE_FEB).write.parquet(b)
+    wh = str(tmp_path / "wh")
+    assert main(["customer-job", "--incremental", "--source", a, "--warehouse", wh, "--batch-id", "1"], spark)["scd2_version"] == 1
+    assert main(["customer-job", "--incremental", "--source", b, "--warehouse", wh, "--batch-id", "2"], spark)["scd2_version"] == 2
+    gold = {r.country: r.customer_count for r in spark.read.parquet(f"{wh}/gold_revenue_by_country").collect()}
+    assert gold == {"US": 2, "UK": 1}
+    with pytest.raises(SystemExit):
+        main(["customer-job", "--incremental", "--source", b, "--warehouse", wh], spark)
