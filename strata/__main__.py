@@ -38,7 +38,7 @@ def _parser() -> argparse.ArgumentParser:
         help="the source holds one new batch (needs --batch-id): append it instead of a full refresh",
     )
     c.add_argument("--ignore-late", action="store_true", help="keep newer SCD2 versions when a batch is older")
-    s = sub.add_parser("customer-stream", help="merge every new Parquet file batch into the SCD2 store")
+    s = sub.add_parser("customer-stream", help="run the incremental customer flow on every new batch of files")
     s.add_argument("--source", required=True)
     s.add_argument("--warehouse", required=True)
     s.add_argument("--checkpoint", help="default: below spark.checkpoint.dir")
@@ -78,13 +78,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     else:
         from strata.operators.rows import silver_customers
         from strata.schemas import CUSTOMER_SCHEMA
-        from strata.streaming import read_stream, scd2_stream
+        from strata.streaming import customer_stream, read_stream
 
-        silver_schema = silver_customers(spark.createDataFrame([], CUSTOMER_SCHEMA)).schema
-        store = customer_dimension(spark, args.warehouse, silver_schema, buckets=args.buckets)
         stream = read_stream(spark, args.source, CUSTOMER_SCHEMA, max_files_per_trigger=args.max_files_per_trigger)
-        scd2_stream(stream, store, checkpoint=args.checkpoint).awaitTermination()
-        latest = store.latest()
+        customer_stream(stream, args.warehouse, checkpoint=args.checkpoint, scd2_buckets=args.buckets).awaitTermination()
+        silver_schema = silver_customers(spark.createDataFrame([], CUSTOMER_SCHEMA)).schema
+        latest = customer_dimension(spark, args.warehouse, silver_schema).latest()
         result = {"scd2_version": latest.version if latest else None}
     print(json.dumps(result))
     return result

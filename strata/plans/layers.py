@@ -245,7 +245,7 @@ def customer_scd1_table(spark: SparkSession, warehouse: str, silver_schema) -> V
 
 def run_customer_batch(
     spark: SparkSession,
-    source_parquet: str,
+    source_parquet: str | DataFrame,
     warehouse: str,
     batch_id: int,
     *,
@@ -253,7 +253,8 @@ def run_customer_batch(
     scd2_buckets: int | None = None,
     **scd2_options,
 ) -> Commit:
-    """Incremental form of :func:`run_customer_job` for a source holding one new batch.
+    """Incremental form of :func:`run_customer_job` for a source holding one new batch
+    (a Parquet path, or the batch as a DataFrame -- e.g. a stream's micro-batch).
 
     Work per batch grows with the batch and the current dimension, not with
     everything ever loaded: bronze and silver get the batch appended under
@@ -270,7 +271,12 @@ def run_customer_batch(
     """
     ds = {d.name: d for d in CUSTOMER_DATASETS}
     bronze_path, silver_path = _path(warehouse, "bronze_customers"), _path(warehouse, "silver_valid_customers")
-    bronze = _write_batch(spark, read_customers_parquet(spark, source_parquet, strict=strict), bronze_path, batch_id)
+    source = (
+        source_parquet
+        if isinstance(source_parquet, DataFrame)
+        else read_customers_parquet(spark, source_parquet, strict=strict)
+    )
+    bronze = _write_batch(spark, source, bronze_path, batch_id)
     silver = _write_batch(spark, silver_customers(bronze), silver_path, batch_id)
     partials_path = _path(warehouse, _PARTIALS)
     partials = _write_batch(spark, gold_partials(silver), partials_path, batch_id)

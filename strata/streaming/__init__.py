@@ -1,5 +1,5 @@
 """Incremental ingestion with Structured Streaming."""
 
-from strata.streaming.incremental import ingest_stream, read_stream, scd2_stream
+from strata.streaming.incremental import customer_stream, ingest_stream, read_stream, scd2_stream
 
-__all__ = ["ingest_stream", "read_stream", "scd2_stream"]
+__all__ = ["customer_stream", "ingest_stream", "read_stream", "scd2_stream"]

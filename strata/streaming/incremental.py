@@ -67,6 +67,36 @@ def ingest_stream(
     return writer.start()
 
 
+def customer_stream(
+    stream: DataFrame,
+    warehouse: str,
+    *,
+    name: str = "customers",
+    checkpoint: str | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    scd2_buckets: int | None = None,
+    **scd2_options,
+) -> StreamingQuery:
+    """Run the whole incremental customer flow on every micro-batch: bronze and
+    silver appended, golds, type 1 and type 2 dimensions updated (see
+    :func:`strata.plans.layers.run_customer_batch`). The micro-batch id is the
+    batch id, so a batch replayed after a failure replaces its own folders and
+    skips the versions it already committed."""
+    from strata.plans.layers import run_customer_batch
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        run_customer_batch(
+            batch.sparkSession, batch, warehouse, batch_id, scd2_buckets=scd2_buckets, **scd2_options
+        )
+
+    writer = stream.writeStream.foreachBatch(process).option(
+        "checkpointLocation", _checkpoint(stream.sparkSession, name, checkpoint)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
+    return writer.start()
+
+
 def scd2_stream(
     stream: DataFrame,
     store: DimensionStore,

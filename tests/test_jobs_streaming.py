@@ -229,3 +229,20 @@ def test_command_line_incremental(spark, tmp_path):
     assert gold == {"US": 2, "UK": 1}
     with pytest.raises(SystemExit):
         main(["customer-job", "--incremental", "--source", b, "--warehouse", wh], spark)
+
+
+def test_customer_stream_runs_the_incremental_flow(spark, tmp_path):
+    from strata.plans.layers import customer_scd1_table
+    from strata.streaming import customer_stream
+
+    src, wh, ck = str(tmp_path / "landing"), str(tmp_path / "wh"), str(tmp_path / "ck")
+    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).coalesce(1).write.mode("append").parquet(src)
+    customer_stream(read_stream(spark, src, CUSTOMER_SCHEMA), wh, checkpoint=ck).awaitTermination(120)
+    fx.customers(spark, fx.ALICE_FEB, fx.ZOE_MAR).coalesce(1).write.mode("append").parquet(src)
+    customer_stream(read_stream(spark, src, CUSTOMER_SCHEMA), wh, checkpoint=ck).awaitTermination(120)
+    silver_schema = silver_customers(fx.customers(spark)).schema
+    assert [c.batch_id for c in customer_dimension(spark, wh, silver_schema).commits()] == [0, 1]
+    scd1 = {r.customer_id: r.revenue_ytd for r in customer_scd1_table(spark, wh, silver_schema).read_version().collect()}
+    assert scd1 == {"C001": 80_000.0, "C002": 20_000.0, "C999": 200_000.0}
+    gold = {r.country: r.customer_count for r in spark.read.parquet(f"{wh}/gold_revenue_by_country").collect()}
+    assert gold == {"US": 2, "UK": 1, "CN": 1}
