@@ -206,29 +206,40 @@ def _merge_keyed(
     if late == "ignore":
         differs = differs & ~F.coalesce(nc(order) <= oc(EFFECTIVE_FROM), F.lit(False))
 
-    # each column is cast once per side and reused by every struct below
-    def cast(values: dict[str, Column]) -> dict[str, Column]:
-        return {c: v.cast(target[c]).alias(c) for c, v in values.items()}
+    # each column is cast once per side (only where its type differs from the
+    # output type) and reused by every struct below
+    def cast(values: dict[str, Column], types: dict[str, DataType]) -> dict[str, Column]:
+        return {
+            c: v if types.get(c) == target[c] else v.cast(target[c]).alias(c) for c, v in values.items()
+        }
 
-    inserted = {c: nc(c) for c in src_cols}
+    inserted = cast({c: nc(c) for c in src_cols}, in_types)
     inserted.update(
-        {
-            EFFECTIVE_FROM: nc(order),
-            EFFECTIVE_TO: F.lit(None),
-            IS_CURRENT: F.lit(True),
-            HASH_VERSION_COL: F.lit(HASH_VERSION),
-        }
+        cast(
+            {
+                EFFECTIVE_FROM: nc(order).alias(EFFECTIVE_FROM),
+                EFFECTIVE_TO: F.lit(None),
+                IS_CURRENT: F.lit(True),
+                HASH_VERSION_COL: F.lit(HASH_VERSION),
+            },
+            {EFFECTIVE_FROM: in_types[order]},
+        )
+    )
+    kept = cast({c: oc(c) for c in out_cols}, ex_types)
+    closed = dict(
+        kept,
+        **cast(
+            {EFFECTIVE_TO: nc(order).alias(EFFECTIVE_TO), IS_CURRENT: F.lit(False)},
+            {EFFECTIVE_TO: in_types[order]},
+        ),
     )
-    inserted = cast(inserted)
-    kept = cast({c: oc(c) for c in out_cols})
-    closed = dict(kept, **cast({EFFECTIVE_TO: nc(order), IS_CURRENT: F.lit(False)}))
 
     def row(values: dict[str, Column], change: str) -> Column:
         return F.struct(*[values[c] for c in out_cols], F.lit(change).alias(CHANGE))
 
     if absent == "close":
         at = close_absent_at if isinstance(close_absent_at, Column) else F.lit(close_absent_at)
-        absent_row = row(dict(kept, **cast({EFFECTIVE_TO: at, IS_CURRENT: F.lit(False)})), CLOSED)
+        absent_row = row(dict(kept, **cast({EFFECTIVE_TO: at, IS_CURRENT: F.lit(False)}, {})), CLOSED)
     else:
         absent_row = row(kept, ABSENT)
 
@@ -260,8 +271,10 @@ def _carry(
         label = F.when(keyless, F.lit(CLOSED))
     else:
         label = F.when(keyless, F.lit(ABSENT))
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    as_is = {c for c in out_cols if types.get(c) == target[c] and c not in (EFFECTIVE_TO, IS_CURRENT)}
     return rows.select(
-        *[cols[c].cast(target[c]).alias(c) for c in out_cols],
+        *[cols[c] if c in as_is else cols[c].cast(target[c]).alias(c) for c in out_cols],
         label.alias(CHANGE),
     )
 
