@@ -5,11 +5,11 @@ unparsable CSV value becomes null, a short row is padded, CSV headers are
 matched by position, a Parquet column that is missing reads as null.
 
 ``strict=True`` checks the actual source against the schema *before* any data
-is read -- the CSV header line, or the Parquet footer schema -- and raises
-:class:`SchemaDriftError` on a difference; for CSV it also reads in
-``FAILFAST`` mode so a malformed row fails the job instead of turning into
-nulls. Neither check scans the data: the header is one line and the footer
-schema comes from file metadata.
+is read -- the CSV header line, or the merged footer schemas of all Parquet
+files -- and raises :class:`SchemaDriftError` on a difference; for CSV it also
+reads in ``FAILFAST`` mode so a malformed row fails the job instead of turning
+into nulls. Neither check scans the data: the header is one line and footer
+schemas come from file metadata.
 """
 
 from __future__ import annotations
@@ -44,9 +44,19 @@ def read_csv(
 def read_parquet(
     spark: SparkSession, path: str, schema: StructType, *, strict: bool = False
 ) -> DataFrame:
-    """Parquet files read with ``schema``; only the declared columns are scanned."""
+    """Parquet files read with ``schema``; only the declared columns are scanned.
+
+    ``strict`` merges the footer schemas of *all* files (Spark runs that as a
+    distributed job over the footers) so drift in any one file is caught.
+    """
     if strict:
-        actual = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+        try:
+            merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+        except Exception as exc:
+            if "CANNOT_MERGE" in str(exc) or "incompatible" in str(exc).lower():
+                raise SchemaDriftError(f"{path}: files disagree on column types: {exc}") from exc
+            raise
+        actual = {f.name: f.dataType for f in merged.fields}
         problems = []
         for f in schema.fields:
             if f.name not in actual:

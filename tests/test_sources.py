@@ -94,3 +94,17 @@ def fx_lit():
     from pyspark.sql import functions as F
 
     return F.lit(datetime(2020, 1, 1))
+
+
+def test_strict_parquet_checks_every_file(spark, scratch):
+    path = f"{scratch}/c"
+    fx.customers(spark, fx.ALICE_JAN).write.mode("append").parquet(path)
+    fx.customers(spark, fx.BOB_UK_JAN).drop("email").write.mode("append").parquet(path)
+    # the merged schema still has every column: accepted, the missing values read as null
+    assert read_customers_parquet(spark, path, strict=True).count() == 2
+    schema = StructType([StructField(f.name, StringType() if f.name == "revenue_ytd" else f.dataType) for f in CUSTOMER_SCHEMA])
+    row = list(fx.ZOE_MAR)
+    row[7] = "200000"
+    spark.createDataFrame([tuple(row)], schema).write.mode("append").parquet(path)
+    with pytest.raises(SchemaDriftError):
+        read_customers_parquet(spark, path, strict=True)
