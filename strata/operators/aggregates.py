@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 
+MONEY = DecimalType(18, 2)
+MONEY_SUM = DecimalType(38, 2)
+
+
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "count") -> DataFrame:
     """Row count per group; a null key value forms its own group."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -24,12 +28,24 @@ def user_count_by_country(df: DataFrame) -> DataFrame:
     return count_by(df, ["country"], "user_count")
 
 
-def revenue_by_country(df: DataFrame, revenue: str = "revenue_ytd") -> DataFrame:
+def revenue_by_country(df: DataFrame, revenue: str = "revenue_ytd", exact: bool = False) -> DataFrame:
     """country, customer_count, total_revenue, avg_revenue (sum and avg rounded to 2).
 
     ``customer_count`` counts rows, not distinct customers; null revenue is
-    skipped by sum/avg but the row is counted.
+    skipped by sum/avg but the row is counted. ``exact=True`` sums the amounts
+    as ``decimal(18,2)`` and divides in decimal (order-independent; results
+    returned as doubles).
     """
+    if exact:
+        amount = F.col(revenue).cast(MONEY)
+        # a decimal(38,2) sum makes the division round at 6 decimals, the same
+        # arithmetic as the partial sums of the incremental job
+        total, n = F.sum(amount).cast(MONEY_SUM), F.count(amount)
+        return df.groupBy("country").agg(
+            F.count(F.lit(1)).alias("customer_count"),
+            F.round(total, 2).cast("double").alias("total_revenue"),
+            F.round(F.when(n > 0, total / n), 2).cast("double").alias("avg_revenue"),
+        )
     return df.groupBy("country").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.round(F.sum(revenue), 2).alias("total_revenue"),
@@ -37,9 +53,6 @@ def revenue_by_country(df: DataFrame, revenue: str = "revenue_ytd") -> DataFrame
     )
 
 
-MONEY = DecimalType(18, 2)
-
-
 def revenue_by_segment(
     df: DataFrame, revenue: str = "revenue_ytd", round_to: int | None = None, exact: bool = False
 ) -> DataFrame:

@@ -118,6 +118,7 @@ SPARK: dict[str, Query] = {
     "silver_valid_customers": _all_silver,
     # gold
     "revenue_by_country": lambda s, d: revenue_by_country(_all_silver(s, d)),
+    "revenue_by_country_exact": lambda s, d: revenue_by_country(_all_silver(s, d), exact=True),
     "revenue_by_segment": lambda s, d: revenue_by_segment(_all_silver(s, d), round_to=2),
     "revenue_by_segment_exact": lambda s, d: revenue_by_segment(_all_silver(s, d), exact=True),
     # dedup / type 1
@@ -257,6 +258,19 @@ def _sql_late_rows(q: O.Sql) -> str:
     )
 
 
+# Spark's decimal arithmetic in integer cents: the average is rounded HALF_UP to
+# 6 decimals by the division, then HALF_UP to 2 (all amounts are positive)
+_EXACT_BY_COUNTRY = """
+SELECT country, customer_count, CAST(cents AS DOUBLE) / 100 AS total_revenue,
+       CASE WHEN n > 0 THEN CAST(((cents * 20000 + n) // (2 * n) + 5000) // 10000 AS DOUBLE) / 100 END
+         AS avg_revenue
+FROM (
+  SELECT country, count(*) AS customer_count, count(revenue_ytd) AS n,
+         CAST(sum(CAST(revenue_ytd AS DECIMAL(18, 2))) * 100 AS HUGEINT) AS cents
+  FROM {t} GROUP BY country
+)
+"""
+
 _DIM_REPORT = """
 SELECT CAST(coalesce(sum(rows), 0) AS BIGINT) AS rows,
        CAST(coalesce(sum(current_rows), 0) AS BIGINT) AS current_rows,
@@ -303,6 +317,7 @@ SQL: dict[str, Callable[[], str]] = {
         lambda t: f"SELECT country, revenue_tier, count(*) AS customer_count, "
         f"{O.round2('sum(revenue_ytd)')} AS total_revenue FROM {t} GROUP BY country, revenue_tier",
     ),
+    "revenue_by_country_exact": _one(_sql_all_silver, lambda t: _EXACT_BY_COUNTRY.format(t=t)),
     "revenue_by_segment_exact": _one(
         _sql_all_silver,
         lambda t: f"SELECT country, revenue_tier, count(*) AS customer_count, "

@@ -14,9 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
-from strata.operators.aggregates import revenue_by_country, revenue_by_segment, user_count_by_country
+from strata.operators.aggregates import MONEY, revenue_by_country, revenue_by_segment, user_count_by_country
 from strata.operators.rows import (
     filter_valid_customers,
     silver_customers,
@@ -145,6 +144,11 @@ def _materialize(spark: SparkSession, df: DataFrame, warehouse: str, ds: Dataset
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _materialize_path(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_user_job(
     spark: SparkSession, source_csv: str, warehouse: str, *, strict: bool = False, register: bool = False
 ) -> dict[str, str]:
@@ -166,10 +170,15 @@ def run_customer_job(
     register: bool = False,
     scd2_buckets: int | None = None,
     track_deactivation: bool = False,
+    exact_money: bool = False,
     **scd2_options,
 ) -> Commit:
     """Parquet -> bronze -> silver -> golds, SCD1, and one SCD2 merge.
 
+    ``exact_money`` builds both golds from one scan of silver through the same
+    partial sums the incremental job stores (exact decimal sums) instead of
+    two double-sum aggregates.
+
     The SCD2 dimension lives in a :class:`DimensionStore` under
     ``warehouse/dim_customers_scd2``; the returned commit names the new version.
     ``scd2_buckets`` keeps its current slice bucketed by ``customer_id`` so a
@@ -183,8 +192,13 @@ def run_customer_job(
     bronze_src = read_customers_parquet(spark, source_parquet, strict=strict)
     bronze = _materialize(spark, bronze_src, warehouse, ds["bronze_customers"], register)
     silver = _materialize(spark, silver_customers(bronze), warehouse, ds["silver_valid_customers"], register)
-    _materialize(spark, revenue_by_country(silver), warehouse, ds["gold_revenue_by_country"], register)
-    _materialize(spark, revenue_by_segment(silver), warehouse, ds["gold_revenue_by_segment"], register)
+    if exact_money:
+        partials = _materialize_path(spark, gold_partials(silver), _path(warehouse, _PARTIALS))
+        for name, gold in golds_from_partials(partials).items():
+            _materialize(spark, gold, warehouse, ds[name], register)
+    else:
+        _materialize(spark, revenue_by_country(silver), warehouse, ds["gold_revenue_by_country"], register)
+        _materialize(spark, revenue_by_segment(silver), warehouse, ds["gold_revenue_by_segment"], register)
     _materialize(spark, scd1(silver), warehouse, ds["dim_customers_scd1"], register)
     store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
     scd2_input = with_revenue_tier(with_full_name(filter_valid_customers(bronze))) if track_deactivation else silver
@@ -212,9 +226,9 @@ def _read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def gold_partials(silver: DataFrame, revenue: str = "revenue_ytd") -> DataFrame:
-    """Additive per-batch state of both golds: rows, exact revenue sum and the
-    number of rows with a revenue, per country and tier."""
-    amount = F.col(revenue).cast(DecimalType(38, 2))
+    """Additive per-batch state of both golds: rows, exact revenue sum
+    (``decimal(38,2)``) and the number of rows with a revenue, per country and tier."""
+    amount = F.col(revenue).cast(MONEY)
     return silver.groupBy("country", "revenue_tier").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(amount).alias("revenue_sum"),

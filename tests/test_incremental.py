@@ -92,3 +92,21 @@ def test_rerunning_a_batch_changes_nothing(spark, tmp_path):
         _rows(spark.read.parquet(f"{wh}/gold_revenue_by_country")),
     )
     assert before == after
+
+
+def test_exact_golds_of_full_and_incremental_jobs_are_equal(spark, tmp_path):
+    batches, cumulative = _batches(spark, tmp_path)
+    inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
+    for i, b in enumerate(batches):
+        run_customer_batch(spark, b, inc, batch_id=i)
+    run_customer_job(spark, cumulative[-1], full, exact_money=True)
+    for name in ("gold_revenue_by_country", "gold_revenue_by_segment"):
+        assert _rows(spark.read.parquet(f"{inc}/{name}")) == _rows(spark.read.parquet(f"{full}/{name}"))
+    # the one-scan golds equal the exact aggregate operators
+    from strata.operators.aggregates import revenue_by_country, revenue_by_segment
+
+    silver = spark.read.parquet(f"{full}/silver_valid_customers")
+    assert _rows(revenue_by_country(silver, exact=True)) == _rows(spark.read.parquet(f"{full}/gold_revenue_by_country"))
+    assert _rows(revenue_by_segment(silver, exact=True).select("country", "revenue_tier", "customer_count", "total_revenue")) == _rows(
+        spark.read.parquet(f"{full}/gold_revenue_by_segment")
+    )
