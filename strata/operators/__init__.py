@@ -13,7 +13,10 @@ from strata.operators.quality import (
     duplicate_keys,
     interval_violations,
     key_uniqueness,
+    late_rows,
+    null_current_flags,
     null_keys,
+    open_history,
 )
 from strata.operators.rows import (
     keep_active,
@@ -25,29 +28,41 @@ from strata.operators.rows import (
 )
 from strata.operators.scd import (
     close_stale_versions,
+    closed_rows,
     current_rows,
     empty_dimension,
+    historical_rows,
     history_rows,
+    inserted_rows,
+    new_or_changed_rows,
     scd1,
     scd2_changes,
     scd2_merge,
     stale_hash_rows,
+    unchanged_current_rows,
+    with_hash_version,
 )
 
 __all__ = [
     "close_stale_versions",
+    "closed_rows",
     "count_by",
     "current_rows",
     "dimension_report",
     "duplicate_current",
     "duplicate_keys",
     "empty_dimension",
+    "historical_rows",
     "history_rows",
+    "inserted_rows",
     "interval_violations",
     "keep_active",
     "key_uniqueness",
-    "latest_per_key",
+    "late_rows",
+    "new_or_changed_rows",
+    "null_current_flags",
     "null_keys",
+    "open_history",
     "require_not_null",
     "revenue_by_country",
     "revenue_by_segment",
@@ -57,7 +72,9 @@ __all__ = [
     "silver_customers",
     "silver_users",
     "stale_hash_rows",
+    "unchanged_current_rows",
     "user_count_by_country",
     "with_full_name",
+    "with_hash_version",
     "with_revenue_tier",
 ]
