@@ -43,7 +43,7 @@ from strata.constants import (
     IS_CURRENT,
     TRACKED_COLUMNS,
 )
-from strata.functions.columns import change_hash
+from strata.functions.columns import change_hash, row_digest
 from strata.operators.dedupe import latest_per_key
 from strata.schemas import SCD2_COLUMNS
 
@@ -69,6 +69,47 @@ def scd1(df: DataFrame, key: str = CUSTOMER_KEY, order: str = CUSTOMER_ORDER) ->
     return latest_per_key(df, key, order)
 
 
+def scd1_merge(
+    previous: DataFrame,
+    incoming: DataFrame,
+    key: str = CUSTOMER_KEY,
+    order: str = CUSTOMER_ORDER,
+) -> DataFrame:
+    """Type 1 dimension after a new batch: equals ``scd1(previous ∪ incoming)``.
+
+    ``previous`` already holds one row per key. The batch is reduced to its
+    latest row per key and full-outer joined with it; per key the later row
+    wins (greater ``order``, a null ``order`` losing to any value, then the
+    greater row digest -- the same total order as :func:`scd1`). Only the
+    batch is shuffled when ``previous`` is partitioned by the key (a bucketed
+    table). The at most two rows without a key are reduced on their own.
+    """
+    if sorted(previous.columns) != sorted(incoming.columns):
+        raise SchemaMismatchError("previous and incoming must have the same columns")
+    cols = previous.columns
+    incoming = incoming.select(*cols)
+    latest = latest_per_key(incoming, key, order)
+    keyed_prev = previous.filter(F.col(key).isNotNull())
+    n = latest.filter(F.col(key).isNotNull()).withColumn(_N, F.lit(True))
+    o = keyed_prev.withColumn(_O, F.lit(True))
+    joined = n.alias("n").join(o.alias("o"), F.col(f"n.{key}") == F.col(f"o.{key}"), "full_outer")
+    n_order, o_order = F.col(f"n.{order}"), F.col(f"o.{order}")
+    n_wins = F.col(f"n.{_N}").isNotNull() & (
+        F.col(f"o.{_O}").isNull()
+        | (o_order.isNull() & n_order.isNotNull())
+        | (n_order > o_order)
+        | (n_order.eqNullSafe(o_order) & (row_digest(cols, qualifier="n") > row_digest(cols, qualifier="o")))
+    )
+    winner = F.when(n_wins, F.struct(*[F.col(f"n.{c}").alias(c) for c in cols])).otherwise(
+        F.struct(*[F.col(f"o.{c}").alias(c) for c in cols])
+    )
+    keyed = joined.select(winner.alias("__strata_row")).select("__strata_row.*")
+    keyless = latest_per_key(
+        previous.filter(F.col(key).isNull()).unionByName(latest.filter(F.col(key).isNull())), key, order
+    )
+    return keyed.unionByName(keyless)
+
+
 # ---------------------------------------------------------------------------
 # Slices of a type 2 dimension
 # ---------------------------------------------------------------------------

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.constants import CUSTOMER_KEY
 from strata.operators.aggregates import MONEY, revenue_by_country, revenue_by_segment, user_count_by_country
 from strata.operators.rows import (
     filter_valid_customers,
@@ -23,7 +24,7 @@ from strata.operators.rows import (
     with_full_name,
     with_revenue_tier,
 )
-from strata.operators.scd import scd1, scd2_merge
+from strata.operators.scd import scd1, scd1_merge, scd2_merge
 from strata.plans.store import Commit, DimensionStore, VersionedTable
 from strata.schemas import scd2_schema
 from strata.sources.files import read_customers_parquet, read_users_csv
@@ -252,9 +253,14 @@ def golds_from_partials(partials: DataFrame) -> dict[str, DataFrame]:
     return {"gold_revenue_by_country": by_country, "gold_revenue_by_segment": by_segment}
 
 
-def customer_scd1_table(spark: SparkSession, warehouse: str, silver_schema) -> VersionedTable:
-    """The type 1 dimension of the incremental job (one whole version per batch)."""
-    return VersionedTable(spark, _path(warehouse, "dim_customers_scd1"), silver_schema)
+def customer_scd1_table(
+    spark: SparkSession, warehouse: str, silver_schema, buckets: int | None = None
+) -> VersionedTable:
+    """The type 1 dimension of the incremental job (one whole version per batch,
+    optionally bucketed by ``customer_id``)."""
+    return VersionedTable(
+        spark, _path(warehouse, "dim_customers_scd1"), silver_schema, key=CUSTOMER_KEY, buckets=buckets
+    )
 
 
 def run_customer_batch(
@@ -274,9 +280,11 @@ def run_customer_batch(
     everything ever loaded: bronze and silver get the batch appended under
     ``batch_id=<id>``; the golds are re-aggregated from stored per-batch
     partial sums (exact ``decimal`` sums, so the order of batches does not
-    matter); the type 1 dimension becomes latest(previous version + batch);
-    the type 2 dimension merges the batch. Every step can be re-run for the
-    same ``batch_id``: batch folders are replaced, committed versions skipped.
+    matter); the type 1 dimension is merged with the batch
+    (:func:`strata.operators.scd.scd1_merge`); the type 2 dimension merges the
+    batch. With ``scd2_buckets`` both dimensions are kept bucketed by key, so
+    only the batch is shuffled. Every step can be re-run for the same
+    ``batch_id``: batch folders are replaced, committed versions skipped.
 
     For batches that arrive in order the datasets equal a full refresh over
     all batches. A batch that is older than the current versions is applied
@@ -297,11 +305,10 @@ def run_customer_batch(
     for name, gold in golds_from_partials(_read_batches(spark, partials_path, partials.schema)).items():
         _materialize(spark, gold, warehouse, ds[name], register=False)
 
-    scd1_table = customer_scd1_table(spark, warehouse, silver.schema)
+    scd1_table = customer_scd1_table(spark, warehouse, silver.schema, buckets=scd2_buckets)
     if scd1_table.committed_batch(batch_id) is None:
         previous = scd1_table.read_version() if scd1_table.latest() else None
-        candidates = silver if previous is None else previous.unionByName(silver)
-        scd1_table.write_version(scd1(candidates), batch_id)
+        scd1_table.write_version(scd1(silver) if previous is None else scd1_merge(previous, silver), batch_id)
 
     store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
     return store.merge(silver, batch_id=batch_id, **scd2_options)

@@ -109,6 +109,40 @@ def _shuffle_partitions(spark: SparkSession, n: int):
             yield
 
 
+def _write_bucketed(
+    spark: SparkSession, rows: DataFrame, path: str, key: str, buckets: int, partition_by: tuple[str, ...] = ()
+) -> None:
+    """Write ``rows`` to ``path`` bucketed by ``key`` (``bucketBy`` needs a catalog
+    table: a temporary external one is created and dropped, the files stay)."""
+    tmp = "strata_write_" + uuid.uuid4().hex[:16]
+    with _shuffle_partitions(spark, buckets):
+        writer = rows.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.bucketBy(buckets, key).option("path", path).saveAsTable(tmp)
+    spark.sql(f"DROP TABLE IF EXISTS {tmp}")
+
+
+def _bucketed_name(location: str) -> str:
+    return "strata_bucketed_" + hashlib.sha1(location.encode()).hexdigest()[:16]
+
+
+def _drop_bucketed(spark: SparkSession, location: str) -> None:
+    """Forget the table registered over ``location`` (external: the files stay)."""
+    spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(location)}")
+
+
+def _bucketed_table(spark: SparkSession, location: str, fields, key: str, buckets: int) -> str:
+    """Register (once) an external bucketed table over ``location`` and return its name."""
+    name = _bucketed_name(location)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+        f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+    )
+    return name
+
+
 class VersionedTable:
     """A table kept as append-only versions under ``root``: every write goes to a
     fresh directory, and a row in the version log commits it.
@@ -118,10 +152,21 @@ class VersionedTable:
     the type 2 layout on the same log.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        key: str | None = None,
+        buckets: int | None = None,
+    ) -> None:
+        if buckets is not None and (buckets < 1 or key is None):
+            raise ValueError("buckets must be positive and need a key")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self.key = key
+        self.buckets = buckets
 
     # ---- paths ------------------------------------------------------------
 
@@ -196,21 +241,35 @@ class VersionedTable:
     # ---- whole-table versions ---------------------------------------------
 
     def read_version(self, version: int | None = None) -> DataFrame:
-        """A version written by :meth:`write_version`."""
+        """A version written by :meth:`write_version` (a bucketed table if written so)."""
         c = self._commit_for(version)
-        return self.spark.read.schema(self.schema).parquet(c.path)
+        if not c.buckets:
+            return self.spark.read.schema(self.schema).parquet(c.path)
+        name = _bucketed_table(self.spark, c.path, self.schema.fields, self.key, c.buckets)
+        return self.spark.table(name).select(*self.schema.fieldNames())
 
     def write_version(self, df: DataFrame, batch_id: int | None = None) -> Commit:
-        """Write ``df`` whole as the next version (skipped if ``batch_id`` is committed)."""
+        """Write ``df`` whole as the next version (skipped if ``batch_id`` is committed).
+
+        Bucketed tables write with ``spark.sql.shuffle.partitions`` pinned to the
+        bucket count, so a plan that joins a bucketed version with shuffled data
+        lines both sides up without re-shuffling the version.
+        """
         commits = self.commits()
         done = self.committed_batch(batch_id, commits)
         if done is not None:
             return done
         version = commits[-1].version + 1 if commits else 1
         path = self._new_attempt_path(version)
-        df.select(*self.schema.fieldNames()).write.parquet(path)
-        commit = Commit(version, version, "full", batch_id, path, None)
+        rows = df.select(*self.schema.fieldNames())
+        if self.buckets:
+            _write_bucketed(self.spark, rows, path, self.key, self.buckets)
+        else:
+            rows.write.parquet(path)
+        commit = Commit(version, version, "full", batch_id, path, self.buckets)
         self._append_log(commit)
+        if commits and commits[-1].buckets:
+            _drop_bucketed(self.spark, commits[-1].path)
         return commit
 
 
@@ -228,12 +287,8 @@ class DimensionStore(VersionedTable):
     ) -> None:
         if IS_CURRENT not in schema.fieldNames():
             raise ValueError("schema must be an SCD2 dimension schema")
-        if buckets is not None and buckets < 1:
-            raise ValueError("buckets must be positive")
-        super().__init__(spark, root, schema)
-        self.key = key
+        super().__init__(spark, root, schema, key=key, buckets=buckets)
         self.order = order
-        self.buckets = buckets
 
     # ---- reads --------------------------------------------------------------
 
@@ -261,9 +316,6 @@ class DimensionStore(VersionedTable):
         """Only the current slice at ``version`` (bucketed by key if written so)."""
         return self._read_current(self._commit_for(version))
 
-    def _current_table(self, c: Commit) -> str:
-        return "strata_current_" + hashlib.sha1(c.path.encode()).hexdigest()[:16]
-
     def _read_current(self, c: Commit) -> DataFrame:
         keyed, keyless = self._current_parts(c)
         return keyed if keyless is None else keyed.unionByName(keyless)
@@ -274,16 +326,9 @@ class DimensionStore(VersionedTable):
         if not c.buckets:
             return self._scan([c.path]).filter(current).select(*self.schema.fieldNames()), None
         keyless = self._scan([c.path]).filter(current & ~F.col(HAS_KEY)).select(*self.schema.fieldNames())
-        name = self._current_table(c)
-        cols = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields if f.name != IS_CURRENT
-        )
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-            f"CLUSTERED BY (`{self.key}`) INTO {c.buckets} BUCKETS "
-            f"LOCATION '{c.path}/{IS_CURRENT}=true/{HAS_KEY}=true'"
-        )
-        keyed = self.spark.table(name).withColumn(IS_CURRENT, F.lit(True)).select(*self.schema.fieldNames())
+        fields = [f for f in self.schema.fields if f.name != IS_CURRENT]
+        location = f"{c.path}/{IS_CURRENT}=true/{HAS_KEY}=true"
+        keyed = self.spark.table(_bucketed_table(self.spark, location, fields, self.key, c.buckets)).withColumn(IS_CURRENT, F.lit(True)).select(*self.schema.fieldNames())
         return keyed, keyless
 
     # ---- writes -------------------------------------------------------------
@@ -293,16 +338,8 @@ class DimensionStore(VersionedTable):
         rows = rows.select(*self.schema.fieldNames(), F.col(self.key).isNotNull().alias(HAS_KEY))
         if not self.buckets:
             rows.write.partitionBy(IS_CURRENT, HAS_KEY).parquet(path)
-            return path
-        tmp = "strata_write_" + uuid.uuid4().hex[:16]
-        with _shuffle_partitions(self.spark, self.buckets):
-            (
-                rows.write.partitionBy(IS_CURRENT, HAS_KEY)
-                .bucketBy(self.buckets, self.key)
-                .option("path", path)
-                .saveAsTable(tmp)
-            )
-        self.spark.sql(f"DROP TABLE IF EXISTS {tmp}")  # external table: the files stay
+        else:
+            _write_bucketed(self.spark, rows, path, self.key, self.buckets, (IS_CURRENT, HAS_KEY))
         return path
 
     def write_full(self, dim: DataFrame, batch_id: int | None = None) -> Commit:
@@ -346,5 +383,5 @@ class DimensionStore(VersionedTable):
         commit = Commit(version, base, "merge", batch_id, path, self.buckets)
         self._append_log(commit)
         if last is not None and last.buckets:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._current_table(last)}")
+            _drop_bucketed(self.spark, f"{last.path}/{IS_CURRENT}=true/{HAS_KEY}=true")
         return commit

@@ -110,3 +110,33 @@ def test_exact_golds_of_full_and_incremental_jobs_are_equal(spark, tmp_path):
     assert _rows(revenue_by_segment(silver, exact=True).select("country", "revenue_tier", "customer_count", "total_revenue")) == _rows(
         spark.read.parquet(f"{full}/gold_revenue_by_segment")
     )
+
+
+def test_bucketed_scd1_state_is_not_shuffled(spark, tmp_path):
+    from strata.operators.scd import scd1_merge
+    from strata.plans.store import _session_conf
+    from tests.fixtures import plan_text
+
+    batches, cumulative = _batches(spark, tmp_path)
+    inc, full = str(tmp_path / "inc"), str(tmp_path / "full")
+    for i, b in enumerate(batches):
+        run_customer_batch(spark, b, inc, batch_id=i, scd2_buckets=4)
+    run_customer_job(spark, cumulative[-1], full)
+    silver_schema = spark.read.parquet(f"{full}/silver_valid_customers").schema
+    table = customer_scd1_table(spark, inc, silver_schema, buckets=4)
+    assert _rows(table.read_version()) == _rows(spark.read.parquet(f"{full}/dim_customers_scd1"))
+
+    batch = spark.read.parquet(f"{inc}/silver_valid_customers/batch_id=2")
+    with _session_conf(spark, "spark.sql.shuffle.partitions", "4"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = plan_text(scd1_merge(table.read_version(1), batch), "simple")
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the join reads the previous state as a bucketed scan (Spark keeps a bucketed
+    # scan only when an operator uses its partitioning): only the batch is shuffled
+    assert "SelectedBucketsCount: 4 out of 4" in plan
+    join_side = plan[plan.index("SortMergeJoin"):]
+    scan_line = next(line for line in join_side.splitlines() if "strata_bucketed_" in line)
+    between = join_side[: join_side.index(scan_line)].splitlines()[-1]
+    assert "Exchange" not in between

@@ -25,6 +25,7 @@ from strata.operators.scd import (
     close_stale_versions,
     current_rows,
     empty_dimension,
+    scd1,
     scd2_changes,
     scd2_merge,
     stale_hash_rows,
@@ -310,3 +311,32 @@ def test_ntz_snapshot_into_ltz_dimension(spark):
     assert out.schema["effective_to"].dataType == TimestampType()
     rows = {(r.revenue_ytd, r.is_current): r for r in out.collect()}
     assert rows[(80_000.0, False)].effective_to == T3 and rows[(99_000.0, True)].effective_from == T3
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_scd1_merge_equals_latest_of_union(spark, seed):
+    from strata.operators.scd import scd1_merge
+
+    rng = random.Random(100 + seed)
+    first = spark.createDataFrame([tuple(r[c] for c in MODEL_SRC) for r in _snapshot(rng, 0)], MODEL_SCHEMA)
+    second = spark.createDataFrame([tuple(r[c] for c in MODEL_SRC) for r in _snapshot(rng, rng.choice([-5, 0, 5]))], MODEL_SCHEMA)
+    previous = spark.createDataFrame(scd1(first, "k", "ts").collect(), MODEL_SCHEMA)
+    got = scd1_merge(previous, second, "k", "ts")
+    want = scd1(previous.unionByName(second), "k", "ts")
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_scd1_merge_ties_and_null_orders(spark):
+    from strata.operators.scd import scd1_merge
+
+    prev = spark.createDataFrame(
+        [("a", None, 1, datetime(2024, 1, 1)), ("b", "x", 1, None), ("c", "x", 1, datetime(2024, 1, 1)), (None, "p", 1, datetime(2024, 1, 1))],
+        MODEL_SCHEMA,
+    )
+    new = spark.createDataFrame(
+        [("a", "y", 2, datetime(2024, 1, 1)), ("b", "z", 2, datetime(2023, 1, 1)), ("c", "w", 1, None), (None, "q", 1, datetime(2025, 1, 1))],
+        MODEL_SCHEMA,
+    )
+    got = sorted(scd1_merge(prev, new, "k", "ts").collect(), key=repr)
+    want = sorted(scd1(prev.unionByName(new), "k", "ts").collect(), key=repr)
+    assert got == want

@@ -109,7 +109,7 @@ def test_keyless_rows_stay_out_of_the_buckets(spark, scratch):
     current = store.read_current()
     assert sorted((r.customer_id or "") for r in current.collect()) == ["", "", "C001"]
     plan = fx.plan_text(current, "simple")
-    assert "strata_current_" in plan  # keyed rows: the bucketed table
+    assert "strata_bucketed_" in plan  # keyed rows: the bucketed table
     assert "has_key" in plan  # keyless rows: their own partition, plain scan
     assert store.read().count() == 4
 
