@@ -42,6 +42,7 @@ from strata.operators.scd import (
     empty_dimension,
     history_rows,
     scd1,
+    scd1_merge,
     scd2_changes,
     scd2_merge,
     stale_hash_rows,
@@ -124,6 +125,10 @@ SPARK: dict[str, Query] = {
     # dedup / type 1
     "latest_per_customer": lambda s, d: latest_per_key(customer_states(s, d), "customer_id", "updated_at"),
     "scd1_customers": lambda s, d: scd1(_all_silver(s, d)),
+    # snapshots 2 (< 1999) and 3 (>= 1999) together hold every row once
+    "scd1_incremental": lambda s, d: scd1_merge(
+        cut_lineage(scd1(_silver_snapshot(s, d, 2))), _silver_snapshot(s, d, 3)
+    ),
     "change_hash": lambda s, d: _all_silver(s, d).select(
         "customer_id", "updated_at", change_hash(TRACKED_COLUMNS).alias("change_hash")
     ),
@@ -326,6 +331,7 @@ SQL: dict[str, Callable[[], str]] = {
     ),
     "latest_per_customer": lambda: O.latest(f"({O.STATES})", SRC),
     "scd1_customers": _one(_sql_all_silver, lambda t: O.latest(t, SILVER)),
+    "scd1_incremental": _one(_sql_all_silver, lambda t: O.latest(t, SILVER)),
     "change_hash": _one(
         _sql_all_silver,
         lambda t: f"SELECT customer_id, updated_at, {O.digest(TRACKED_COLUMNS, prefix='1')} AS change_hash FROM {t}",
