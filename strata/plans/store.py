@@ -123,6 +123,10 @@ def _write_bucketed(
     spark.sql(f"DROP TABLE IF EXISTS {tmp}")
 
 
+def _sql_string(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _bucketed_name(location: str) -> str:
     return "strata_bucketed_" + hashlib.sha1(location.encode()).hexdigest()[:16]
 
@@ -135,10 +139,10 @@ def _drop_bucketed(spark: SparkSession, location: str) -> None:
 def _bucketed_table(spark: SparkSession, location: str, fields, key: str, buckets: int) -> str:
     """Register (once) an external bucketed table over ``location`` and return its name."""
     name = _bucketed_name(location)
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    cols = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-        f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{location}'"
+        f"CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{_sql_string(location)}'"
     )
     return name
 
