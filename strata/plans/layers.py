@@ -1,11 +1,13 @@
 """Bronze / silver / gold layers for the user and customer flows.
 
 ``user_layers`` / ``customer_layers`` return the lazy DataFrames of every
-dataset. ``run_user_job`` / ``run_customer_job`` materialize them in
-dependency order: every layer is written to its own folder and the next layer
-reads it back, so each step starts from stored Parquet (lineage is cut at
-every layer, a lost executor only recomputes the current step) and the four
-consumers of silver share one stored copy instead of recomputing it.
+dataset; ``compute_dataset`` computes one from its upstream datasets by name.
+``run_user_job`` / ``run_customer_job`` materialize them in dependency order
+(a full refresh, as materialized views are): every layer is written to its own
+folder and the next layer reads it back, so each step starts from stored
+Parquet (lineage is cut at every layer, a lost executor only recomputes the
+current step) and the four consumers of silver share one stored copy.
+``run_customer_batch`` is the incremental form for one new batch.
 """
 
 from __future__ import annotations
@@ -194,7 +196,7 @@ def run_customer_job(
     bronze = _materialize(spark, bronze_src, warehouse, ds["bronze_customers"], register)
     silver = _materialize(spark, silver_customers(bronze), warehouse, ds["silver_valid_customers"], register)
     if exact_money:
-        partials = _materialize_path(spark, gold_partials(silver), _path(warehouse, _PARTIALS))
+        partials = _materialize_path(spark, gold_partials(silver), _path(warehouse, _PARTIALS + "_full"))
         for name, gold in golds_from_partials(partials).items():
             _materialize(spark, gold, warehouse, ds[name], register)
     else:
