@@ -75,6 +75,40 @@ def revenue_by_segment(
     )
 
 
+def revenue_levels(df: DataFrame, revenue: str = "revenue_ytd") -> DataFrame:
+    """Both revenue golds in one scan: ``rollup(country, revenue_tier)`` keeps the
+    (country, tier) and (country) levels, told apart by ``level`` (0 and 1).
+
+    Columns: country, revenue_tier, level, customer_count, revenue_sum,
+    revenue_avg (double sum and average, unrounded). One shuffle of a partial
+    aggregate, like each single aggregate; split with :func:`split_revenue_levels`.
+    """
+    return (
+        df.rollup("country", "revenue_tier")
+        .agg(
+            F.grouping_id().alias("level"),
+            F.count(F.lit(1)).alias("customer_count"),
+            F.sum(revenue).alias("revenue_sum"),
+            F.avg(revenue).alias("revenue_avg"),
+        )
+        .filter(F.col("level") < 2)
+    )
+
+
+def split_revenue_levels(levels: DataFrame) -> dict[str, DataFrame]:
+    """The two gold tables, shaped as :func:`revenue_by_country` / :func:`revenue_by_segment`."""
+    by_country = levels.filter(F.col("level") == 1).select(
+        "country",
+        "customer_count",
+        F.round("revenue_sum", 2).alias("total_revenue"),
+        F.round("revenue_avg", 2).alias("avg_revenue"),
+    )
+    by_segment = levels.filter(F.col("level") == 0).select(
+        "country", "revenue_tier", "customer_count", F.col("revenue_sum").alias("total_revenue")
+    )
+    return {"gold_revenue_by_country": by_country, "gold_revenue_by_segment": by_segment}
+
+
 # names of the user / customer flows
 aggregate_user_count_by_country = user_count_by_country
 aggregate_revenue_by_country = revenue_by_country

@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 
 from strata.constants import TRACKED_COLUMNS
 from strata.functions.columns import change_hash
-from strata.operators.aggregates import revenue_by_country, revenue_by_segment, user_count_by_country
+from strata.operators.aggregates import (
+    revenue_by_country,
+    revenue_by_segment,
+    revenue_levels,
+    user_count_by_country,
+)
 from strata.operators.dedupe import latest_per_key
 from strata.operators.quality import (
     dimension_report,
@@ -121,6 +126,15 @@ SPARK: dict[str, Query] = {
     "revenue_by_country": lambda s, d: revenue_by_country(_all_silver(s, d)),
     "revenue_by_country_exact": lambda s, d: revenue_by_country(_all_silver(s, d), exact=True),
     "revenue_by_segment": lambda s, d: revenue_by_segment(_all_silver(s, d), round_to=2),
+    # the unrounded double average of a small group can sit on a half cent, where
+    # engines round differently; the average is compared in revenue_by_country
+    "revenue_levels": lambda s, d: revenue_levels(_all_silver(s, d)).select(
+        "country",
+        "revenue_tier",
+        "level",
+        "customer_count",
+        F.round("revenue_sum", 2).alias("revenue_sum"),
+    ),
     "revenue_by_segment_exact": lambda s, d: revenue_by_segment(_all_silver(s, d), exact=True),
     # dedup / type 1
     "latest_per_customer": lambda s, d: latest_per_key(customer_states(s, d), "customer_id", "updated_at"),
@@ -323,6 +337,13 @@ SQL: dict[str, Callable[[], str]] = {
         f"{O.round2('sum(revenue_ytd)')} AS total_revenue FROM {t} GROUP BY country, revenue_tier",
     ),
     "revenue_by_country_exact": _one(_sql_all_silver, lambda t: _EXACT_BY_COUNTRY.format(t=t)),
+    "revenue_levels": _one(
+        _sql_all_silver,
+        lambda t: f"SELECT country, revenue_tier, level, customer_count, {O.round2('revenue_sum')} AS revenue_sum "
+        f"FROM (SELECT country, revenue_tier, CAST(GROUPING(country, revenue_tier) AS INTEGER) AS level, "
+        f"count(*) AS customer_count, sum(revenue_ytd) AS revenue_sum "
+        f"FROM {t} GROUP BY ROLLUP (country, revenue_tier)) WHERE level < 2",
+    ),
     "revenue_by_segment_exact": _one(
         _sql_all_silver,
         lambda t: f"SELECT country, revenue_tier, count(*) AS customer_count, "

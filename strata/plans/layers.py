@@ -18,7 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.constants import CUSTOMER_KEY
-from strata.operators.aggregates import MONEY, revenue_by_country, revenue_by_segment, user_count_by_country
+from strata.operators.aggregates import (
+    MONEY,
+    revenue_by_country,
+    revenue_by_segment,
+    revenue_levels,
+    split_revenue_levels,
+    user_count_by_country,
+)
 from strata.operators.rows import (
     filter_valid_customers,
     silver_customers,
@@ -178,9 +185,9 @@ def run_customer_job(
 ) -> Commit:
     """Parquet -> bronze -> silver -> golds, SCD1, and one SCD2 merge.
 
-    ``exact_money`` builds both golds from one scan of silver through the same
-    partial sums the incremental job stores (exact decimal sums) instead of
-    two double-sum aggregates.
+    Both golds come from one scan of silver: a ``rollup`` over (country, tier)
+    whose small result is stored once and split. ``exact_money`` uses the
+    partial sums the incremental job stores instead (exact decimal sums).
 
     The SCD2 dimension lives in a :class:`DimensionStore` under
     ``warehouse/dim_customers_scd2``; the returned commit names the new version.
@@ -200,8 +207,9 @@ def run_customer_job(
         for name, gold in golds_from_partials(partials).items():
             _materialize(spark, gold, warehouse, ds[name], register)
     else:
-        _materialize(spark, revenue_by_country(silver), warehouse, ds["gold_revenue_by_country"], register)
-        _materialize(spark, revenue_by_segment(silver), warehouse, ds["gold_revenue_by_segment"], register)
+        levels = _materialize_path(spark, revenue_levels(silver), _path(warehouse, "_gold_levels"))
+        for name, gold in split_revenue_levels(levels).items():
+            _materialize(spark, gold, warehouse, ds[name], register)
     _materialize(spark, scd1(silver), warehouse, ds["dim_customers_scd1"], register)
     store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
     scd2_input = with_revenue_tier(with_full_name(filter_valid_customers(bronze))) if track_deactivation else silver

@@ -75,3 +75,17 @@ def test_exact_segment_sum_does_not_depend_on_order(spark):
     assert r.total_revenue == 3.0 and r.customer_count == 20
     (r,) = revenue_by_segment(df.repartition(7), exact=True).collect()
     assert r.total_revenue == 3.0
+
+
+def test_revenue_levels_equal_the_two_aggregates(spark):
+    from strata.operators.aggregates import revenue_levels, split_revenue_levels
+
+    a = fx.cust("C1", "A", "B", None, "X", "S", 120_000.0, True, fx.T1)
+    b = fx.cust("C2", "A", "B", None, "X", "S", None, True, fx.T1)
+    df = with_revenue_tier(fx.customers(spark, fx.ALICE_JAN, fx.CARLO_JAN, fx.DIANA_JAN, a, b))
+    golds = split_revenue_levels(revenue_levels(df))
+    key = lambda r: repr(r)
+    assert sorted(golds["gold_revenue_by_country"].collect(), key=key) == sorted(revenue_by_country(df).collect(), key=key)
+    assert sorted(golds["gold_revenue_by_segment"].collect(), key=key) == sorted(revenue_by_segment(df).collect(), key=key)
+    plan = fx.plan_text(revenue_levels(df), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Expand" in plan
