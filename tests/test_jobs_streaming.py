@@ -246,3 +246,43 @@ def test_customer_stream_runs_the_incremental_flow(spark, tmp_path):
     assert scd1 == {"C001": 80_000.0, "C002": 20_000.0, "C999": 200_000.0}
     gold = {r.country: r.customer_count for r in spark.read.parquet(f"{wh}/gold_revenue_by_country").collect()}
     assert gold == {"US": 2, "UK": 1, "CN": 1}
+
+
+def test_declarative_definitions_register_the_layers(spark, tmp_path, monkeypatch):
+    import types
+
+    import strata.plans.declarative as D
+
+    declared = {}
+
+    def recorder(kind):
+        def decorate(fn=None, *, name=None, comment=None, **_):
+            declared[name] = (kind, comment, fn)
+
+        return decorate
+
+    fake = types.SimpleNamespace(table=recorder("table"), materialized_view=recorder("materialized_view"))
+    monkeypatch.setattr(D, "_pipelines", lambda: fake)
+    src = tmp_path / "users"
+    src.mkdir()
+    (src / "u.csv").write_text("id,first_name,last_name,country,is_active\n1,A,B,US,true\n")
+    D.define_user_datasets(str(src), spark)
+    D.define_customer_datasets(str(tmp_path), spark)
+    assert {n: k for n, (k, _, _) in declared.items()} == {
+        "bronze_users": "table",
+        "silver_active_users": "materialized_view",
+        "gold_user_count_by_country": "materialized_view",
+        "bronze_customers": "table",
+        "silver_valid_customers": "materialized_view",
+        "gold_revenue_by_country": "materialized_view",
+        "gold_revenue_by_segment": "materialized_view",
+        "dim_customers_scd1": "materialized_view",
+    }
+    assert all(comment for _, comment, _ in declared.values())
+    assert declared["bronze_users"][2]().isStreaming
+    fx.users(spark).createOrReplaceTempView("bronze_users")
+    try:
+        silver = declared["silver_active_users"][2]()
+        assert "full_name" in silver.columns and silver.count() == 3
+    finally:
+        spark.catalog.dropTempView("bronze_users")
