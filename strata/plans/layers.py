@@ -316,9 +316,11 @@ def run_customer_batch(
         _materialize(spark, gold, warehouse, ds[name], register=False)
 
     scd1_table = customer_scd1_table(spark, warehouse, silver.schema, buckets=scd2_buckets)
-    if scd1_table.committed_batch(batch_id) is None:
-        previous = scd1_table.read_version() if scd1_table.latest() else None
-        scd1_table.write_version(scd1(silver) if previous is None else scd1_merge(previous, silver), batch_id)
+    scd1_commits = scd1_table.commits()
+    if scd1_table.committed_batch(batch_id, scd1_commits) is None:
+        previous = scd1_table.read_version(commits=scd1_commits) if scd1_commits else None
+        new_state = scd1(silver) if previous is None else scd1_merge(previous, silver)
+        scd1_table.write_version(new_state, batch_id, commits=scd1_commits)
 
     store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
     return store.merge(silver, batch_id=batch_id, **scd2_options)

@@ -244,22 +244,25 @@ class VersionedTable:
 
     # ---- whole-table versions ---------------------------------------------
 
-    def read_version(self, version: int | None = None) -> DataFrame:
-        """A version written by :meth:`write_version` (a bucketed table if written so)."""
-        c = self._commit_for(version)
+    def read_version(self, version: int | None = None, commits: list[Commit] | None = None) -> DataFrame:
+        """A version written by :meth:`write_version` (a bucketed table if written so).
+        ``commits`` reuses a commit list already read from the log."""
+        c = self._commit_for(version, commits)
         if not c.buckets:
             return self.spark.read.schema(self.schema).parquet(c.path)
         name = _bucketed_table(self.spark, c.path, self.schema.fields, self.key, c.buckets)
         return self.spark.table(name).select(*self.schema.fieldNames())
 
-    def write_version(self, df: DataFrame, batch_id: int | None = None) -> Commit:
+    def write_version(
+        self, df: DataFrame, batch_id: int | None = None, commits: list[Commit] | None = None
+    ) -> Commit:
         """Write ``df`` whole as the next version (skipped if ``batch_id`` is committed).
 
         Bucketed tables write with ``spark.sql.shuffle.partitions`` pinned to the
         bucket count, so a plan that joins a bucketed version with shuffled data
         lines both sides up without re-shuffling the version.
         """
-        commits = self.commits()
+        commits = self.commits() if commits is None else commits
         done = self.committed_batch(batch_id, commits)
         if done is not None:
             return done
