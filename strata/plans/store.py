@@ -51,7 +51,7 @@ from pyspark.sql.types import (
 )
 
 from strata.constants import CUSTOMER_KEY, CUSTOMER_ORDER, IS_CURRENT
-from strata.operators.scd import empty_dimension, scd2_changes
+from strata.operators.scd import SchemaMismatchError, empty_dimension, scd2_changes
 
 ATTEMPT = "attempt"
 HAS_KEY = "has_key"
@@ -127,18 +127,20 @@ def _sql_string(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _bucketed_name(location: str) -> str:
-    return "strata_bucketed_" + hashlib.sha1(location.encode()).hexdigest()[:16]
+def _bucketed_name(location: str, fields) -> str:
+    shape = location + "|" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in fields)
+    return "strata_bucketed_" + hashlib.sha1(shape.encode()).hexdigest()[:16]
 
 
-def _drop_bucketed(spark: SparkSession, location: str) -> None:
+def _drop_bucketed(spark: SparkSession, location: str, fields) -> None:
     """Forget the table registered over ``location`` (external: the files stay)."""
-    spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(location)}")
+    spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(location, fields)}")
 
 
 def _bucketed_table(spark: SparkSession, location: str, fields, key: str, buckets: int) -> str:
-    """Register (once) an external bucketed table over ``location`` and return its name."""
-    name = _bucketed_name(location)
+    """Register (once per location and schema) an external bucketed table over
+    ``location`` and return its name. Columns missing from older files read as null."""
+    name = _bucketed_name(location, fields)
     cols = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
@@ -276,7 +278,7 @@ class VersionedTable:
         commit = Commit(version, version, "full", batch_id, path, self.buckets)
         self._append_log(commit)
         if commits and commits[-1].buckets:
-            _drop_bucketed(self.spark, commits[-1].path)
+            _drop_bucketed(self.spark, commits[-1].path, self.schema.fields)
         return commit
 
 
@@ -374,6 +376,12 @@ class DimensionStore(VersionedTable):
         done = self.committed_batch(batch_id, commits)
         if done is not None:
             return done
+        unknown = [c for c in incoming.columns if c not in self.schema.fieldNames()]
+        if unknown:
+            raise SchemaMismatchError(
+                f"snapshot columns {unknown} are not in the store schema; open the store with the "
+                "evolved schema (older versions then read them as null) and merge with allow_missing_columns=True"
+            )
         last = commits[-1] if commits else None
         keyless = None
         if last is None:
@@ -390,5 +398,6 @@ class DimensionStore(VersionedTable):
         commit = Commit(version, base, "merge", batch_id, path, self.buckets)
         self._append_log(commit)
         if last is not None and last.buckets:
-            _drop_bucketed(self.spark, f"{last.path}/{IS_CURRENT}=true/{HAS_KEY}=true")
+            fields = [f for f in self.schema.fields if f.name != IS_CURRENT]
+            _drop_bucketed(self.spark, f"{last.path}/{IS_CURRENT}=true/{HAS_KEY}=true", fields)
         return commit

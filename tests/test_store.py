@@ -126,3 +126,21 @@ def test_compact_keeps_the_dimension(spark, scratch, buckets):
     assert sorted(store.read(3).collect(), key=repr) == before
     store.merge(fx.customers(spark, fx.ALICE_MAR_99))
     assert store.read().count() == len(before) + 1
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_schema_evolution(spark, scratch, buckets):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from strata.operators.scd import SchemaMismatchError
+
+    store = _store(spark, f"{scratch}/dim", buckets)
+    store.merge(fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN))
+    richer = fx.customers(spark, fx.ALICE_FEB).withColumn("tier_code", F.lit("A"))
+    with pytest.raises(SchemaMismatchError):
+        store.merge(richer)
+    evolved = StructType(list(SCD2_SCHEMA.fields[:10]) + [StructField("tier_code", StringType())] + list(SCD2_SCHEMA.fields[10:]))
+    store2 = DimensionStore(spark, f"{scratch}/dim", evolved, buckets=buckets)
+    store2.merge(richer, allow_missing_columns=True)
+    rows = {(r.customer_id, r.revenue_ytd): r.tier_code for r in store2.read().collect()}
+    assert rows == {("C001", 75_000.0): None, ("C001", 80_000.0): "A", ("C002", 20_000.0): None}
