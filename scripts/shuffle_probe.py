@@ -7,7 +7,9 @@ Runs, each as its own job:
     of the rows -- with Catalyst's map-side group limit (default) and with it
     disabled (windowGroupLimitThreshold = -1);
   * one stored SCD2 merge of snapshot 2 into snapshot 1 -- plain layout and with
-    the current slice bucketed by key.
+    the current slice bucketed by key;
+  * one SCD1 merge of snapshot 2 into the SCD1 of snapshot 1 -- plain and
+    bucketed previous state.
 Prints one line per case: shuffle records written, shuffle bytes written, and
 the most records any single task read from a shuffle. The event log goes to a
 fresh scratch folder; the Spark UI stays off.
@@ -45,7 +47,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from strata.operators.dedupe import latest_per_key
     from strata.operators.rows import silver_customers
-    from strata.plans.store import DimensionStore
+    from strata.operators.scd import scd1, scd1_merge
+    from strata.plans.store import DimensionStore, VersionedTable
     from strata.schemas import scd2_schema
     from strata.sources.tables import EXTRACTED_AT, customer_states, snapshot
 
@@ -82,6 +85,13 @@ def main() -> None:
         store = DimensionStore(spark, f"{scratch}/dim-{buckets}", scd2_schema(s1.schema), buckets=buckets)
         store.merge(s1)
         case(f"merge_buckets_{buckets}", lambda store=store: store.merge(s2))
+    for buckets in (None, 8):
+        table = VersionedTable(spark, f"{scratch}/scd1-{buckets}", s1.schema, key="customer_id", buckets=buckets)
+        table.write_version(scd1(s1))
+        case(
+            f"scd1_merge_buckets_{buckets}",
+            lambda table=table: table.write_version(scd1_merge(table.read_version(), s2)),
+        )
     spark.stop()
 
     stage_group: dict[int, str] = {}
