@@ -72,3 +72,18 @@ def test_hot_key_is_limited_before_the_shuffle(spark):
     # parents are printed first: Final limit, then the Exchange, then the Partial limit
     final, exchange, partial = plan.find("Final"), plan.find("Exchange hashpartitioning(k"), plan.find("Partial")
     assert 0 <= final < exchange < partial
+
+
+def test_null_token_keeps_null_positions_apart(spark):
+    from strata.functions.columns import row_digest
+
+    schema = StructType([StructField(c, StringType()) for c in ("c1", "c2", "c3")])
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a", "", "b")], schema)
+    rows = df.select(
+        F.concat_ws("||", "c1", "c2", "c3").alias("plain"),
+        row_digest(["c1", "c2", "c3"]).alias("digest"),
+    ).collect()
+    assert [r.plain for r in rows] == ["a||b", "a||b", "a||||b"]
+    assert len({r.digest for r in rows}) == 3
+    expected = hashlib.sha256("a||__NULL__||b".encode()).hexdigest()
+    assert rows[0].digest == expected
