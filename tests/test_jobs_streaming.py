@@ -286,3 +286,29 @@ def test_declarative_definitions_register_the_layers(spark, tmp_path, monkeypatc
         assert "full_name" in silver.columns and silver.count() == 3
     finally:
         spark.catalog.dropTempView("bronze_users")
+
+
+def test_strict_user_job_rejects_a_renamed_header(spark, tmp_path):
+    from strata.sources.files import SchemaDriftError
+
+    src = tmp_path / "users.csv"
+    src.write_text("uid,fn,ln,cc,active\n1,A,B,US,true\n")
+    with pytest.raises(SchemaDriftError):
+        run_user_job(spark, str(src), str(tmp_path / "wh"), strict=True)
+
+
+def test_command_line_ignore_late(spark, tmp_path):
+    from datetime import datetime
+
+    from strata.__main__ import main
+
+    newer, older = str(tmp_path / "newer"), str(tmp_path / "older")
+    fx.customers(spark, fx.ALICE_FEB).write.parquet(newer)
+    old = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime(2023, 1, 1))
+    fx.customers(spark, old).write.parquet(older)
+    for flags, expected in (([], 2), (["--ignore-late"], 1)):
+        wh = str(tmp_path / f"wh{len(flags)}")
+        main(["customer-job", "--incremental", "--source", newer, "--warehouse", wh, "--batch-id", "1"], spark)
+        main(["customer-job", "--incremental", "--source", older, "--warehouse", wh, "--batch-id", "2", *flags], spark)
+        silver_schema = silver_customers(fx.customers(spark)).schema
+        assert customer_dimension(spark, wh, silver_schema).read().count() == expected
