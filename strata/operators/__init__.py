@@ -58,6 +58,7 @@ __all__ = [
     "interval_violations",
     "keep_active",
     "key_uniqueness",
+    "latest_per_key",
     "late_rows",
     "new_or_changed_rows",
     "null_current_flags",
