@@ -17,7 +17,7 @@ def spark() -> SparkSession:
     session = (
         SparkSession.builder.master("local[4]")
         .appName("strata-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("STRATA_TEST_PARTITIONS", "8"))
         .config("spark.default.parallelism", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
