@@ -337,7 +337,8 @@ class DimensionStore(VersionedTable):
         keyless = self._scan([c.path]).filter(current & ~F.col(HAS_KEY)).select(*self.schema.fieldNames())
         fields = [f for f in self.schema.fields if f.name != IS_CURRENT]
         location = f"{c.path}/{IS_CURRENT}=true/{HAS_KEY}=true"
-        keyed = self.spark.table(_bucketed_table(self.spark, location, fields, self.key, c.buckets)).withColumn(IS_CURRENT, F.lit(True)).select(*self.schema.fieldNames())
+        table = _bucketed_table(self.spark, location, fields, self.key, c.buckets)
+        keyed = self.spark.table(table).withColumn(IS_CURRENT, F.lit(True)).select(*self.schema.fieldNames())
         return keyed, keyless
 
     # ---- writes -------------------------------------------------------------
