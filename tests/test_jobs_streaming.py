@@ -108,6 +108,9 @@ def test_datasets_resolved_by_name(spark):
         assert set(compute_dataset(spark, "gold_revenue_by_segment").columns) == {
             "country", "revenue_tier", "customer_count", "total_revenue"
         }
+        assert set(compute_dataset(spark, "gold_revenue_by_country").columns) == {
+            "country", "customer_count", "total_revenue", "avg_revenue"
+        }
         with pytest.raises(KeyError):
             compute_dataset(spark, "nope")
     finally:

@@ -105,3 +105,10 @@ def test_silver_filters_reach_the_parquet_scan(spark, scratch):
         assert f in pushed
     assert [r.customer_id for r in silver.collect()] == ["C001"]
     assert set(silver.columns) >= {"full_name", "revenue_tier"}
+
+
+def test_valid_and_active_customer_filters_on_empty_input(spark):
+    empty = fx.customers(spark)
+    assert filter_valid_customers(empty).count() == 0
+    assert filter_active_customers(empty).count() == 0
+    assert silver_customers(empty).count() == 0
