@@ -4,6 +4,7 @@
     python -m strata customer-job --source /landing --warehouse /data/wh --batch-id 20240301 --buckets 512
     python -m strata customer-job --incremental --source /landing/2024-03-01 --warehouse /data/wh --batch-id 20240301
     python -m strata customer-stream --source /landing --warehouse /data/wh [--checkpoint DIR]
+    python -m strata report --warehouse /data/wh [--version N]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,
 memory and the shared ``spark.checkpoint.dir`` are whatever the submitter set.
@@ -44,6 +45,9 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", help="default: below spark.checkpoint.dir")
     s.add_argument("--buckets", type=int)
     s.add_argument("--max-files-per-trigger", type=int)
+    r = sub.add_parser("report", help="print the health report of the customer SCD2 dimension")
+    r.add_argument("--warehouse", required=True)
+    r.add_argument("--version", type=int)
     return p
 
 
@@ -54,6 +58,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     if args.command == "user-job":
         result = {"datasets": run_user_job(spark, args.source, args.warehouse, strict=args.strict)}
+    elif args.command == "report":
+        from strata.operators.rows import silver_customers
+        from strata.schemas import CUSTOMER_SCHEMA
+
+        silver_schema = silver_customers(spark.createDataFrame([], CUSTOMER_SCHEMA)).schema
+        store = customer_dimension(spark, args.warehouse, silver_schema)
+        (row,) = store.report(args.version).collect()  # one summary row
+        result = {"version": store._commit_for(args.version).version, **row.asDict()}
     elif args.command == "customer-job" and args.incremental:
         if args.batch_id is None:
             raise SystemExit("--incremental needs --batch-id")

@@ -361,6 +361,21 @@ class DimensionStore(VersionedTable):
         self._append_log(commit)
         return commit
 
+    def late_rows(self, incoming: DataFrame) -> DataFrame:
+        """Rows of ``incoming`` that a merge would apply as late data (see
+        :func:`strata.operators.quality.late_rows`); with buckets the stored
+        current rows are read co-partitioned, only ``incoming`` is shuffled."""
+        from strata.operators.quality import late_rows
+
+        keyed, _ = self._current_parts(self._commit_for(None))
+        return late_rows(keyed, incoming, self.key, self.order)
+
+    def report(self, version: int | None = None) -> DataFrame:
+        """One-row health summary of a version (see :func:`strata.operators.quality.dimension_report`)."""
+        from strata.operators.quality import dimension_report
+
+        return dimension_report(self.read(version), self.key)
+
     def compact(self) -> Commit:
         """Rewrite the latest version as a new base: one directory instead of the
         closed rows of every version since the last base. Readers of older

@@ -145,3 +145,25 @@ def test_schema_evolution(spark, scratch, buckets):
     store2.merge(richer, allow_missing_columns=True)
     rows = {(r.customer_id, r.revenue_ytd): r.tier_code for r in store2.read().collect()}
     assert rows == {("C001", 75_000.0): None, ("C001", 80_000.0): "A", ("C002", 20_000.0): None}
+
+
+def test_store_late_rows_and_report(spark, scratch):
+    from datetime import datetime
+
+    store = _store(spark, f"{scratch}/dim", buckets=4)
+    store.merge(fx.customers(spark, fx.ALICE_FEB, fx.BOB_UK_JAN))
+    late = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime(2023, 1, 1))
+    assert [r.customer_id for r in store.late_rows(fx.customers(spark, late, fx.ZOE_MAR)).collect()] == ["C001"]
+    (r,) = store.report().collect()
+    assert (r.rows, r.current_rows, r.duplicate_current_keys) == (2, 2, 0)
+
+
+def test_command_line_report(spark, tmp_path):
+    from strata.__main__ import main
+
+    src = str(tmp_path / "c")
+    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).write.parquet(src)
+    wh = str(tmp_path / "wh")
+    main(["customer-job", "--source", src, "--warehouse", wh], spark)
+    out = main(["report", "--warehouse", wh], spark)
+    assert out["version"] == 1 and out["rows"] == 2 and out["current_rows"] == 2
