@@ -281,6 +281,7 @@ def run_customer_batch(
     *,
     strict: bool = False,
     scd2_buckets: int | None = None,
+    report_late: bool = True,
     **scd2_options,
 ) -> Commit:
     """Incremental form of :func:`run_customer_job` for a source holding one new batch
@@ -296,7 +297,8 @@ def run_customer_batch(
     only the batch is shuffled. Every step can be re-run for the same
     ``batch_id``: batch folders are replaced, committed versions skipped. The
     batch's late rows (not newer than the current version of their key) are
-    written to ``_quality/late_rows/batch_id=<id>`` before the merge.
+    written to ``_quality/late_rows/batch_id=<id>`` before the merge unless
+    ``report_late`` is false (the report costs one more join of the batch).
 
     For batches that arrive in order the datasets equal a full refresh over
     all batches. A batch that is older than the current versions is applied
@@ -325,7 +327,7 @@ def run_customer_batch(
         scd1_table.write_version(new_state, batch_id, commits=scd1_commits)
 
     store = customer_dimension(spark, warehouse, silver.schema, buckets=scd2_buckets)
-    if store.committed_batch(batch_id) is None and store.latest() is not None:
+    if report_late and store.committed_batch(batch_id) is None and store.latest() is not None:
         # rows the merge applies as late data (or keeps out with late="ignore"), per batch
         _write_batch(spark, store.late_rows(silver), _path(warehouse, "_quality/late_rows"), batch_id)
     return store.merge(silver, batch_id=batch_id, **scd2_options)
