@@ -177,3 +177,20 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is predicted with a score of at least ``least``, unchanged.
+
+    The prediction runs on each row's own text, so no row is joined or shuffled.
+    """
+    model = train(docs)
+    if model is None:
+        return docs.limit(0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            _, score = model.predict(_rows(part))
+            yield part.filter(pa.array((score >= least) & has_letter(part.column("text"))))
+
+    return docs.mapInArrow(run, docs.schema)

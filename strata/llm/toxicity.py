@@ -222,3 +222,16 @@ def toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
 
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, unchanged (each judged by its own text)."""
+    model = train(docs, labels)
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            yield part.filter(pa.array(model.score(utf8(part.column("text"))) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
