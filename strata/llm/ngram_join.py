@@ -10,13 +10,14 @@ The join is exact (up to collisions of 64-bit hashes) and has four steps:
 1. one pass over the texts gives every document its set's size and 64-bit key;
    documents of equal keys are one class. The pass also counts shingles that several
    classes share; the ``HOT`` most shared ones sort last in the next step.
-2. every class posts its prefix: its first ``n - ceil(t * n) + 1`` shingles in the order
+2. every class posts its prefix (once per task): its first ``n - ceil(t * n) + 1`` shingles in the order
    (not hot, hash). Two sets that link share a shingle of their prefixes, whatever
    the order, so the list of hot shingles changes the cost only. Shingles of one class are
    dropped; classes that share a prefix shingle and lie in the same or the next size class
    are chained, and connected components of the chain are the *forests* in which
    links can exist. Sizes of linked sets differ by at most one size class.
-3. the full sets of a forest come together, in salted blocks where a forest is
+3. the full sets of a forest come together (a second pass over the texts, of which a bitmap of
+   fixed size drops most classes in no forest before the shuffle), in salted blocks where a forest is
    large, and every block (or pair of blocks) is joined by a signature tree.
 4. components of the links found, carried back to all documents.
 
@@ -54,7 +55,10 @@ LEAF = 64
 FANOUT = 8
 #: Most classes, and most shingles, that one block should hold.
 BLOCK = 1024
-BLOCK_SHINGLES = 500_000
+BLOCK_SHINGLES = 1_500_000
+#: Classes that a task remembers as posted, and bits of the filter of wanted classes (4 MB).
+POSTED = 500_000
+FILTER_BITS = 1 << 25
 
 
 def required_overlap(a, b, percent: int):
@@ -116,18 +120,22 @@ def _keyed(width: int):
 
 def _prefixes(width: int, percent: int, hot: np.ndarray):
     def run(batches):
+        posted: set[int] = set()  # classes of this task, so copies post once; emptied when it grows large
         for _, sets in _sets(batches, width):
             keys, sizes, tokens = [], [], []
+            if len(posted) > POSTED:
+                posted.clear()
             for s in sets:
                 n = len(s)
-                if not n:
+                if not n or (key := _key(s)) in posted:
                     continue
+                posted.add(key)
                 length = n - -(-percent * n // 100) + 1
                 late = np.isin(s, hot, assume_unique=True, kind="sort") if len(hot) else np.zeros(n, dtype=bool)
                 prefix = s[~late][:length]
                 if len(prefix) < length:
                     prefix = np.concatenate([prefix, s[late][: length - len(prefix)]])
-                keys.append(np.full(len(prefix), _key(s), dtype=np.int64))
+                keys.append(np.full(len(prefix), key, dtype=np.int64))
                 sizes.append(np.full(len(prefix), n, dtype=np.int32))
                 tokens.append(prefix.view(np.int64))
             if tokens:
@@ -139,14 +147,63 @@ def _prefixes(width: int, percent: int, hot: np.ndarray):
     return run
 
 
-def _whole_sets(width: int):
+_POSTED = "token long, key long, n int"
+
+
+def _in_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (token, key): those of tokens with several keys, equal rows once.
+
+    One row is carried from batch to batch, however many rows a token has.
+    """
+    carried, told = np.empty((0, 3), dtype=np.int64), False
+    for batch in batches:
+        rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "key", "n")], axis=1)
+        rows = np.concatenate([carried, rows])
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+        rows = rows[new]
+        if not len(rows):
+            continue
+        same = rows[1:, 0] == rows[:-1, 0]
+        several = np.append(same, False) | np.append(False, same)
+        several[0] |= told  # the carried row's token has been found in several before
+        out = several.copy()
+        out[0] &= not told
+        last_told = bool(several[-1])
+        carried, told = rows[-1:], last_told
+        rows = rows[out]
+        if len(rows):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2].astype(np.int32))], names=["token", "key", "n"])
+
+
+def _wanted_bits(keys: DataFrame) -> np.ndarray:
+    """A bitmap of ``FILTER_BITS`` bits with the bit of every key set (aggregated on the executors, fixed size)."""
+    bit = F.pmod("key", F.lit(FILTER_BITS)) + 1
+    parts = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for row in stored(parts, "ngram-wanted").toLocalIterator():
+        bits = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+        out[(row["bucket"] - 1) * len(bits) : row["bucket"] * len(bits)] = bits
+    return out
+
+
+def _whole_sets(width: int, wanted):
+    """Sets of the documents whose class may be wanted (its bit is set), one row per class and slice."""
+
     def run(batches):
-        for ids, sets in _sets(batches, width):
+        bits = wanted.value
+        for _, sets in _sets(batches, width):
+            found = {}
+            for s in sets:
+                if len(s):
+                    key = _key(s)
+                    bit = key % FILTER_BITS
+                    if bits[bit >> 3] >> (bit & 7) & 1:
+                        found[key] = s
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["key", "n", "members"],
-            )
+                [pa.array(list(found), pa.int64()), pa.array([s.tobytes() for s in found.values()], pa.binary())], names=["key", "members"])
 
     return run
 
@@ -250,13 +307,10 @@ def tree_join(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None
 def _joined(percent: int):
     def run(batches):
         for rows in by_key(batches, ["forest", "i", "j"]):
-            keys = rows["key"].to_numpy()
-            keys, at = np.unique(keys, return_index=True)  # a class may come as several rows
-            if len(keys) < 2:
+            if rows.num_rows < 2:
                 continue
-            members = rows["members"].take(pa.array(at)).to_pylist()
-            sets = [np.frombuffer(m, dtype=np.uint64) for m in members]
-            salt = rows["salt"].to_numpy()[at]
+            keys, salt = rows["key"].to_numpy(), rows["salt"].to_numpy()
+            sets = [np.frombuffer(m, dtype=np.uint64) for m in rows["members"].to_pylist()]
             i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
             root = np.arange(len(sets))
             if i == j:
@@ -279,6 +333,7 @@ def _joined(percent: int):
 def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: the smallest ``doc_id`` reachable by links."""
     spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", "text")
     keyed = stored(docs.mapInArrow(_keyed(width), _KEYED), "ngram-keyed")
     sizes = keyed.where("shared IS NULL").select("doc_id", "n", "key")
@@ -287,10 +342,8 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
     hot = np.sort(hot_rows["shared"].to_numpy().astype(np.int64).view(np.uint64))
 
     # forests: classes chained by a prefix shingle within neighbouring size classes
-    posted = stored(docs.mapInArrow(_prefixes(width, percent, hot), "token long, key long, n int"), "ngram-prefixes")
-    several = posted.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
-    several = stored(several.select("token"), "ngram-shared")
-    shared = posted.join(several, "token")
+    posted = docs.mapInArrow(_prefixes(width, percent, hot), _POSTED)
+    shared = posted.repartition(parts, "token").sortWithinPartitions("token", "key").mapInArrow(_in_several, _POSTED)
     width_of_class = -math.log(percent / 100) * 1.000001
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.lit(width_of_class))
     shared = stored(shared.select("token", "key", F.explode(F.array(bucket - 1, bucket)).alias("bucket")), "ngram-shared")
@@ -303,7 +356,6 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
     classes = stored(sizes.where("key IS NOT NULL").groupBy("key")
                      .agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n")).where("first_id IS NOT NULL"), "ngram-classes")
     inside = stored(classes.join(forests, "key"), "ngram-inside")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     block = max(LEAF, min(BLOCK, inside.count() // max(1, parts)))
     chunks = inside.groupBy("forest").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("chunks"))
@@ -311,8 +363,8 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
     inside = inside.join(chunks, "forest").select(
         "key", "forest", "first_id", "chunks", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("salt"))
     inside = stored(inside, "ngram-inside")
-    texts = docs.join(inside.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
-    sets = texts.mapInArrow(_whole_sets(width), "key long, n int, members binary").where("key IS NOT NULL")
+    wanted = spark.sparkContext.broadcast(_wanted_bits(inside))
+    sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary").groupBy("key").agg(F.first("members").alias("members"))
     placed = sets.join(inside.select("key", "forest", "chunks", "salt"), "key")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     blocks = placed.select("key", "members", "forest", "salt", other).select(
