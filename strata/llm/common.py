@@ -31,7 +31,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read back, so
     that later steps start from files every executor can read again."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,8 @@ space or tab..CR, A-Z lower-cased; a document with fewer words has its whole wor
 sequence as its only shingle; one without words has the empty set and links with
 nothing). Documents link when ``100 * |intersection| >= percent * |union|``.
 
-The join is exact (up to collisions of 64-bit hashes) and has four steps:
+The join is exact (up to collisions of hashes: 64 bits for classes and prefixes, 48 bits where two
+sets are compared) and has four steps:
 
 1. one pass over the texts gives every document its set's size and 64-bit key;
    documents of equal keys are one class. The pass also counts shingles that several
@@ -78,6 +79,17 @@ def _key(values: np.ndarray) -> int:
     return int(mix64(values.sum(keepdims=True, dtype=np.uint64) * np.uint64(2 * len(values) + 1)).view(np.int64)[0])
 
 
+def packed(values: np.ndarray) -> bytes:
+    """The upper 48 bits of every hash (they are what is shuffled, and random bits do not compress)."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    out[:, 2:] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 _KEYED = "doc_id long, n int, key long, shared long, seen int"
 
 
@@ -190,20 +202,22 @@ def _wanted_bits(keys: DataFrame) -> np.ndarray:
 
 
 def _whole_sets(width: int, wanted):
-    """Sets of the documents whose class may be wanted (its bit is set), one row per class and slice."""
+    """Sets of the documents whose class may be wanted (its bit is set), one row per class and task."""
 
     def run(batches):
         bits = wanted.value
+        sent: set[int] = set()  # classes of this task, so copies are sent once; emptied when it grows large
         for _, sets in _sets(batches, width):
             found = {}
+            if len(sent) > POSTED:
+                sent.clear()
             for s in sets:
-                if len(s):
-                    key = _key(s)
+                if len(s) and (key := _key(s)) not in sent:
                     bit = key % FILTER_BITS
                     if bits[bit >> 3] >> (bit & 7) & 1:
-                        found[key] = s
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.int64()), pa.array([s.tobytes() for s in found.values()], pa.binary())], names=["key", "members"])
+                        found[key] = packed(s)
+            sent.update(found)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["key", "members"])
 
     return run
 
@@ -307,10 +321,11 @@ def tree_join(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None
 def _joined(percent: int):
     def run(batches):
         for rows in by_key(batches, ["forest", "i", "j"]):
-            if rows.num_rows < 2:
+            keys, at = np.unique(rows["key"].to_numpy(), return_index=True)  # a class comes once per task that met it
+            if len(keys) < 2:
                 continue
-            keys, salt = rows["key"].to_numpy(), rows["salt"].to_numpy()
-            sets = [np.frombuffer(m, dtype=np.uint64) for m in rows["members"].to_pylist()]
+            salt = rows["salt"].to_numpy()[at]
+            sets = [unpacked(m) for m in rows["members"].take(pa.array(at)).to_pylist()]
             i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
             root = np.arange(len(sets))
             if i == j:
@@ -364,7 +379,7 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
         "key", "forest", "first_id", "chunks", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("salt"))
     inside = stored(inside, "ngram-inside")
     wanted = spark.sparkContext.broadcast(_wanted_bits(inside))
-    sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary").groupBy("key").agg(F.first("members").alias("members"))
+    sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary")
     placed = sets.join(inside.select("key", "forest", "chunks", "salt"), "key")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     blocks = placed.select("key", "members", "forest", "salt", other).select(

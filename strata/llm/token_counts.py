@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from strata.llm.byte_bpe import _WIDE, narrowed
 from strata.llm.common import by_key, slices, stored, utf8
 
-BLOCK_DOCS = 2048
-BLOCK_WORDS = 50_000
+BLOCK_DOCS = 16_384
+BLOCK_WORDS = 400_000
 LIMIT = 2048
 
 
@@ -72,6 +72,21 @@ class PreTokens:
         return out, len(parts) - 1
 
 
+def _packed(numbers: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending numbers as lower 16 bits and upper 8 bits (which compress away), counts as bytes;
+    both as 32 bits where that is too narrow."""
+    if len(numbers) and (numbers[-1] >= 1 << 24 or counts.max() > 255):
+        return numbers.astype("<u4").tobytes(), counts.astype("<u4").tobytes()
+    return numbers.astype("<u2").tobytes() + (numbers >> 16).astype(np.uint8).tobytes(), counts.astype(np.uint8).tobytes()
+
+
+def _unpacked(numbers: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if len(numbers) == len(counts):  # 4 bytes each, else 3 and 1
+        return np.frombuffer(numbers, "<u4"), np.frombuffer(counts, "<u4")
+    low, high = numbers[: 2 * len(counts)], numbers[2 * len(counts) :]
+    return np.frombuffer(low, "<u2") | np.frombuffer(high, np.uint8).astype(np.uint32) << 16, np.frombuffer(counts, np.uint8)
+
+
 _ROW = "block long, number int, word string, doc_id long, n_bytes long, added long, numbers binary, counts binary"
 
 
@@ -105,10 +120,7 @@ def _blocks(path: str):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), utf8(part.column("text")).to_pylist(), strict=True):
                 pieces, added = split(text)
                 at, count = np.unique(np.fromiter(map(words.__getitem__, pieces), dtype=np.uint32, count=len(pieces)), return_counts=True)
-                size = len(text.encode())
-                narrow = len(words) <= 1 << 16 and (not len(count) or count.max() < 256)
-                docs.append((doc_id, size, added, at.astype(np.uint16 if narrow else np.uint32).tobytes(),
-                             count.astype(np.uint8 if narrow else np.uint32).tobytes()))
+                docs.append((doc_id, len(text.encode()), added, *_packed(at, count)))
                 if len(docs) >= BLOCK_DOCS or len(words) >= BLOCK_WORDS:
                     yield from block_rows(block, words, docs)
                     block += 1
@@ -158,8 +170,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens[at] = np.frombuffer(b"".join(counts[:first]), dtype=np.uint32)
         total = []
         for ids, n, added in zip(numbers[first:], counts[first:], rows["added"].to_pylist()[first:], strict=True):
-            wide = len(ids) == len(n)  # 4 bytes each, else 2 and 1
-            ids, n = np.frombuffer(ids, np.uint32 if wide else np.uint16), np.frombuffer(n, np.uint32 if wide else np.uint8)
+            ids, n = _unpacked(ids, n)
             total.append(int((tokens[ids] * n).sum()) + added)
         out = rows.slice(first)
         yield pa.RecordBatch.from_arrays(
