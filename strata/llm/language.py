@@ -31,7 +31,7 @@ from strata.llm.common import held_out, slices, stored, text_bytes, unit_hash, u
 from strata.llm.svm import linear_svm
 
 DIM = 4096
-PER_LANGUAGE = 1000
+PER_LANGUAGE = 600
 MAX_LANGUAGES = 64
 UNKNOWN = "und"
 
