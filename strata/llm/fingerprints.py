@@ -94,7 +94,7 @@ def _ranges(docs: DataFrame) -> DataFrame:
     range at the end of the range before it (of the first one at the end of the last)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * RANGES
     split = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)]).alias("at")).first()["at"] or []
-    edges = [float("-inf"), *sorted({-float(x) for x in split}), float("inf")]
+    edges = [float("-inf"), *sorted({0.0} | {-float(x) for x in split}), float("inf")]
     tie = F.xxhash64(F.coalesce("text", F.lit("")))
     rows = docs.select("doc_id", "text", (-F.col("doc_id").cast("double")).alias("at"), tie.alias("tie"))
     rows = rows.withColumn("at", F.coalesce("at", F.lit(float("inf"))))

@@ -69,10 +69,11 @@ def template_shares(rows: DataFrame) -> DataFrame:
     """``(host, segments, share)`` per distinct template of rows ``(host, segments, verdict)``."""
     labels = [F.count("verdict").alias("labels"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")]
     shapes = stored(rows.groupBy("host", "segments").agg(*labels), "url-shapes").withColumn("node", F.array().cast("array<string>"))
-    top = shapes.agg(((F.coalesce(F.sum("blocked"), F.lit(0)) + PRIOR / 2) / (F.coalesce(F.sum("labels"), F.lit(0)) + PRIOR)).alias("share"))
+    whole = shapes.agg(F.sum("blocked").alias("blocked"), F.sum("labels").alias("labels")).first()
+    top = ((whole["blocked"] or 0) + PRIOR / 2) / ((whole["labels"] or 0) + PRIOR)
     sums = [F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")]
-    hosts = stored(shapes.groupBy("host").agg(*sums), "url-hosts").crossJoin(F.broadcast(top).withColumnRenamed("share", "up"))  # one row
-    own = (F.col("blocked") + PRIOR * F.col("up")) / (F.col("labels") + PRIOR)
+    hosts = shapes.groupBy("host").agg(*sums)
+    own = (F.col("blocked") + PRIOR * top) / (F.col("labels") + PRIOR)
     shares = stored(hosts.select("host", F.array().cast("array<string>").alias("node"), own.alias("share")), "url-shares")
     final = shapes.withColumn("share", F.lit(None).cast("double"))
     for depth in range(DEPTH + 1):
