@@ -263,9 +263,10 @@ def _two_languages() -> list[tuple]:
     out = []
     for i in range(240):
         lang = ("en", "fr")[i % 2]
-        words = ["".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(rng.choice([8, 60]))]
+        words = ["".join(rng.choice(parts[lang]) for _ in range(rng.randint(1, 3))) for _ in range(rng.choice([30, 60]))]
         if i % 4 < 2:
-            words[rng.randrange(len(words))] = words[-1] = f"zqxw{rng.choice(['a', 'o', 'u'])}rk"
+            for _ in range(3):
+                words[rng.randrange(len(words))] = f"zqxw{rng.choice(list("aou"))}rk"
         out.append((i, " ".join(words), lang, i % 4 < 2))
     return out
 
