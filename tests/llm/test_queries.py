@@ -1,0 +1,36 @@
+"""Registered queries of the corpus operators against their SQL, and the pipeline against its stages."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+pytest.importorskip("public_tokenizers")
+
+import corpus_pipeline  # noqa: E402
+from strata.llm import queries  # noqa: E402
+from strata.llm.common import table  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = queries.SPARK[name](spark, SF)
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLE[name]})").fetchall()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_pipeline_stages_keep_columns_and_take_effect(spark):
+    docs = table(spark, SF, "documents")
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "ngram_jaccard", "mix", "byte_bpe"]
+    before = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == table(spark, SF, "documents").columns
+        after = {r["doc_id"] for r in docs.select("doc_id").collect()}
+        assert after <= before and after, name
+        before = after
