@@ -391,15 +391,15 @@ def scd2_merge(
 ) -> DataFrame:
     """The whole new dimension: untouched rows + the merged current slice.
 
-    Rows that cannot take part in the join -- history, and current rows with
-    a null key -- pass through in one filter over ``existing``. Column order is
+    Rows that cannot take part in the join -- history, rows whose current flag
+    is null, and current rows with a null key -- pass through in one filter over ``existing``. Column order is
     the existing dimension's. See :func:`scd2_changes` for the per-key rules
     and the options.
     """
     merged, existing, target, out_cols = _merge_keyed(
         existing, incoming, key, order, tracked, compare, absent, close_absent_at, late, allow_missing_columns
     )
-    untouched = existing.filter(~F.col(IS_CURRENT) | (F.col(IS_CURRENT) & F.col(key).isNull()))
+    untouched = existing.filter(F.col(IS_CURRENT).isNull() | ~F.col(IS_CURRENT) | F.col(key).isNull())
     carried = _carry(untouched, key, target, out_cols, absent, close_absent_at)
     return carried.unionByName(merged).drop(CHANGE)
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,6 +171,22 @@ def run_user_job(
     return {name: _path(warehouse, name) for name in ds}
 
 
+def _require_mode(spark: SparkSession, warehouse: str, mode: str) -> None:
+    """Record how a warehouse is kept, and raise if it is kept the other way: the two jobs lay
+    out the golds and the type 1 dimension differently, and each would lose the other's rows."""
+    path = _path(warehouse, "_mode")
+    try:
+        found = [r.value for r in spark.read.text(path).collect()]
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []
+    if not found:
+        spark.range(1).select(F.lit(mode).alias("value")).write.mode("overwrite").text(path)
+    elif set(found) != {mode}:
+        raise ValueError(f"{warehouse} is kept by {found[0]} jobs; use another warehouse for {mode} jobs")
+
+
 def run_customer_job(
     spark: SparkSession,
     source_parquet: str,
@@ -198,12 +215,13 @@ def run_customer_job(
     ``track_deactivation`` it is fed from all valid rows and ``is_active``
     changes become versions like any other tracked change.
     """
+    _require_mode(spark, warehouse, "full refresh")
     ds = {d.name: d for d in CUSTOMER_DATASETS}
     bronze_src = read_customers_parquet(spark, source_parquet, strict=strict)
     bronze = _materialize(spark, bronze_src, warehouse, ds["bronze_customers"], register)
     silver = _materialize(spark, silver_customers(bronze), warehouse, ds["silver_valid_customers"], register)
     if exact_money:
-        partials = _materialize_path(spark, gold_partials(silver), _path(warehouse, _PARTIALS + "_full"))
+        partials = _materialize_path(spark, gold_partials(silver, exact=True), _path(warehouse, _PARTIALS + "_full"))
         for name, gold in golds_from_partials(partials).items():
             _materialize(spark, gold, warehouse, ds[name], register)
     else:
@@ -236,20 +254,26 @@ def _read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def gold_partials(silver: DataFrame, revenue: str = "revenue_ytd") -> DataFrame:
-    """Additive per-batch state of both golds: rows, exact revenue sum
-    (``decimal(38,2)``) and the number of rows with a revenue, per country and tier."""
-    amount = F.col(revenue).cast(MONEY)
+def gold_partials(silver: DataFrame, revenue: str = "revenue_ytd", exact: bool = False) -> DataFrame:
+    """Additive per-batch state of both golds, per country and tier: rows, rows with a revenue, its
+    sum as it is, and the exact sum of the amounts in whole cents with the number of the others
+    (fractions of a cent, NaN, too large). ``exact`` takes every amount to cents, and raises where one does not fit."""
+    amount = F.col(revenue)
+    cents = amount.cast(MONEY) if exact else amount.try_cast(MONEY)
+    whole = F.lit(True) if exact else F.coalesce(cents.cast("double") == amount, F.lit(False))
     return silver.groupBy("country", "revenue_tier").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(amount).alias("revenue_sum"),
         F.count(amount).alias("revenue_rows"),
+        F.sum(amount).alias("revenue_sum"),
+        F.sum(F.when(whole, cents)).alias("cents_sum"),
+        F.count(F.when(~whole, amount)).alias("other_rows"),
     )
 
 
 def golds_from_partials(partials: DataFrame) -> dict[str, DataFrame]:
     """Both golds from accumulated partials (a few rows per batch and group)."""
-    total = F.sum("revenue_sum")
+    # exact where every amount is in whole cents, else the plain sum
+    total = F.when(F.sum("other_rows") == 0, F.sum("cents_sum").cast("double")).otherwise(F.sum("revenue_sum"))
     n = F.sum("revenue_rows")
     by_country = partials.groupBy("country").agg(
         F.sum("rows").alias("customer_count"),
@@ -290,8 +314,8 @@ def run_customer_batch(
     Work per batch grows with the batch and the current dimension, not with
     everything ever loaded: bronze and silver get the batch appended under
     ``batch_id=<id>``; the golds are re-aggregated from stored per-batch
-    partial sums (exact ``decimal`` sums, so the order of batches does not
-    matter); the type 1 dimension is merged with the batch
+    partial sums (exact where all amounts are in whole cents, so the order of batches
+    does not matter); the type 1 dimension is merged with the batch
     (:func:`strata.operators.scd.scd1_merge`); the type 2 dimension merges the
     batch. With ``scd2_buckets`` both dimensions are kept bucketed by key, so
     only the batch is shuffled. Every step can be re-run for the same
@@ -305,6 +329,7 @@ def run_customer_batch(
     as late data by the SCD2 merge; pass ``late="ignore"`` to keep the newer
     versions (what a full refresh would do).
     """
+    _require_mode(spark, warehouse, "incremental")
     ds = {d.name: d for d in CUSTOMER_DATASETS}
     bronze_path, silver_path = _path(warehouse, "bronze_customers"), _path(warehouse, "silver_valid_customers")
     source = (

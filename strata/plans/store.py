@@ -41,6 +41,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import (
     BooleanType,
     IntegerType,
@@ -192,8 +193,8 @@ class VersionedTable:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(LOG_SCHEMA).json(self.log_path)
-        except Exception as exc:  # nothing committed yet
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":  # nothing committed yet; any other error is raised
                 return None
             raise
 
@@ -203,6 +204,9 @@ class VersionedTable:
         if log is None:
             return []
         rows = log.orderBy("version").collect()
+        versions = [r.version for r in rows]
+        if len(set(versions)) != len(versions):
+            raise RuntimeError(f"{self.log_path} names a version twice: two writers committed at once, one of their merges is not in the other")
         return [Commit(r.version, r.base, r.kind, r.batch_id, r.path, r.buckets) for r in rows]
 
     def latest(self) -> Commit | None:
@@ -318,7 +322,7 @@ class DimensionStore(VersionedTable):
         c = self._commit_for(version, commits)
         paths = [x.path for x in commits if c.base <= x.version <= c.version]
         a, cur = F.col(ATTEMPT), F.col(IS_CURRENT)
-        rows = self._scan(paths).filter(((a == F.lit(c.attempt)) & cur) | ~cur)
+        rows = self._scan(paths).filter(((a == F.lit(c.attempt)) & cur) | ~cur | cur.isNull())
         return rows.select(*self.schema.fieldNames())
 
     def read_current(self, version: int | None = None) -> DataFrame:

@@ -19,8 +19,6 @@ Snapshots split the customer states by order date: ``< 1997`` (first load),
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,17 +30,9 @@ SNAPSHOT_1_END = "1997-01-01 00:00:00"
 SNAPSHOT_2_END = "1999-01-01 00:00:00"
 
 
-_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; the (lazy) DataFrame is reused per session, so its Parquet
-    footer is read once rather than by every query that joins it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = _TABLES.setdefault(spark, {})
-    if path not in cache:
-        cache[path] = spark.read.parquet(path)
-    return cache[path]
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null_when(cond: Column, value: Column) -> Column:
