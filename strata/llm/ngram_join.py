@@ -47,8 +47,9 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import by_key, connected_components, mix64, shingles, slices, stored, text_bytes
 
-#: Shingles kept as "most shared" (0.8 MB in every task); they sort last in prefixes.
-HOT = 100_000
+#: Shingles kept as "most shared" (8 MB in every task); they sort last in prefixes. Results do not
+#: depend on it; a larger corpus makes smaller forests with a longer list.
+HOT = 1_000_000
 #: Shingles after which a task reports the ones it has seen in several classes.
 CHUNK = 4_000_000
 BITS = 4096
@@ -143,7 +144,7 @@ def _prefixes(width: int, percent: int, hot: np.ndarray):
                     continue
                 posted.add(key)
                 length = n - -(-percent * n // 100) + 1
-                late = np.isin(s, hot, assume_unique=True, kind="sort") if len(hot) else np.zeros(n, dtype=bool)
+                late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(n, dtype=bool)
                 prefix = s[~late][:length]
                 if len(prefix) < length:
                     prefix = np.concatenate([prefix, s[late][: length - len(prefix)]])
