@@ -10,10 +10,10 @@ sets are compared) and has four steps:
 
 1. one pass over the texts gives every document its set's size and 64-bit key;
    documents of equal keys are one class. The pass also counts shingles that several
-   classes share; the ``HOT`` most shared ones sort last in the next step.
+   classes share; bitmaps of fixed size mark those shared at least ``LEVELS`` times.
 2. every class posts its prefix (once per task): its first ``n - ceil(t * n) + 1`` shingles in the order
-   (not hot, hash). Two sets that link share a shingle of their prefixes, whatever
-   the order, so the list of hot shingles changes the cost only. Shingles of one class are
+   (level of sharing, hash). Two sets that link share a shingle of their prefixes, whatever
+   the order, so the bitmaps change the cost only. Shingles of one class are
    dropped; classes that share a prefix shingle and lie in the same or the next size class
    are chained, and connected components of the chain are the *forests* in which
    links can exist. Sizes of linked sets differ by at most one size class.
@@ -47,9 +47,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import by_key, connected_components, mix64, shingles, slices, stored, text_bytes
 
-#: Shingles kept as "most shared" (8 MB in every task); they sort last in prefixes. Results do not
-#: depend on it; a larger corpus makes smaller forests with a longer list.
-HOT = 1_000_000
+#: Times shared from which a shingle has the first, second, ... level, and bits of each level's bitmap (4 MB);
+#: more shared shingles sort later in prefixes. Results do not depend on either.
+LEVELS = (2, 8, 32, 128)
+LEVEL_BITS = 1 << 25
 #: Shingles after which a task reports the ones it has seen in several classes.
 CHUNK = 4_000_000
 BITS = 4096
@@ -131,8 +132,9 @@ def _keyed(width: int):
     return run
 
 
-def _prefixes(width: int, percent: int, hot: np.ndarray):
+def _prefixes(width: int, percent: int, levels):
     def run(batches):
+        bits = levels.value.reshape(len(LEVELS), -1)
         posted: set[int] = set()  # classes of this task, so copies post once; emptied when it grows large
         for _, sets in _sets(batches, width):
             keys, sizes, tokens = [], [], []
@@ -144,10 +146,9 @@ def _prefixes(width: int, percent: int, hot: np.ndarray):
                     continue
                 posted.add(key)
                 length = n - -(-percent * n // 100) + 1
-                late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(n, dtype=bool)
-                prefix = s[~late][:length]
-                if len(prefix) < length:
-                    prefix = np.concatenate([prefix, s[late][: length - len(prefix)]])
+                at = (s & np.uint64(LEVEL_BITS - 1)).astype(np.int64)
+                level = (bits[:, at >> 3] >> (at & 7).astype(np.uint8) & 1).sum(axis=0, dtype=np.uint8)
+                prefix = s[np.argsort(level, kind="stable")[:length]]  # the hashes are sorted already
                 keys.append(np.full(len(prefix), key, dtype=np.int64))
                 sizes.append(np.full(len(prefix), n, dtype=np.int32))
                 tokens.append(prefix.view(np.int64))
@@ -190,18 +191,30 @@ def _in_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2].astype(np.int32))], names=["token", "key", "n"])
 
 
-def _wanted_bits(keys: DataFrame) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` bits with the bit of every key set (aggregated on the executors, fixed size)."""
-    bit = F.pmod("key", F.lit(FILTER_BITS)) + 1
-    parts = keys.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for row in stored(parts, "ngram-wanted").toLocalIterator():
-        bits = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-        out[(row["bucket"] - 1) * len(bits) : row["bucket"] * len(bits)] = bits
+def _bitmap(bits: DataFrame, size: int, label: str) -> np.ndarray:
+    """A bitmap of ``size`` bits with every ``bit`` (0 to size - 1) set.
+
+    Aggregated on the executors, where the bits are dealt by their part of the bitmap; the
+    result's size is fixed, whatever the number of rows.
+    """
+    one = F.col("bit") + 1
+    dealt = bits.select(F.bitmap_bucket_number(one).alias("bucket"), F.bitmap_bit_position(one).alias("position")).repartition("bucket")
+    parts = stored(dealt.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")), label)
+    out = np.zeros(size // 8, dtype=np.uint8)
+    for row in parts.toLocalIterator():
+        part = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+        out[(row["bucket"] - 1) * len(part) : row["bucket"] * len(part)] = part
     return out
 
 
+def _level_bits(counted: DataFrame) -> np.ndarray:
+    """One bitmap per level, one after another: the shingles (``shared``) ``seen`` that often."""
+    level = F.explode(F.filter(F.sequence(F.lit(0), F.lit(len(LEVELS) - 1)), lambda k: F.col("seen") >= F.element_at(F.array(*map(F.lit, LEVELS)), k + 1)))
+    bits = counted.select("shared", level.alias("level")).select(
+        (F.col("level") * F.lit(LEVEL_BITS).cast("long") + F.pmod("shared", F.lit(LEVEL_BITS))).alias("bit"))
+    return _bitmap(bits, len(LEVELS) * LEVEL_BITS, "ngram-levels")
+
+
 def _whole_sets(width: int, wanted):
     """Sets of the documents whose class may be wanted (its bit is set), one row per class and task."""
 
@@ -354,11 +367,10 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
     keyed = stored(docs.mapInArrow(_keyed(width), _KEYED), "ngram-keyed")
     sizes = keyed.where("shared IS NULL").select("doc_id", "n", "key")
     counted = keyed.where("shared IS NOT NULL").groupBy("shared").agg(F.sum("seen").alias("seen"))
-    hot_rows = stored(counted.orderBy(F.desc("seen"), "shared").limit(HOT).select("shared"), "ngram-hot").toPandas()
-    hot = np.sort(hot_rows["shared"].to_numpy().astype(np.int64).view(np.uint64))
+    levels = spark.sparkContext.broadcast(_level_bits(counted))
 
     # forests: classes chained by a prefix shingle within neighbouring size classes
-    posted = docs.mapInArrow(_prefixes(width, percent, hot), _POSTED)
+    posted = docs.mapInArrow(_prefixes(width, percent, levels), _POSTED)
     shared = posted.repartition(parts, "token").sortWithinPartitions("token", "key").mapInArrow(_in_several, _POSTED)
     width_of_class = -math.log(percent / 100) * 1.000001
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.lit(width_of_class))
@@ -379,7 +391,7 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
     inside = inside.join(chunks, "forest").select(
         "key", "forest", "first_id", "chunks", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("salt"))
     inside = stored(inside, "ngram-inside")
-    wanted = spark.sparkContext.broadcast(_wanted_bits(inside))
+    wanted = spark.sparkContext.broadcast(_bitmap(inside.select(F.pmod("key", F.lit(FILTER_BITS)).alias("bit")), FILTER_BITS, "ngram-wanted"))
     sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary")
     placed = sets.join(inside.select("key", "forest", "chunks", "salt"), "key")
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
