@@ -18,7 +18,7 @@ sets are compared) and has four steps:
    are chained, and connected components of the chain are the *forests* in which
    links can exist. Sizes of linked sets differ by at most one size class.
 3. the full sets of a forest come together (a second pass over the texts, of which a bitmap of
-   fixed size drops most classes in no forest before the shuffle), in salted blocks where a forest is
+   fixed size drops most classes in no forest before the shuffle), in salted blocks by size class where a forest is
    large, and every block (or pair of blocks) is joined by a signature tree.
 4. components of the links found, carried back to all documents.
 
@@ -59,6 +59,8 @@ FANOUT = 8
 #: Most classes, and most shingles, that one block should hold.
 BLOCK = 1024
 BLOCK_SHINGLES = 1_500_000
+#: More than the chunks that a size class can have; numbers of chunks are unique within a forest.
+MOST_CHUNKS = 1 << 40
 #: Classes that a task remembers as posted, and bits of the filter of wanted classes (4 MB).
 POSTED = 500_000
 FILTER_BITS = 1 << 25
@@ -359,6 +361,29 @@ def _joined(percent: int):
 # ---------------------------------------------------------------------------
 
 
+def _placing(inside: DataFrame, block: int) -> DataFrame:
+    """``(forest, class, base, chunks, near)``: the salts of a forest's size class, from ``base`` on, and those it meets.
+
+    A forest that fits one block is one chunk; in a larger one only equal and neighbouring
+    size classes meet, so a set is copied for their chunks, not for all of the forest.
+    """
+
+    def parts(held, total):
+        return F.greatest(F.ceil(held / F.lit(block)), F.ceil(total / F.lit(BLOCK_SHINGLES))).cast("long")
+
+    sizes = stored(inside.groupBy("forest", "class").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total")), "ngram-sizes")
+    whole = sizes.groupBy("forest").agg(parts(F.sum("held"), F.sum("total")).alias("whole"))
+    single = F.col("whole") == 1
+    own = sizes.join(whole, "forest").select(
+        "forest", "class", single.alias("single"),
+        F.when(single, F.lit(0)).otherwise(F.col("class") * MOST_CHUNKS).cast("long").alias("base"),
+        F.when(single, F.lit(1)).otherwise(parts(F.col("held"), F.col("total"))).cast("long").alias("chunks"))
+    met = F.when(F.col("single"), F.array("class")).otherwise(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1))
+    near = own.select("forest", F.explode(met).alias("class"), F.struct("base", "chunks").alias("part"))
+    near = near.groupBy("forest", "class").agg(F.collect_list("part").alias("near"))  # three at most
+    return own.join(near, ["forest", "class"]).select("forest", "class", "base", "chunks", "near")
+
+
 def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: the smallest ``doc_id`` reachable by links."""
     spark = docs.sparkSession
@@ -385,17 +410,16 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
                      .agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n")).where("first_id IS NOT NULL"), "ngram-classes")
     inside = stored(classes.join(forests, "key"), "ngram-inside")
     block = max(LEAF, min(BLOCK, inside.count() // max(1, parts)))
-    chunks = inside.groupBy("forest").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("chunks"))
-    chunks = stored(chunks, "ngram-chunks")
-    inside = inside.join(chunks, "forest").select(
-        "key", "forest", "first_id", "chunks", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("salt"))
+    inside = inside.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(width_of_class)))
+    placing = stored(_placing(inside, block), "ngram-placing")
+    inside = inside.join(placing, ["forest", "class"]).select(
+        "key", "forest", "near", (F.col("base") + F.pmod(F.xxhash64("key"), F.col("chunks"))).alias("salt"))
     inside = stored(inside, "ngram-inside")
     wanted = spark.sparkContext.broadcast(_bitmap(inside.select(F.pmod("key", F.lit(FILTER_BITS)).alias("bit")), FILTER_BITS, "ngram-wanted"))
     sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary")
-    placed = sets.join(inside.select("key", "forest", "chunks", "salt"), "key")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    blocks = placed.select("key", "members", "forest", "salt", other).select(
+    placed = sets.join(inside, "key")
+    others = F.flatten(F.transform("near", lambda x: F.sequence(x["base"], x["base"] + x["chunks"] - 1)))
+    blocks = placed.select("key", "members", "forest", "salt", F.explode(others).alias("other")).select(
         "key", "members", "forest", "salt", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"))
     blocks = blocks.repartition(parts, F.xxhash64("forest", "i", "j")).sortWithinPartitions("forest", "i", "j")
     links = stored(blocks.mapInArrow(_joined(percent), "a long, b long"), "ngram-links")
