@@ -57,8 +57,8 @@ BITS = 4096
 LEAF = 64
 FANOUT = 8
 #: Most classes, and most shingles, that one block should hold.
-BLOCK = 1024
-BLOCK_SHINGLES = 1_500_000
+BLOCK = 2048
+BLOCK_SHINGLES = 3_000_000
 #: More than the chunks that a size class can have; numbers of chunks are unique within a forest.
 MOST_CHUNKS = 1 << 40
 #: Classes that a task remembers as posted, and bits of the filter of wanted classes (4 MB).
