@@ -94,6 +94,22 @@ def test_ngram_join_equals_all_pairs(docs, rows):
     assert {r["doc_id"] for r in kept.collect()} == {i for i in sets if root[i] == i}
 
 
+def test_ngram_join_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(40)}" for _ in range(rng.choice([30, 50, 60, 70, 90]))] for _ in range(12)]
+    data = []
+    for i in range(160):
+        words = list(rng.choice(base))
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(9)}"
+        data.append((i, " ".join(words[: len(words) - rng.randrange(12)])))
+    sets = {i: _set(t, 4) for i, t in data}
+    root = _components(sets, lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    found = ngram_join.ngram_components(spark.createDataFrame(data, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == root
+
+
 @pytest.mark.parametrize("leaf", [2, 64])
 def test_tree_join_finds_every_component(leaf, monkeypatch):
     monkeypatch.setattr(ngram_join, "LEAF", leaf)
