@@ -78,7 +78,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Ar
         yield part.column("doc_id"), [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-def _key(values: np.ndarray) -> int:
+def class_key(values: np.ndarray) -> int:
     """A 64-bit key of a set."""
     return int(mix64(values.sum(keepdims=True, dtype=np.uint64) * np.uint64(2 * len(values) + 1)).view(np.int64)[0])
 
@@ -115,7 +115,7 @@ def _keyed(width: int):
         held: dict[int, np.ndarray] = {}
         total = 0
         for ids, sets in _sets(batches, width):
-            keys = [_key(s) if len(s) else None for s in sets]
+            keys = [class_key(s) if len(s) else None for s in sets]
             none = pa.nulls(len(sets))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.int64()), none.cast(pa.int64()), none.cast(pa.int32())],
@@ -144,7 +144,7 @@ def _prefixes(width: int, percent: int, levels):
                 posted.clear()
             for s in sets:
                 n = len(s)
-                if not n or (key := _key(s)) in posted:
+                if not n or (key := class_key(s)) in posted:
                     continue
                 posted.add(key)
                 length = n - -(-percent * n // 100) + 1
@@ -166,6 +166,18 @@ def _prefixes(width: int, percent: int, levels):
 _POSTED = "token long, key long, n int"
 
 
+def set_keys(width: int):
+    """Rows (doc_id, n, key) per document."""
+
+    def run(batches):
+        for ids, sets in _sets(batches, width):
+            keys = [class_key(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.int64())], names=["doc_id", "n", "key"])
+
+    return run
+
+
 def _in_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (token, key): those of tokens with several keys, equal rows once.
 
@@ -228,7 +240,7 @@ def _whole_sets(width: int, wanted):
             if len(sent) > POSTED:
                 sent.clear()
             for s in sets:
-                if len(s) and (key := _key(s)) not in sent:
+                if len(s) and (key := class_key(s)) not in sent:
                     bit = key % FILTER_BITS
                     if bits[bit >> 3] >> (bit & 7) & 1:
                         found[key] = packed(s)
@@ -387,15 +399,23 @@ def _placing(inside: DataFrame, block: int) -> DataFrame:
 def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: the smallest ``doc_id`` reachable by links."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select("doc_id", "text")
     keyed = stored(docs.mapInArrow(_keyed(width), _KEYED), "ngram-keyed")
     sizes = keyed.where("shared IS NULL").select("doc_id", "n", "key")
     counted = keyed.where("shared IS NOT NULL").groupBy("shared").agg(F.sum("seen").alias("seen"))
     levels = spark.sparkContext.broadcast(_level_bits(counted))
+    return verified_components(docs, sizes, docs.mapInArrow(_prefixes(width, percent, levels), _POSTED), width, percent)
+
+
+def verified_components(docs: DataFrame, sizes: DataFrame, posted: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` per row of ``sizes(doc_id, n, key)``.
+
+    ``posted(token, key, n)``: what chains classes of sets into forests; two classes that may link share a token.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # forests: classes chained by a prefix shingle within neighbouring size classes
-    posted = docs.mapInArrow(_prefixes(width, percent, levels), _POSTED)
+    # forests: classes chained by a token within neighbouring size classes
     shared = posted.repartition(parts, "token").sortWithinPartitions("token", "key").mapInArrow(_in_several, _POSTED)
     width_of_class = -math.log(percent / 100) * 1.000001
     bucket = F.floor(F.log(F.col("n").cast("double")) / F.lit(width_of_class))

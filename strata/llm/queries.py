@@ -13,7 +13,7 @@ from strata.llm.common import table
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_with_edits(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprints_and_components(table(spark, sf_dir, "documents"))
 
 
 def op2_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:

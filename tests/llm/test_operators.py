@@ -154,6 +154,28 @@ def test_near_duplicates_are_verified(docs, rows):
     assert sum(got[i] == root[i] for i in got) >= 0.9 * len(got)
 
 
+def test_near_duplicates_of_a_hot_band_with_an_unlike_smallest_member(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 20000)
+    shared = [f"s{k}" for k in range(200)]
+    # 200 texts that share a passage (0.6 alike), then links among later ones: in each of their bands a text of the 200 is the smallest
+    data = [(i, " ".join(shared + [f"own{i}x{k}" for k in range(60)])) for i in range(200)]
+    data += [(200 + i, " ".join(shared + [f"late{i}x{k}" for k in range(12)])) for i in range(3)]
+    data += [(270, data[9][1]), (271, data[9][1].upper()), (272, data[5][1]), (272, data[11][1])]
+    table = spark.createDataFrame(data + [(None, data[3][1])], "doc_id long, text string").repartition(5)
+    sets = [(i, _set(t, 5)) for i, t in data]
+    root = {i: i for i, _ in data}
+    for x, (i, a) in enumerate(sets):
+        for y, (j, b) in enumerate(sets):
+            if x < y and len(a & b) >= 0.8 * len(a | b):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {k: new if v == old else v for k, v in root.items()}
+    assert root[202] == root[201] == 200 and root[272] == root[5] == root[11] and root[271] == 9 and root[1] == 1
+    got = {r["doc_id"]: r["component_id"] for r in fingerprints.near_duplicates(table).collect()}
+    assert got == root
+    rows = fingerprints.fingerprints_and_components(table).collect()
+    assert len(rows) == len(data) + 1 and all(r["component_id"] == root.get(r["doc_id"]) for r in rows)
+
+
 def test_byte_bpe_equals_tiktoken_and_round_trips(docs, rows):
     import tiktoken
 
