@@ -21,6 +21,9 @@ from strata.llm.common import stored, table
 #: Least score of a predicted language; below, the machines hardly prefer one to another.
 LANGUAGE_SCORE = 0.5
 
+#: Words of a shingle and least likeness of near-duplicates; op5 has a contract of its own (4 words, 85 %).
+WIDTH, PERCENT = 5, 80
+
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs, LANGUAGE_SCORE)
@@ -31,7 +34,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one_of_each(docs)
+    return ngram_join.keep_one_of_each(docs, width=WIDTH, percent=PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,3 +34,14 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
         after = {r["doc_id"] for r in docs.select("doc_id").collect()}
         assert after <= before and after, name
         before = after
+
+
+def test_pipeline_join_takes_five_words_and_four_fifths(spark):
+    def words(name, n):
+        return [f"{name}{k}" for k in range(n)]
+
+    long, short, apart = words("a", 200), words("b", 50), words("c", 100)
+    texts = [long, long + words("x", 40), short, short[:25] + ["changed"] + short[26:], apart, apart + words("y", 30)]
+    docs = spark.createDataFrame([(k, " ".join(t), "s") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 5]  # 196/236 and 41/51 go, 96/126 stays
