@@ -1,6 +1,6 @@
 """A training-data pipeline over the documents table.
 
-``STAGES`` in order: language identification (documents without a usable language go),
+``STAGES`` in order: language identification (documents whose predicted language has a margin near zero go),
 toxicity (documents predicted toxic go), n-gram Jaccard join (one document of each group of
 near-duplicates stays), mixing sources to target weights (documents repeat or go by their
 source's rate), byte-level BPE (every text encoded and decoded again).
@@ -18,15 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import byte_bpe, language, mixing, ngram_join, toxicity
 from strata.llm.common import stored, table
 
-#: Least score of a predicted language; below, the machines hardly prefer one to another.
-LANGUAGE_SCORE = 0.5
-
 #: Words of a shingle and least likeness of near-duplicates; op5 has a contract of its own (4 words, 85 %).
 WIDTH, PERCENT = 5, 80
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.keep_identified(docs, LANGUAGE_SCORE)
+    return language.keep_identified(docs)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,10 +6,16 @@ the whole text, square-rooted and scaled to length 1. A first set of linear supp
 vector machines (one against each other family) predicts the language family, a second
 one (one against each other language of the family) the language within it.
 
-Training rows: documents with text and language outside the held-out fold, at most
-``per_language`` of every language (chosen by a hash of the id; 0 keeps none out), languages
-by falling frequency up to ``max_languages``. The sample is bounded by these two
-parameters; prediction reads every whole text.
+Training rows: documents with text and language outside the held-out fold, chosen by a hash of
+the id: about ``per_language`` of every language, and of every language fewer where there
+are many (``ROWS`` in all, but about ``LEAST_ROWS`` of each). Every language is learned; one whose
+rows are all missed by the hash gives one row. Prediction reads every whole text. The machines are
+fitted in Spark tasks: classes are dealt into groups of ``GROUP``, and a task fits the
+machines between two groups; the driver gets their weights only.
+
+A fifth of the sample (of languages with ``CALIBRATED`` rows at least) is kept from fitting and gives
+the least score of :func:`keep_identified`: half the margin that all but ``LOSS`` of the rows
+predicted right exceed, so near-zero margins are rejected and few clean documents.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; with no
 training rows at all every text is ``und``; rows are kept one to one, repeated rows get
@@ -27,12 +33,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, slices, stored, text_bytes, unit_hash, utf8
+from strata.llm.common import by_key, held_out, slices, stored, text_bytes, unit_hash, utf8
 from strata.llm.svm import linear_svm
 
 DIM = 4096
 PER_LANGUAGE = 600
-MAX_LANGUAGES = 64
+#: Training rows of all languages together, and of each at least, on average.
+ROWS, LEAST_ROWS = 16_000, 50
+#: Classes of a group.
+GROUP = 8
+#: Sampled rows from which a language takes part in the calibration, and the share of right rows it may reject.
+CALIBRATED, LOSS = 20, 0.005
 UNKNOWN = "und"
 
 # Language families by ISO 639-1 code; any other code is a family of its own.
@@ -88,17 +99,6 @@ class Votes:
     pairs: list[tuple[int, int]]
     weights: np.ndarray  # (DIM + 1, pairs)
 
-    @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray) -> Votes:
-        names = sorted(set(y.tolist()))
-        pairs = [(a, b) for a in range(len(names)) for b in range(a + 1, len(names))]
-        made = []
-        for a, b in pairs:
-            rows = (y == names[a]) | (y == names[b])
-            made.append(linear_svm(x[rows], np.where(y[rows] == names[a], 1.0, -1.0)))
-        weights = np.stack(made, axis=1) if made else np.zeros((x.shape[1] + 1, 0))
-        return cls(names, pairs, weights.astype(np.float32))
-
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of the name, smallest margin among its machines): most wins, then largest sum of margins."""
         margins = x @ self.weights[:-1] + self.weights[-1]
@@ -118,11 +118,7 @@ class Votes:
 class Model:
     families: Votes
     within: dict[str, Votes]
-
-    @classmethod
-    def fit(cls, x: np.ndarray, language: np.ndarray) -> Model:
-        group = np.array([family(y) for y in language], dtype=object)
-        return cls(Votes.fit(x, group), {g: Votes.fit(x[group == g], language[group == g]) for g in sorted(set(group))})
+    least: float = 0.0  # the calibrated least score
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         which, margin = self.families.predict(x)
@@ -136,25 +132,86 @@ class Model:
         return name.tolist(), 1 / (1 + np.exp(-2.0 * margin))
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> Model | None:
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The machines between two groups of classes of one level (family "" holds the families)."""
+    for rows in by_key(batches, ["level", "i", "j"]):
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        of, group = rows["class"].to_numpy(), rows["own"].to_numpy()
+        x = np.stack([np.frombuffer(r, dtype=np.float16) for r in rows["x"].to_pylist()]).astype(np.float32)
+        left, right = np.unique(of[group == i]).tolist(), np.unique(of[group == j]).tolist()
+        for a, b in [(a, b) for a in left for b in right if a < b]:
+            pair = (of == a) | (of == b)
+            w = linear_svm(x[pair], np.where(of[pair] == a, 1.0, -1.0)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([rows["level"][0].as_py()]), pa.array([a], pa.int32()), pa.array([b], pa.int32()), pa.array([w.tobytes()])],
+                names=["level", "a", "b", "w"])
+
+
+def _machines(sample: DataFrame, levels: dict[str, list[str]]) -> dict[str, Votes]:
+    """``Votes`` of every level from the rows ``(lang, x)``; each machine is fitted by a Spark task."""
+    spark = sample.sparkSession
+    groups = {level: -(-len(names) // GROUP) for level, names in levels.items()}
+    places = []  # language: its class in the families' level and in its family's
+    for lang in (x for level, names in levels.items() if level for x in names):
+        for level, name in (("", family(lang)), (family(lang), lang)):
+            if len(levels[level]) > 1:
+                at = levels[level].index(name)
+                places += [(lang, level, at, at // GROUP, g) for g in range(groups[level])]
+    votes = {level: Votes(names, [], np.zeros((DIM + 1, 0), dtype=np.float32)) for level, names in levels.items()}
+    if not places:
+        return votes
+    where = spark.createDataFrame(places, "of string, level string, class int, own int, other int")
+    rows = sample.join(F.broadcast(where), F.col("lang") == F.col("of")).select(
+        "level", "class", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "x")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "level", "i", "j").sortWithinPartitions("level", "i", "j")
+    made: dict[str, list] = {}
+    for r in stored(rows.mapInArrow(_fitted, "level string, a int, b int, w binary"), "language-machines").orderBy("level", "a", "b").toLocalIterator():
+        made.setdefault(r["level"], []).append(((r["a"], r["b"]), np.frombuffer(bytes(r["w"]), dtype=np.float32)))
+    for level, found in made.items():
+        votes[level] = Votes(levels[level], [p for p, _ in found], np.stack([w for _, w in found], axis=1))
+    return votes
+
+
+def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """The model of a bounded sample of the rows outside the held-out fold (``None`` without any)."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).toPandas()
-    if not len(counts):
+    drawn = unit_hash(F.col("doc_id"), F.lit("language"))
+    counts = stored(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.min(drawn).alias("first")), "language-counts")
+    languages = sorted(r["lang"] for r in counts.select("lang").toLocalIterator())
+    if not languages:
         return None
-    share = F.create_map(*[F.lit(v) for lang, n in zip(counts["lang"], counts["count"], strict=True) for v in (lang, per_language / n)])
-    sample = usable.select("doc_id", "lang", "text").where(unit_hash(F.col("doc_id"), F.lit("language")) < share[F.col("lang")])
+    wanted = min(per_language, max(LEAST_ROWS, ROWS // len(languages)))
+    share = F.greatest(F.lit(float(wanted)) / F.col("rows"), F.col("first") + 1e-12)  # the first row in any case
+    part = counts.select(F.col("lang").alias("of"), share.alias("share"), "rows")
+    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(part), F.col("lang") == F.col("of")).where(drawn < F.col("share"))
+    enough = F.least("rows", F.lit(wanted)) >= CALIBRATED
+    rows = rows.select("lang", "text", (enough & (unit_hash(F.col("doc_id"), F.lit("calibrate")) < 0.2) & (drawn > F.lit(0.0))).alias("calibrate"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            x = _rows(part)
-            yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.astype(np.float16).tobytes() for r in x])], names=["lang", "x"])
-
-    made = stored(sample.mapInArrow(run, "lang string, x binary"), "language-sample").toPandas()
-    if not len(made):
-        return None
-    x = np.stack([np.frombuffer(r, dtype=np.float16) for r in made["x"]]).astype(np.float32)
-    return Model.fit(x, made["lang"].to_numpy(dtype=object))
+            x = pa.array([r.astype(np.float16).tobytes() for r in _rows(part)])
+            yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("calibrate"), x], names=["lang", "calibrate", "x"])
+
+    sample = stored(rows.mapInArrow(run, "lang string, calibrate boolean, x binary"), "language-sample")
+    levels: dict[str, list[str]] = {"": sorted({family(x) for x in languages})}
+    for g in levels[""]:
+        levels[g] = [x for x in languages if family(x) == g]
+    votes = _machines(sample.where("NOT calibrate").select("lang", "x"), levels)
+    model = Model(votes[""], {g: votes[g] for g in levels[""]})
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.stack([np.frombuffer(r, dtype=np.float16) for r in batch.column("x").to_pylist()]).astype(np.float32)
+                names, score = model.predict(x)
+                right = np.array(names, dtype=object) == np.array(batch.column("lang").to_pylist(), dtype=object)
+                yield pa.RecordBatch.from_arrays([pa.array(np.log(score[right] / (1 - score[right])) / 2)], names=["margin"])
+
+    right = stored(sample.where("calibrate").mapInArrow(margins, "margin double"), "language-margins")
+    low = right.select(F.percentile("margin", F.lit(LOSS)).alias("low")).first()["low"]
+    model.least = 0.0 if low is None else float(1 / (1 + np.exp(-max(0.0, low))))  # half the margin: the score of low / 2
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -179,14 +236,17 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose language is predicted with a score of at least ``least``, unchanged.
 
+    By default the model's calibrated least score.
+
     The prediction runs on each row's own text, so no row is joined or shuffled.
     """
     model = train(docs)
     if model is None:
         return docs.limit(0)
+    least = model.least if least is None else least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):

@@ -326,6 +326,27 @@ def test_language_and_toxicity_on_held_out_rows(spark):
     assert np.mean([scored[i]["predicted"] == int(data[i][3]) for i in out]) >= 0.9
 
 
+def test_language_stage_rejects_letter_junk(spark):
+    rng = random.Random(6)
+    data = [(i, t, lang) for i, t, lang, _ in _two_languages()]
+    junk = [(1000 + i, " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40)), None)
+            for i, letters in enumerate(["жщфыъэ", "漢字語文", "אבגדהו", "ქწერტყ"] * 3)]
+    kept = language.keep_identified(spark.createDataFrame(data + junk, "doc_id long, text string, lang string"))
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, *_ in data}
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(7)
+    names = [f"x{a}{b}" for a in "abcdefgh" for b in "abcdefghi"]  # 72 languages, each with letters of its own
+    data = []
+    for k, lang in enumerate(names):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(3)]
+        data += [(k * 8 + i, " ".join(rng.choice(own) for _ in range(20)), lang) for i in range(8)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(data, "doc_id long, text string, lang string")).collect()}
+    assert {lang for lang in got.values()} == set(names)
+    assert np.mean([got[i] == lang for i, _, lang in data]) >= 0.95
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     pages = spark.createDataFrame([], PAGES)
