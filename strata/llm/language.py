@@ -183,10 +183,10 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         return None
     wanted = min(per_language, max(LEAST_ROWS, ROWS // len(languages)))
     share = F.greatest(F.lit(float(wanted)) / F.col("rows"), F.col("first") + 1e-12)  # the first row in any case
-    part = counts.select(F.col("lang").alias("of"), share.alias("share"), "rows")
+    part = counts.select(F.col("lang").alias("of"), share.alias("share"), "rows", "first")
     rows = usable.select("doc_id", "lang", "text").join(F.broadcast(part), F.col("lang") == F.col("of")).where(drawn < F.col("share"))
     enough = F.least("rows", F.lit(wanted)) >= CALIBRATED
-    rows = rows.select("lang", "text", (enough & (unit_hash(F.col("doc_id"), F.lit("calibrate")) < 0.2) & (drawn > F.lit(0.0))).alias("calibrate"))
+    rows = rows.select("lang", "text", (enough & (unit_hash(F.col("doc_id"), F.lit("calibrate")) < 0.2) & (drawn > F.col("first"))).alias("calibrate"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):

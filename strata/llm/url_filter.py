@@ -4,8 +4,11 @@ Rules ``host/path`` fit their host and all its subdomains if the url's path star
 rule's; the longest rule wins. Urls without a rule get the verdict of their path template.
 
 Templates: the runs of digits in a path's segments become ``{n}`` (so numbered pages
-share a segment), segments beyond ``DEPTH`` are left out, and where a node has more than ``CHILDREN``
-different child segments, its children become one wildcard. A node's labels are the verdicts of
+share a segment). At every node, child segments that cannot be told from variable values become
+one wildcard: those with so few urls in their subtree as a value that does not repeat (a count of
+mean 1, at most ``Z`` standard errors above) whose share of blocked labels does not differ from their
+siblings' by more than ``Z`` standard errors. Other segments stay, whatever the number of
+siblings, down to the end of every path. A node's labels are the verdicts of
 the rules that fit urls below it. From the root down, every node's share of blocked labels is
 smoothed by its parent's with the weight of ``PRIOR`` labels: the root's by 1/2, a
 host's by the root's, a template's by its parent's. Sibling branches whose share does
@@ -27,10 +30,10 @@ from strata.llm.common import stored
 
 #: (verdict, rule) of the query.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-DEPTH = 4
-CHILDREN = 32
 PRIOR = 4.0
 Z = 1.96
+#: The wildcard's place in a node (no segment is empty).
+ANY = ""
 REJECT = 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -65,34 +68,45 @@ def _smoothed(nodes: DataFrame, parents: DataFrame, on: list[str]) -> DataFrame:
     return stored(joined.withColumn("share", share).select(*nodes.columns, "share"), "url-shares")
 
 
+def _constant(children: DataFrame) -> DataFrame:
+    """``(host, node, child)`` with ``constant``: whether the child can be told from a variable value."""
+    siblings = children.groupBy("host", "node").agg(F.sum("labels").alias("all_labels"), F.sum("blocked").alias("all_blocked"))
+    rest, common = F.col("all_labels") - F.col("labels"), F.try_divide("all_blocked", "all_labels")
+    error = F.sqrt(common * (1 - common) * (F.try_divide(F.lit(1), "labels") + F.try_divide(F.lit(1), rest)))
+    apart = F.abs(F.try_divide("blocked", "labels") - F.try_divide(F.col("all_blocked") - F.col("blocked"), rest)) > Z * error
+    constant = (F.col("urls") > 1 + Z) | F.coalesce(apart, F.lit(False))
+    return children.join(stored(siblings, "url-all"), ["host", "node"]).select("host", "node", "child", constant.alias("constant"))
+
+
 def template_shares(rows: DataFrame) -> DataFrame:
     """``(host, segments, share)`` per distinct template of rows ``(host, segments, verdict)``."""
-    labels = [F.count("verdict").alias("labels"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")]
-    shapes = stored(rows.groupBy("host", "segments").agg(*labels), "url-shapes").withColumn("node", F.array().cast("array<string>"))
+    counts = [F.count(F.lit(1)).alias("urls"), F.count("verdict").alias("labels"), F.count(F.when(F.col("verdict") == "block", 1)).alias("blocked")]
+    shapes = stored(rows.groupBy("host", "segments").agg(*counts), "url-shapes").withColumn("node", F.array().cast("array<string>"))
     whole = shapes.agg(F.sum("blocked").alias("blocked"), F.sum("labels").alias("labels")).first()
     top = ((whole["blocked"] or 0) + PRIOR / 2) / ((whole["labels"] or 0) + PRIOR)
-    sums = [F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")]
+    sums = [F.sum(c).alias(c) for c in ("urls", "labels", "blocked")]
     hosts = shapes.groupBy("host").agg(*sums)
     own = (F.col("blocked") + PRIOR * top) / (F.col("labels") + PRIOR)
-    shares = stored(hosts.select("host", F.array().cast("array<string>").alias("node"), own.alias("share")), "url-shares")
-    final = shapes.withColumn("share", F.lit(None).cast("double"))
-    for depth in range(DEPTH + 1):
-        # leaves of this depth take their node's share; the others go one segment down
-        here = final.where(F.size("segments") == depth).drop("share").join(shares, ["host", "node"])
-        done = here.select("host", "segments", "share") if depth == 0 else done.unionByName(here.select("host", "segments", "share"))
-        final = final.where(F.size("segments") > depth)
-        if depth == DEPTH:
+    shares = stored(hosts.select("host", F.array().cast("array<string>").alias("node"), "labels", own.alias("share")), "url-shares")
+    final, done, depth = shapes, None, 0
+    while True:
+        # leaves of this depth take their node's share, as all below a node without labels; the others go one segment down
+        placed = stored(final.join(shares.withColumnRenamed("labels", "known"), ["host", "node"]), "url-placed")
+        ends = (F.size("segments") == depth) | (F.col("known") == 0)
+        here = placed.where(ends).select("host", "segments", "share")
+        done = here if done is None else done.unionByName(here)
+        final = placed.where(~ends).drop("share", "known").withColumn("child", F.element_at("segments", depth + 1))
+        if final.isEmpty():
             return done
-        child = F.element_at("segments", depth + 1)
-        many = final.select("host", "node", child.alias("child")).distinct().groupBy("host", "node").count()
-        many = stored(many.withColumnRenamed("count", "children"), "url-children")
-        below = F.concat("node", F.array(F.when(F.col("children") > CHILDREN, F.lit("*")).otherwise(child)))
-        final = stored(final.join(many, ["host", "node"]).select("host", "segments", "labels", "blocked", F.col("node").alias("parent"),
-                                                               below.alias("node"), "share"), "url-nodes")
+        children = stored(final.groupBy("host", "node", "child").agg(*sums), "url-children")
+        below = F.concat("node", F.array(F.when(F.col("constant"), F.col("child")).otherwise(F.lit(ANY))))
+        final = final.join(stored(_constant(children), "url-constant"), ["host", "node", "child"]).select(
+            "host", "segments", "urls", "labels", "blocked", F.col("node").alias("parent"), below.alias("node"))
+        final = stored(final, "url-nodes")
         nodes = stored(final.groupBy("host", "parent", "node").agg(*sums), "url-siblings")
-        shares = _smoothed(nodes, shares.withColumnRenamed("node", "parent"), ["host", "parent"]).select("host", "node", "share")
+        shares = _smoothed(nodes, shares.withColumnRenamed("node", "parent"), ["host", "parent"]).select("host", "node", "labels", "share")
         final = final.drop("parent")
-    raise AssertionError
+        depth += 1
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -100,7 +114,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, says = fitting_rule(F.col("host"), F.col("path"), rules)
-    segments = F.slice(F.filter(F.split(F.regexp_replace("path", "[0-9]+", "{n}"), "/", -1), lambda s: s != ""), 1, DEPTH)
+    segments = F.filter(F.split(F.regexp_replace("path", "[0-9]+", "{n}"), "/", -1), lambda s: s != "")
     rows = rows.select("page_id", "host", "path", rule.alias("rule"), says.alias("verdict"), segments.alias("segments"))
     shares = stored(template_shares(rows), "url-templates")
     joined = rows.join(shares, ["host", "segments"], "left")

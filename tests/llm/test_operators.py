@@ -295,6 +295,20 @@ def test_url_rules_and_templates(spark):
     assert all(got[k]["verdict"] == "block" for k in range(len(urls) + 60, len(data)))  # hosts whose labels are all blocked
 
 
+def test_url_templates_at_any_number_of_siblings_and_depth(spark):
+    rules = (("block", "com/de/"), ("allow", "com/s"), ("block", "deep.net/a/b/c/d/e/"), ("allow", "deep.net/a/b/c/d/f/"))
+    urls = []
+    for host, sections in (("few.com", 10), ("many.com", 45)):
+        urls += [f"http://{host}/de/{w}" for w in "abcdefghijkl"] + [f"http://{host}/de"]
+        urls += [f"http://{host}/s{chr(97 + k // 9)}{chr(97 + k % 9)}/{w}" for k in range(sections) for w in "xyz"]
+    urls += [f"http://deep.net/a/b/c/d/{last}/{w}" for last in "ef" for w in "ghijklmnop"] + [f"http://deep.net/a/b/c/d/{last}" for last in "ef"]
+    rows = url_filter.judge(spark.createDataFrame([(k, u, "", "") for k, u in enumerate(urls)], PAGES), rules).collect()
+    got = {urls[r["page_id"]]: r["verdict"] for r in rows}
+    assert len(rows) == len(urls)
+    assert (got["http://few.com/de"], got["http://many.com/de"]) == ("block", "block")
+    assert (got["http://deep.net/a/b/c/d/e"], got["http://deep.net/a/b/c/d/f"]) == ("block", "allow")
+
+
 def _two_languages() -> list[tuple]:
     rng = random.Random(4)
     parts = {"en": ["the", "ing", "th", "wh", "er", "and"], "fr": ["eau", "que", "é", "ou", "les", "aux"]}
