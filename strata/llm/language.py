@@ -37,7 +37,7 @@ from strata.llm.common import by_key, held_out, slices, stored, text_bytes, unit
 from strata.llm.svm import linear_svm
 
 DIM = 4096
-PER_LANGUAGE = 600
+PER_LANGUAGE = 1000
 #: Training rows of all languages together, and of each at least, on average.
 ROWS, LEAST_ROWS = 16_000, 50
 #: Classes of a group.
