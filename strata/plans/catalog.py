@@ -2,8 +2,10 @@
 
 Each entry pairs a Spark query ``(spark, sf_dir) -> DataFrame`` with the SQL
 text of an independent oracle formulation (see :mod:`strata.plans.oracle`).
-Every query reads whole tables; computed columns carry the same alias on both
-sides. Chained merges cut lineage between states with ``checkpoint()`` in the
+Queries over one state or all three snapshots read whole tables; those that merge
+only two snapshots, and ``scd2_first_load``, leave out the orders of the slice
+that neither reads (README, last review). Computed columns carry the same alias on
+both sides. Chained merges cut lineage between states with ``checkpoint()`` in the
 session's checkpoint folder, so each state is computed once.
 """
 
