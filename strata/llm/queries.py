@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import byte_bpe, embedding_join, fingerprints, language, mixing, ngram_join, token_counts, toxicity, url_filter, warc
+from strata.llm import (
+    byte_bpe,
+    embedding_join,
+    fingerprints,
+    language,
+    mixing,
+    ngram_join,
+    packing,
+    periodic_runs,
+    token_counts,
+    toxicity,
+    url_filter,
+    vector_codes,
+    warc,
+)
 from strata.llm.common import table
 
 
@@ -56,6 +70,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digest(periodic_runs.periodic_runs(docs))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -65,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_fingerprints, op2_embedding_join, op3_byte_bpe, op4_toxicity, op5_ngram_join, op6_mixing,
-              op7_token_counts, op8_warc, op9_language, op10_url_filter, pipeline)
+              op7_token_counts, op8_warc, op9_language, op10_url_filter, op11_vector_codes, op12_packing, op13_periodic_runs, pipeline)
 }
 
 #: op2 compares all vectors of a label directly; components by a recursive walk over the links.
@@ -133,4 +160,31 @@ SELECT doc_id, size, s AS source_size, target,
   ((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM drawn
 """
 
-ORACLE: dict[str, str] = {"op2_embedding_join": _OP2, "op5_ngram_join": _OP5, "op6_mixing": _OP6}
+
+def _op11() -> str:
+    """op11: every distance is computed; two rounds unrolled."""
+    book = """book0 AS (SELECT p, j, row_number() OVER (PARTITION BY p, j ORDER BY vec_id) - 1 AS entry, x AS c FROM comp WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64))"""
+    near = """near{k} AS (
+  SELECT vec_id, p, min(struct_pack(d := d, entry := entry)) AS best FROM (
+    SELECT vec_id, p, entry, sum((x - c) * (x - c))::BIGINT AS d FROM comp JOIN book{k} USING (p, j) GROUP BY vec_id, p, entry) GROUP BY vec_id, p)"""
+    step = """mean{n} AS (
+  SELECT p, j, best.entry AS entry, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM near{k} JOIN comp USING (vec_id, p) GROUP BY ALL),
+book{n} AS (
+  SELECT b.p, b.j, b.entry, coalesce((s - ((s % n) + n) % n) // n, b.c) AS c FROM book{k} b LEFT JOIN mean{n} m ON m.p = b.p AND m.j = b.j AND m.entry = b.entry)"""
+    parts = [book, near.format(k=0), step.format(k=0, n=1), near.format(k=1), step.format(k=1, n=2), near.format(k=2)]
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+comp AS (
+  SELECT vec_id, i // (len(q) // 16) AS p, i % (len(q) // 16) AS j, q[i + 1] AS x FROM (SELECT vec_id, q, unnest(range(len(q))) AS i FROM kept)),
+{", ".join(parts)},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.entry), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near2 GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, entry, j)) FROM book2) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+ORACLE: dict[str, str] = {"op11_vector_codes": _op11(), "op2_embedding_join": _OP2, "op5_ngram_join": _OP5, "op6_mixing": _OP6}
