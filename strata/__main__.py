@@ -2,8 +2,8 @@
 
     python -m strata user-job --source users.csv --warehouse /data/wh
     python -m strata customer-job --source /landing --warehouse /data/wh --batch-id 20240301 --buckets 512
-    python -m strata customer-job --incremental --source /landing/2024-03-01 --warehouse /data/wh --batch-id 20240301
-    python -m strata customer-stream --source /landing --warehouse /data/wh [--checkpoint DIR]
+    python -m strata customer-job --incremental --source /landing/2024-03-01 --warehouse /data/batches --batch-id 20240301
+    python -m strata customer-stream --source /landing --warehouse /data/batches [--checkpoint DIR]
     python -m strata report --warehouse /data/wh [--version N]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,

@@ -173,15 +173,23 @@ def run_user_job(
 
 def _require_mode(spark: SparkSession, warehouse: str, mode: str) -> None:
     """Record how a warehouse is kept, and raise if it is kept the other way: the two jobs lay
-    out the golds and the type 1 dimension differently, and each would lose the other's rows."""
+    out the golds and the type 1 dimension differently, and each would lose the other's rows. Raises
+    also for a warehouse that holds customer data but no such record."""
+
+    def read(name: str, source: str) -> DataFrame | None:
+        try:
+            return spark.read.format(source).load(_path(warehouse, name))
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     path = _path(warehouse, "_mode")
-    try:
-        found = [r.value for r in spark.read.text(path).collect()]
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        found = []
+    mark = read("_mode", "text")
+    found = [r.value for r in mark.collect()] if mark is not None else []
     if not found:
+        if read("bronze_customers", "binaryFile") is not None:
+            raise ValueError(f"{warehouse} holds customer data but no {path}; write the mode of the jobs that keep it there")
         spark.range(1).select(F.lit(mode).alias("value")).write.mode("overwrite").text(path)
     elif set(found) != {mode}:
         raise ValueError(f"{warehouse} is kept by {found[0]} jobs; use another warehouse for {mode} jobs")

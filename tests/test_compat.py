@@ -9,19 +9,19 @@ from tests import fixtures as fx
 
 
 def test_names_map_onto_operators(spark):
-    df = fx.customers(spark, fx.ALICE_JAN, fx.BOB_JAN, fx.CARLO_JAN, fx.DIANA_JAN, fx.ETHAN_JAN)
+    df = fx.customers(spark, fx.NOOR_1, fx.PIET_AWAY_1, fx.INES_1, fx.TOMAS_1, fx.AINO_AWAY_1)
     silver = compat.enrich_with_revenue_tier(compat.enrich_with_full_name(compat.filter_active_customers(df)))
     assert silver.count() == 3
     assert compat.aggregate_revenue_by_segment(silver).count() == 3
-    assert compat.apply_scd_type1(fx.customers(spark, fx.ALICE_JAN, fx.ALICE_FEB)).count() == 1
-    out = compat.apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR_99))
+    assert compat.apply_scd_type1(fx.customers(spark, fx.NOOR_1, fx.NOOR_2)).count() == 1
+    out = compat.apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NOOR_3_MORE))
     assert compat.get_current_active(out).count() == 2 and compat.get_historical_rows(out).count() == 2
     assert compat.SCD2_TRACKED_COLUMNS[0] == "first_name" and compat.HASH_VERSION == 1
 
 
 def test_change_hash_on_a_join_side(spark):
-    a = fx.customers(spark, fx.ALICE_JAN).alias("new")
-    b = fx.customers(spark, fx.ALICE_FEB).alias("old")
+    a = fx.customers(spark, fx.NOOR_1).alias("new")
+    b = fx.customers(spark, fx.NOOR_2).alias("old")
     joined = a.join(b, F.col("new.customer_id") == F.col("old.customer_id"))
     (r,) = joined.select(
         (compat.build_change_hash("new", ["country"]) == compat.build_change_hash("old", ["country"])).alias("same"),

@@ -18,9 +18,9 @@ SCHEMA = StructType(
 
 
 def test_one_row_per_key_latest_wins(spark):
-    df = fx.customers(spark, fx.ALICE_JAN, fx.ALICE_FEB, fx.BOB_UK_JAN)
+    df = fx.customers(spark, fx.NOOR_1, fx.NOOR_2, fx.PIET_1)
     out = {r.customer_id: r.revenue_ytd for r in latest_per_key(df, "customer_id", "updated_at").collect()}
-    assert out == {"C001": 80_000.0, "C002": 20_000.0}
+    assert out == {"kt-204": 64_000.0, "kt-311": 14_300.0}
 
 
 def test_empty(spark):
@@ -59,10 +59,10 @@ def test_null_order_loses_and_null_keys_keep_one_row(spark):
 
 
 def test_scd1_keeps_latest_per_customer(spark):
-    df = fx.customers(spark, fx.ALICE_JAN, fx.ALICE_FEB, fx.BOB_UK_JAN)
+    df = fx.customers(spark, fx.NOOR_1, fx.NOOR_2, fx.PIET_1)
     out = apply_scd_type1(df)
     assert out.count() == 2 == out.select("customer_id").distinct().count()
-    assert out.filter(F.col("customer_id") == "C001").collect()[0].revenue_ytd == 80_000.0
+    assert out.filter(F.col("customer_id") == "kt-204").collect()[0].revenue_ytd == 64_000.0
     assert scd1(fx.customers(spark)).count() == 0
 
 

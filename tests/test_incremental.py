@@ -146,13 +146,13 @@ def test_late_rows_of_a_batch_are_reported(spark, tmp_path):
     from tests import fixtures as fx
 
     newer, older = str(tmp_path / "newer"), str(tmp_path / "older")
-    fx.customers(spark, fx.ALICE_FEB, fx.BOB_UK_MAR).write.parquet(newer)
-    fx.customers(spark, fx.ALICE_JAN, fx.ZOE_MAR).write.parquet(older)
+    fx.customers(spark, fx.NOOR_2, fx.PIET_3).write.parquet(newer)
+    fx.customers(spark, fx.NOOR_1, fx.MEI_3).write.parquet(older)
     wh = str(tmp_path / "wh")
     run_customer_batch(spark, newer, wh, batch_id=1)
     run_customer_batch(spark, older, wh, batch_id=2, late="ignore")
     late = spark.read.parquet(f"{wh}/_quality/late_rows")
-    assert [(r.customer_id, r.batch_id) for r in late.collect()] == [("C001", 2)]
+    assert [(r.customer_id, r.batch_id) for r in late.collect()] == [("kt-204", 2)]
     silver_schema = spark.read.parquet(f"{wh}/silver_valid_customers").drop("batch_id").schema
     current = {r.customer_id: r.revenue_ytd for r in customer_dimension(spark, wh, silver_schema).read_current().collect()}
-    assert current == {"C001": 80_000.0, "C002": 20_000.0, "C999": 200_000.0}
+    assert current == {"kt-204": 64_000.0, "kt-311": 14_300.0, "kt-900": 245_000.0}

@@ -19,11 +19,11 @@ def test_user_layers_lazy(spark):
     layers = user_layers(fx.users(spark))
     assert "full_name" in layers["silver_active_users"].columns
     assert layers["silver_active_users"].filter(~F.col("is_active")).count() == 0
-    assert {r.country: r.user_count for r in layers["gold_user_count_by_country"].collect()} == {"US": 1, "IT": 2}
+    assert {r.country: r.user_count for r in layers["gold_user_count_by_country"].collect()} == {"MA": 1, "BE": 2}
 
 
 def test_customer_layers_lazy(spark):
-    bronze = fx.customers(spark, fx.ALICE_JAN, fx.ALICE_FEB, fx.NULL_ID_JAN, fx.CARLO_NULL_TS, fx.ETHAN_JAN)
+    bronze = fx.customers(spark, fx.NOOR_1, fx.NOOR_2, fx.UNNAMED_1, fx.INES_UNDATED, fx.AINO_AWAY_1)
     with pytest.raises(SchemaMismatchError):  # a source-shaped dimension cannot take silver rows
         customer_layers(bronze, fx.empty_state(spark))
     layers = customer_layers(bronze, empty_dimension(silver_customers(bronze)))
@@ -44,8 +44,8 @@ def test_user_job_writes_every_layer(spark, tmp_path):
 def test_customer_job_two_runs(spark, tmp_path):
     wh = str(tmp_path / "wh")
     src1, src2 = str(tmp_path / "s1"), str(tmp_path / "s2")
-    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN, fx.CARLO_NULL_TS).write.parquet(src1)
-    fx.customers(spark, fx.ALICE_MAR_99, fx.BOB_UK_MAR, fx.ZOE_MAR).write.parquet(src2)
+    fx.customers(spark, fx.NOOR_1, fx.PIET_1, fx.INES_UNDATED).write.parquet(src1)
+    fx.customers(spark, fx.NOOR_3_MORE, fx.PIET_3, fx.MEI_3).write.parquet(src2)
     assert run_customer_job(spark, src1, wh, register=True).version == 1
     assert run_customer_job(spark, src2, wh).version == 2
     assert spark.catalog.getTable("gold_revenue_by_country").description
@@ -53,7 +53,7 @@ def test_customer_job_two_runs(spark, tmp_path):
     dim = customer_dimension(spark, wh, silver.schema).read()
     assert dim.count() == 4 and dim.filter(F.col("is_current")).count() == 3
     gold = {r.country: r.customer_count for r in spark.read.parquet(os.path.join(wh, "gold_revenue_by_country")).collect()}
-    assert gold == {"US": 1, "UK": 1, "CN": 1}
+    assert gold == {"MA": 1, "BE": 1, "JP": 1}
 
 
 def test_stream_merges_each_batch_once(spark, tmp_path):
@@ -62,37 +62,37 @@ def test_stream_merges_each_batch_once(spark, tmp_path):
     store = customer_dimension(spark, str(tmp_path / "wh"), silver_customers(fx.customers(spark)).schema)
     stream = read_stream(spark, src, CUSTOMER_SCHEMA, max_files_per_trigger=1)
 
-    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).coalesce(1).write.mode("append").parquet(src)
+    fx.customers(spark, fx.NOOR_1, fx.PIET_1).coalesce(1).write.mode("append").parquet(src)
     q = scd2_stream(stream, store, checkpoint=ckpt)
     q.awaitTermination(120)
-    fx.customers(spark, fx.ALICE_FEB).coalesce(1).write.mode("append").parquet(src)
+    fx.customers(spark, fx.NOOR_2).coalesce(1).write.mode("append").parquet(src)
     q = scd2_stream(stream, store, checkpoint=ckpt)
     q.awaitTermination(120)
     assert [c.batch_id for c in store.commits()] == [0, 1]
-    s1 = silver_customers(fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN))
-    s2 = silver_customers(fx.customers(spark, fx.ALICE_FEB))
+    s1 = silver_customers(fx.customers(spark, fx.NOOR_1, fx.PIET_1))
+    s2 = silver_customers(fx.customers(spark, fx.NOOR_2))
     expected = apply_scd_type2(apply_scd_type2(empty_dimension(s1), s1), s2)
     assert sorted(store.read().collect()) == sorted(expected.collect())
     # a replay of batch 1 (e.g. after a crash before the checkpoint commit) changes nothing
-    store.merge(fx.customers(spark, fx.ALICE_FEB), batch_id=1)
+    store.merge(fx.customers(spark, fx.NOOR_2), batch_id=1)
     assert len(store.commits()) == 2
 
 
 def test_bronze_ingest_appends_new_files_only(spark, tmp_path):
     src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "ckpt")
     os.makedirs(src)
-    fx.customers(spark, fx.ALICE_JAN).write.mode("append").parquet(src)
+    fx.customers(spark, fx.NOOR_1).write.mode("append").parquet(src)
     ingest_stream(read_stream(spark, src, CUSTOMER_SCHEMA), out, checkpoint=ckpt).awaitTermination(120)
-    fx.customers(spark, fx.ZOE_MAR).write.mode("append").parquet(src)
+    fx.customers(spark, fx.MEI_3).write.mode("append").parquet(src)
     ingest_stream(read_stream(spark, src, CUSTOMER_SCHEMA), out, checkpoint=ckpt).awaitTermination(120)
-    assert sorted(r.customer_id for r in spark.read.parquet(out).collect()) == ["C001", "C999"]
+    assert sorted(r.customer_id for r in spark.read.parquet(out).collect()) == ["kt-204", "kt-900"]
 
 
 def test_datasets_resolved_by_name(spark):
     from strata.plans.layers import compute_dataset
 
-    fx.users(spark, fx.MIXED_USERS[:3]).createOrReplaceTempView("bronze_users")
-    bronze = fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN, fx.NULL_ID_JAN)
+    fx.users(spark, fx.FIVE_USERS[:3]).createOrReplaceTempView("bronze_users")
+    bronze = fx.customers(spark, fx.NOOR_1, fx.PIET_1, fx.UNNAMED_1)
     bronze.createOrReplaceTempView("bronze_customers")
     try:
         silver_users_df = compute_dataset(spark, "silver_active_users")
@@ -138,12 +138,12 @@ def test_merge_row_sets(spark):
         unchanged_current_rows,
     )
 
-    state, snap = fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR_99, fx.ZOE_MAR)
-    assert sorted(r.customer_id for r in new_or_changed_rows(state, snap).collect()) == ["C001", "C999"]
-    assert [(r.customer_id, r.effective_to) for r in closed_rows(state, snap).collect()] == [("C001", fx.T3)]
-    assert sorted(r.customer_id for r in inserted_rows(state, snap).collect()) == ["C001", "C999"]
-    assert [r.customer_id for r in unchanged_current_rows(state, snap).collect()] == ["C002"]
-    assert [r.revenue_ytd for r in historical_rows(state).collect()] == [75_000.0]
+    state, snap = fx.existing_state(spark), fx.customers(spark, fx.NOOR_3_MORE, fx.MEI_3)
+    assert sorted(r.customer_id for r in new_or_changed_rows(state, snap).collect()) == ["kt-204", "kt-900"]
+    assert [(r.customer_id, r.effective_to) for r in closed_rows(state, snap).collect()] == [("kt-204", fx.T3)]
+    assert sorted(r.customer_id for r in inserted_rows(state, snap).collect()) == ["kt-204", "kt-900"]
+    assert [r.customer_id for r in unchanged_current_rows(state, snap).collect()] == ["kt-311"]
+    assert [r.revenue_ytd for r in historical_rows(state).collect()] == [61_250.5]
 
 
 def test_csv_bronze_stream(spark, tmp_path):
@@ -165,23 +165,36 @@ def test_command_line(spark, tmp_path):
     out = main(["user-job", "--source", str(src), "--warehouse", str(tmp_path / "wh")], spark)
     assert set(out["datasets"]) == {"bronze_users", "silver_active_users", "gold_user_count_by_country"}
     cust = str(tmp_path / "c")
-    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).write.parquet(cust)
+    fx.customers(spark, fx.NOOR_1, fx.PIET_1).write.parquet(cust)
     args = ["customer-job", "--source", cust, "--warehouse", str(tmp_path / "wh2"), "--batch-id", "7", "--buckets", "4"]
     assert main(args, spark)["scd2_version"] == 1
     assert main(args, spark)["scd2_version"] == 1  # same batch again: skipped
     stream_src = str(tmp_path / "landing")
-    fx.customers(spark, fx.ALICE_FEB).write.parquet(stream_src)
-    res = main(
-        ["customer-stream", "--source", stream_src, "--warehouse", str(tmp_path / "wh2"), "--checkpoint", str(tmp_path / "ck")],
-        spark,
-    )
-    assert res["scd2_version"] == 2
+    fx.customers(spark, fx.NOOR_2).write.parquet(stream_src)
+    stream = ["customer-stream", "--source", stream_src, "--checkpoint", str(tmp_path / "ck"), "--warehouse"]
+    assert main([*stream, str(tmp_path / "wh3")], spark)["scd2_version"] == 1
+
+
+def test_jobs_and_streams_refuse_each_others_warehouse(spark, tmp_path):
+    from strata.plans.layers import run_customer_batch, run_customer_job
+
+    src, wh = str(tmp_path / "c"), tmp_path / "wh"
+    fx.customers(spark, fx.NOOR_1).write.parquet(src)
+    run_customer_job(spark, src, str(wh / "full"))
+    run_customer_batch(spark, src, str(wh / "batches"), 1)
+    for job in (lambda: run_customer_batch(spark, src, str(wh / "full"), 2), lambda: run_customer_job(spark, src, str(wh / "batches"))):
+        with pytest.raises(ValueError, match="another warehouse"):
+            job()
+    # data without a record of who keeps it
+    fx.customers(spark, fx.NOOR_1).write.parquet(str(wh / "unmarked" / "bronze_customers"))
+    with pytest.raises(ValueError, match="no .*_mode"):
+        run_customer_job(spark, src, str(wh / "unmarked"))
 
 
 def test_lineage_cut_writes_below_the_checkpoint_folder(spark):
     from strata.session import checkpoint_root, cut_lineage
 
-    df = fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN)
+    df = fx.customers(spark, fx.NOOR_1, fx.PIET_1)
     cut = cut_lineage(df)
     files = cut.inputFiles()
     assert files and all("strata-lineage" in f for f in files)
@@ -192,11 +205,11 @@ def test_lineage_cut_writes_below_the_checkpoint_folder(spark):
 def test_deactivation_becomes_a_version_when_tracked(spark, tmp_path):
     from datetime import datetime
 
-    gone = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 75_000.0, False, datetime(2024, 2, 1))
+    gone = fx.row("kt-204", ("Noor", "Haddad"), ("MA", "Fes"), "wholesale", 61_250.5, datetime(2024, 2, 1), False)
     for track, expected in ((False, [(True, True)]), (True, [(False, True), (True, False)])):
         wh = str(tmp_path / f"wh{track}")
         s1, s2 = str(tmp_path / f"a{track}"), str(tmp_path / f"b{track}")
-        fx.customers(spark, fx.ALICE_JAN).write.parquet(s1)
+        fx.customers(spark, fx.NOOR_1).write.parquet(s1)
         fx.customers(spark, gone).write.parquet(s2)
         run_customer_job(spark, s1, wh, track_deactivation=track)
         run_customer_job(spark, s2, wh, track_deactivation=track)
@@ -208,9 +221,9 @@ def test_deactivation_becomes_a_version_when_tracked(spark, tmp_path):
 def test_late_rows_report(spark):
     from strata.operators.quality import late_rows
 
-    late = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime_(2023, 6, 1))
-    out = late_rows(fx.existing_state(spark), fx.customers(spark, late, fx.ZOE_MAR, fx.BOB_UK_MAR))
-    assert [(r.customer_id, r.current_effective_from) for r in out.collect()] == [("C001", fx.T2)]
+    late = fx.row("kt-204", ("Noor", "Haddad"), ("MA", "Fes"), "wholesale", 1.0, datetime_(2023, 6, 1))
+    out = late_rows(fx.existing_state(spark), fx.customers(spark, late, fx.MEI_3, fx.PIET_3))
+    assert [(r.customer_id, r.current_effective_from) for r in out.collect()] == [("kt-204", fx.T2)]
 
 
 def datetime_(*a):
@@ -223,13 +236,13 @@ def test_command_line_incremental(spark, tmp_path):
     from strata.__main__ import main
 
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
-    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).write.parquet(a)
-    fx.customers(spark, fx.ALICE_FEB).write.parquet(b)
+    fx.customers(spark, fx.NOOR_1, fx.PIET_1).write.parquet(a)
+    fx.customers(spark, fx.NOOR_2).write.parquet(b)
     wh = str(tmp_path / "wh")
     assert main(["customer-job", "--incremental", "--source", a, "--warehouse", wh, "--batch-id", "1"], spark)["scd2_version"] == 1
     assert main(["customer-job", "--incremental", "--source", b, "--warehouse", wh, "--batch-id", "2"], spark)["scd2_version"] == 2
     gold = {r.country: r.customer_count for r in spark.read.parquet(f"{wh}/gold_revenue_by_country").collect()}
-    assert gold == {"US": 2, "UK": 1}
+    assert gold == {"MA": 2, "BE": 1}
     with pytest.raises(SystemExit):
         main(["customer-job", "--incremental", "--source", b, "--warehouse", wh], spark)
 
@@ -239,16 +252,16 @@ def test_customer_stream_runs_the_incremental_flow(spark, tmp_path):
     from strata.streaming import customer_stream
 
     src, wh, ck = str(tmp_path / "landing"), str(tmp_path / "wh"), str(tmp_path / "ck")
-    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).coalesce(1).write.mode("append").parquet(src)
+    fx.customers(spark, fx.NOOR_1, fx.PIET_1).coalesce(1).write.mode("append").parquet(src)
     customer_stream(read_stream(spark, src, CUSTOMER_SCHEMA), wh, checkpoint=ck).awaitTermination(120)
-    fx.customers(spark, fx.ALICE_FEB, fx.ZOE_MAR).coalesce(1).write.mode("append").parquet(src)
+    fx.customers(spark, fx.NOOR_2, fx.MEI_3).coalesce(1).write.mode("append").parquet(src)
     customer_stream(read_stream(spark, src, CUSTOMER_SCHEMA), wh, checkpoint=ck).awaitTermination(120)
     silver_schema = silver_customers(fx.customers(spark)).schema
     assert [c.batch_id for c in customer_dimension(spark, wh, silver_schema).commits()] == [0, 1]
     scd1 = {r.customer_id: r.revenue_ytd for r in customer_scd1_table(spark, wh, silver_schema).read_version().collect()}
-    assert scd1 == {"C001": 80_000.0, "C002": 20_000.0, "C999": 200_000.0}
+    assert scd1 == {"kt-204": 64_000.0, "kt-311": 14_300.0, "kt-900": 245_000.0}
     gold = {r.country: r.customer_count for r in spark.read.parquet(f"{wh}/gold_revenue_by_country").collect()}
-    assert gold == {"US": 2, "UK": 1, "CN": 1}
+    assert gold == {"MA": 2, "BE": 1, "JP": 1}
 
 
 def test_declarative_definitions_register_the_layers(spark, tmp_path, monkeypatch):
@@ -306,8 +319,8 @@ def test_command_line_ignore_late(spark, tmp_path):
     from strata.__main__ import main
 
     newer, older = str(tmp_path / "newer"), str(tmp_path / "older")
-    fx.customers(spark, fx.ALICE_FEB).write.parquet(newer)
-    old = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime(2023, 1, 1))
+    fx.customers(spark, fx.NOOR_2).write.parquet(newer)
+    old = fx.row("kt-204", ("Noor", "Haddad"), ("MA", "Fes"), "wholesale", 1.0, datetime(2023, 1, 1))
     fx.customers(spark, old).write.parquet(older)
     for flags, expected in (([], 2), (["--ignore-late"], 1)):
         wh = str(tmp_path / f"wh{len(flags)}")

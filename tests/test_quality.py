@@ -21,40 +21,40 @@ from tests import fixtures as fx
 
 
 def _broken_state(spark):
-    """Two current rows for C001, a null flag, a late interval, a stale version, a null key."""
+    """Two current rows for kt-204, a null flag, a late interval, a stale version, a null key."""
     rows = fx.existing_state(spark).collect()
     extra = [
-        fx.ALICE_MAR + (fx.T3, None, True, 1),
-        fx.DIANA_JAN + (fx.T1, None, None, 1),
-        fx.ETHAN_JAN + (fx.T3, fx.T1, False, 1),
-        fx.ZOE_MAR + (fx.T3, None, True, None),
-        fx.NULL_ID_JAN + (fx.T1, None, True, 1),
+        fx.NOOR_3 + (fx.T3, None, True, 1),
+        fx.TOMAS_1 + (fx.T1, None, None, 1),
+        fx.AINO_AWAY_1 + (fx.T3, fx.T1, False, 1),
+        fx.MEI_3 + (fx.T3, None, True, None),
+        fx.UNNAMED_1 + (fx.T1, None, True, 1),
     ]
     return spark.createDataFrame([tuple(r) for r in rows] + extra, fx.existing_state(spark).schema)
 
 
 def test_duplicate_current(spark):
-    assert [(r.customer_id, r.cnt) for r in duplicate_current(_broken_state(spark)).collect()] == [("C001", 2)]
+    assert [(r.customer_id, r.cnt) for r in duplicate_current(_broken_state(spark)).collect()] == [("kt-204", 2)]
     assert duplicate_current(fx.existing_state(spark)).count() == 0
 
 
 def test_duplicate_keys_include_null_group(spark):
-    df = fx.customers(spark, fx.NULL_ID_JAN, fx.NULL_ID_JAN, fx.ALICE_JAN)
+    df = fx.customers(spark, fx.UNNAMED_1, fx.UNNAMED_1, fx.NOOR_1)
     assert [(r.customer_id, r.cnt) for r in duplicate_keys(df).collect()] == [(None, 2)]
 
 
 def test_key_uniqueness_counts_null_as_a_value(spark):
-    (r,) = key_uniqueness(fx.customers(spark, fx.NULL_ID_JAN, fx.ALICE_JAN)).collect()
+    (r,) = key_uniqueness(fx.customers(spark, fx.UNNAMED_1, fx.NOOR_1)).collect()
     assert (r.rows, r.distinct_keys, r.is_unique) == (2, 2, True)
-    (r,) = key_uniqueness(fx.customers(spark, fx.ALICE_FEB, fx.ALICE_JAN)).collect()
+    (r,) = key_uniqueness(fx.customers(spark, fx.NOOR_2, fx.NOOR_1)).collect()
     assert (r.rows, r.distinct_keys, r.is_unique) == (2, 1, False)
 
 
 def test_row_level_checks(spark):
     state = _broken_state(spark)
     assert [r.customer_id for r in null_keys(state).collect()] == [None]
-    assert [r.customer_id for r in interval_violations(state).collect()] == ["C005"]
-    assert [r.customer_id for r in null_current_flags(state).collect()] == ["C004"]
+    assert [r.customer_id for r in interval_violations(state).collect()] == ["kt-518"]
+    assert [r.customer_id for r in null_current_flags(state).collect()] == ["kt-455"]
     assert open_history(state).count() == 0
 
 
@@ -74,10 +74,10 @@ def test_dimension_report(spark):
 
 
 def test_report_on_a_merge_result_is_clean(spark):
-    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR_99, fx.ZOE_MAR))
+    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NOOR_3_MORE, fx.MEI_3))
     (r,) = dimension_report(out).collect()
     assert (r.duplicate_current_keys, r.interval_violations, r.open_history_rows, r.null_key_rows) == (0, 0, 0, 0)
-    late = fx.cust("C002", "Bob", "Jones", "UK", "Paris", "SMB", 1.0, True, datetime(2023, 1, 1))
+    late = fx.row("kt-311", ("Piet", "Visser"), ("BE", "Brugge"), "hobby", 1.0, datetime(2023, 1, 1))
     (r,) = dimension_report(apply_scd_type2(out, fx.customers(spark, late))).collect()
     assert r.interval_violations == 1
     assert out.filter(F.col("is_current")).count() == 3

@@ -44,7 +44,7 @@ def _rows(df):
 
 
 def test_first_run_all_current_with_open_interval(spark):
-    active = fx.customers(spark, fx.ALICE_JAN, fx.CARLO_JAN, fx.DIANA_JAN)
+    active = fx.customers(spark, fx.NOOR_1, fx.INES_1, fx.TOMAS_1)
     out = apply_scd_type2(fx.empty_state(spark), active)
     assert out.count() == out.filter(F.col("is_current")).count() == 3
     assert out.filter(F.col("effective_to").isNotNull()).count() == 0
@@ -53,31 +53,31 @@ def test_first_run_all_current_with_open_interval(spark):
 
 
 def test_unchanged_row_is_not_duplicated_and_keeps_old_values(spark):
-    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR, fx.BOB_UK_MAR))
-    c002 = out.filter((F.col("customer_id") == "C002") & F.col("is_current")).collect()
+    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NOOR_3, fx.PIET_3))
+    c002 = out.filter((F.col("customer_id") == "kt-311") & F.col("is_current")).collect()
     assert len(c002) == 1 and c002[0].updated_at == T1 and c002[0].effective_from == T1
-    assert out.count() == 4  # C001: 75k history, 80k closed, 90k current; C002 unchanged
+    assert out.count() == 4  # two closed versions and the new one of kt-204, and kt-311 as it was
 
 
 def test_changed_row_closes_old_and_inserts_new(spark):
-    out = _rows(apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR_99)))
-    assert ("C001", 80_000.0, True) not in out
-    closed = out[("C001", 80_000.0, False)]
+    out = _rows(apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NOOR_3_MORE)))
+    assert ("kt-204", 64_000.0, True) not in out
+    closed = out[("kt-204", 64_000.0, False)]
     assert (closed.effective_from, closed.effective_to, closed.hash_version) == (T2, T3, 1)
-    new = out[("C001", 99_000.0, True)]
+    new = out[("kt-204", 72_900.0, True)]
     assert (new.effective_from, new.effective_to, new.updated_at) == (T3, None, T3)
-    assert ("C001", 75_000.0, False) in out  # history kept
+    assert ("kt-204", 61_250.5, False) in out  # history kept
     assert len(out) == 4
 
 
 def test_new_key_is_inserted(spark):
-    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.ZOE_MAR))
-    assert out.filter((F.col("customer_id") == "C999") & F.col("is_current")).count() == 1
+    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.MEI_3))
+    assert out.filter((F.col("customer_id") == "kt-900") & F.col("is_current")).count() == 1
     assert out.filter(~F.col("is_current")).count() == 1 and out.count() == 4
 
 
 def test_at_most_one_current_row_per_key(spark):
-    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.ALICE_MAR_99, fx.BOB_UK_MAR_21))
+    out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NOOR_3_MORE, fx.PIET_3_MORE))
     assert duplicate_current(out).count() == 0
     assert out.count() == 5 and current_rows(out).count() == 2
 
@@ -91,7 +91,7 @@ def test_tracked_columns_contract():
 
 
 def test_same_snapshot_twice_is_a_no_op(spark):
-    snap = fx.customers(spark, fx.ALICE_MAR_99, fx.BOB_UK_MAR_21, fx.ZOE_MAR)
+    snap = fx.customers(spark, fx.NOOR_3_MORE, fx.PIET_3_MORE, fx.MEI_3)
     once = apply_scd_type2(fx.existing_state(spark), snap)
     twice = apply_scd_type2(once, snap)
     assert sorted(once.collect()) == sorted(twice.collect())
@@ -103,21 +103,21 @@ def test_empty_snapshot_keeps_state(spark):
 
 
 def test_late_row_is_applied_and_gives_inverted_interval(spark):
-    late = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime(2023, 6, 1))
+    late = fx.row("kt-204", ("Noor", "Haddad"), ("MA", "Fes"), "wholesale", 1.0, datetime(2023, 6, 1))
     out = _rows(apply_scd_type2(fx.existing_state(spark), fx.customers(spark, late)))
-    closed = out[("C001", 80_000.0, False)]
+    closed = out[("kt-204", 64_000.0, False)]
     assert closed.effective_to < closed.effective_from
 
 
 def test_late_ignore_option_keeps_current(spark):
-    late = fx.cust("C001", "Alice", "Smith", "US", "NYC", "Retail", 1.0, True, datetime(2023, 6, 1))
+    late = fx.row("kt-204", ("Noor", "Haddad"), ("MA", "Fes"), "wholesale", 1.0, datetime(2023, 6, 1))
     state = fx.existing_state(spark)
     out = scd2_merge(state, fx.customers(spark, late), late="ignore")
     assert sorted(out.collect()) == sorted(state.collect())
 
 
 def test_null_key_is_inserted_on_every_run(spark):
-    snap = fx.customers(spark, fx.NULL_ID_JAN)
+    snap = fx.customers(spark, fx.UNNAMED_1)
     once = apply_scd_type2(fx.existing_state(spark), snap)
     twice = apply_scd_type2(once, snap)
     assert twice.filter(F.col("customer_id").isNull() & F.col("is_current")).count() == 2
@@ -125,39 +125,39 @@ def test_null_key_is_inserted_on_every_run(spark):
 
 def test_state_without_hash_version_is_backfilled(spark):
     legacy = fx.existing_state(spark).drop("hash_version")
-    out = apply_scd_type2(legacy, fx.customers(spark, fx.ZOE_MAR))
+    out = apply_scd_type2(legacy, fx.customers(spark, fx.MEI_3))
     got = {(r.customer_id, r.revenue_ytd): r.hash_version for r in out.collect()}
-    assert got[("C999", 200_000.0)] == 1 and got[("C002", 20_000.0)] is None
+    assert got[("kt-900", 245_000.0)] == 1 and got[("kt-311", 14_300.0)] is None
     assert out.schema["hash_version"].dataType == IntegerType()
 
 
 def test_untracked_change_keeps_old_row(spark):
-    moved = fx.cust("C002", "Bob", "Jones", "UK", "London", "SMB", 20_000.0, True, T3)
+    moved = fx.row("kt-311", ("Piet", "Visser"), ("BE", "Gent"), "hobby", 14_300.0, T3)
     out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, moved))
-    (row,) = out.filter(F.col("customer_id") == "C002").collect()
+    (row,) = out.filter(F.col("customer_id") == "kt-311").collect()
     assert row.updated_at == T1 and row.is_current
 
 
 def test_custom_tracked_columns(spark):
-    richer = fx.cust("C002", "Bob", "Jones", "UK", "London", "SMB", 99.0, True, T3)
+    richer = fx.row("kt-311", ("Piet", "Visser"), ("BE", "Gent"), "hobby", 99.0, T3)
     out = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, richer), tracked_cols=["country"])
-    assert out.filter(F.col("customer_id") == "C002").count() == 1  # revenue not tracked
+    assert out.filter(F.col("customer_id") == "kt-311").count() == 1  # revenue not tracked
 
 
 def test_column_mismatch_raises_or_pads(spark):
-    extra = fx.customers(spark, fx.ZOE_MAR).withColumn("loyalty", F.lit("gold"))
+    extra = fx.customers(spark, fx.MEI_3).withColumn("loyalty", F.lit("gold"))
     with pytest.raises(SchemaMismatchError):
         apply_scd_type2(fx.existing_state(spark), extra)
     out = scd2_merge(fx.existing_state(spark), extra, allow_missing_columns=True)
     got = {r.customer_id: r.loyalty for r in current_rows(out).collect()}
-    assert got == {"C001": None, "C002": None, "C999": "gold"}
+    assert got == {"kt-204": None, "kt-311": None, "kt-900": "gold"}
 
 
 def test_key_with_only_history_is_reopened(spark):
-    state = fx.existing_state(spark).filter(~((F.col("customer_id") == "C001") & F.col("is_current")))
-    out = apply_scd_type2(state, fx.customers(spark, fx.ALICE_MAR))
-    rows = out.filter(F.col("customer_id") == "C001").collect()
-    assert sorted((r.revenue_ytd, r.is_current) for r in rows) == [(75_000.0, False), (90_000.0, True)]
+    state = fx.existing_state(spark).filter(~((F.col("customer_id") == "kt-204") & F.col("is_current")))
+    out = apply_scd_type2(state, fx.customers(spark, fx.NOOR_3))
+    rows = out.filter(F.col("customer_id") == "kt-204").collect()
+    assert sorted((r.revenue_ytd, r.is_current) for r in rows) == [(61_250.5, False), (70_400.0, True)]
 
 
 def test_separator_collision_hash_vs_struct(spark):
@@ -179,42 +179,42 @@ def test_separator_collision_hash_vs_struct(spark):
 
 
 def test_struct_compare_treats_nulls_as_equal(spark):
-    a = fx.cust("C9", "A", None, "US", None, "S", None, True, T1)
-    b = fx.cust("C9", "A", None, "US", None, "S", None, True, T2)
+    a = fx.row("C9", ("A", None), ("US", None), "S", None, T1)
+    b = fx.row("C9", ("A", None), ("US", None), "S", None, T2)
     state = scd2_merge(empty_dimension(fx.customers(spark, a)), fx.customers(spark, a), compare="struct")
     assert scd2_merge(state, fx.customers(spark, b), compare="struct").count() == 1
 
 
 def test_absent_close_option(spark):
     at = datetime(2024, 4, 1)
-    out = scd2_merge(fx.existing_state(spark), fx.customers(spark, fx.ZOE_MAR), absent="close", close_absent_at=at)
-    got = {(r.customer_id, r.is_current): r.effective_to for r in out.collect() if r.revenue_ytd != 75_000.0}
-    assert got == {("C001", False): at, ("C002", False): at, ("C999", True): None}
+    out = scd2_merge(fx.existing_state(spark), fx.customers(spark, fx.MEI_3), absent="close", close_absent_at=at)
+    got = {(r.customer_id, r.is_current): r.effective_to for r in out.collect() if r.revenue_ytd != 61_250.5}
+    assert got == {("kt-204", False): at, ("kt-311", False): at, ("kt-900", True): None}
 
 
 def test_change_labels(spark):
-    snap = fx.customers(spark, fx.ALICE_MAR_99, fx.ZOE_MAR)
+    snap = fx.customers(spark, fx.NOOR_3_MORE, fx.MEI_3)
     chg = scd2_changes(fx.existing_state(spark), snap)
     got = sorted((r.customer_id, r[CHANGE]) for r in chg.collect())
-    assert got == [("C001", "changed"), ("C001", "closed"), ("C002", "absent"), ("C999", "new")]
+    assert got == [("kt-204", "changed"), ("kt-204", "closed"), ("kt-311", "absent"), ("kt-900", "new")]
 
 
 def test_stale_hash_versions_are_reported_and_closed(spark):
     state = fx.existing_state(spark).withColumn(
-        "hash_version", F.when(F.col("customer_id") == "C002", F.lit(None).cast("int")).otherwise(F.col("hash_version"))
+        "hash_version", F.when(F.col("customer_id") == "kt-311", F.lit(None).cast("int")).otherwise(F.col("hash_version"))
     )
-    assert [r.customer_id for r in stale_hash_rows(state).collect()] == ["C002"]
+    assert [r.customer_id for r in stale_hash_rows(state).collect()] == ["kt-311"]
     at = datetime(2024, 2, 15)
     closed = close_stale_versions(state, at)
     assert stale_hash_rows(closed).count() == 0
-    reloaded = apply_scd_type2(closed, fx.customers(spark, fx.BOB_UK_MAR))
-    c002 = sorted((r.is_current, r.effective_to, r.hash_version) for r in reloaded.filter(F.col("customer_id") == "C002").collect())
+    reloaded = apply_scd_type2(closed, fx.customers(spark, fx.PIET_3))
+    c002 = sorted((r.is_current, r.effective_to, r.hash_version) for r in reloaded.filter(F.col("customer_id") == "kt-311").collect())
     assert c002 == [(False, at, None), (True, None, 1)]
 
 
 def test_merge_shuffles_each_side_once(spark, scratch):
     fx.existing_state(spark).write.parquet(f"{scratch}/dim")
-    fx.customers(spark, fx.ALICE_MAR_99, fx.ZOE_MAR).write.parquet(f"{scratch}/in")
+    fx.customers(spark, fx.NOOR_3_MORE, fx.MEI_3).write.parquet(f"{scratch}/in")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         out = apply_scd_type2(spark.read.parquet(f"{scratch}/dim"), spark.read.parquet(f"{scratch}/in"))
@@ -296,21 +296,21 @@ def test_single_pass_merge_matches_model(spark, seed, option):
 
 def test_absent_close_also_closes_keyless_current_rows(spark):
     at = datetime(2024, 4, 1)
-    state = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.NULL_ID_JAN))
-    out = scd2_merge(state, fx.customers(spark, fx.ZOE_MAR), absent="close", close_absent_at=at)
+    state = apply_scd_type2(fx.existing_state(spark), fx.customers(spark, fx.UNNAMED_1))
+    out = scd2_merge(state, fx.customers(spark, fx.MEI_3), absent="close", close_absent_at=at)
     (row,) = out.filter(F.col("customer_id").isNull()).collect()
     assert (row.is_current, row.effective_to) == (False, at)
-    chg = scd2_changes(state, fx.customers(spark, fx.ZOE_MAR), absent="close", close_absent_at=at)
+    chg = scd2_changes(state, fx.customers(spark, fx.MEI_3), absent="close", close_absent_at=at)
     assert [r[CHANGE] for r in chg.filter(F.col("customer_id").isNull()).collect()] == ["closed"]
 
 
 def test_ntz_snapshot_into_ltz_dimension(spark):
-    snap = fx.customers(spark, fx.ALICE_MAR_99).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
+    snap = fx.customers(spark, fx.NOOR_3_MORE).withColumn("updated_at", F.col("updated_at").cast("timestamp_ntz"))
     out = apply_scd_type2(fx.existing_state(spark), snap)
     assert out.schema["updated_at"].dataType == TimestampType()
     assert out.schema["effective_to"].dataType == TimestampType()
     rows = {(r.revenue_ytd, r.is_current): r for r in out.collect()}
-    assert rows[(80_000.0, False)].effective_to == T3 and rows[(99_000.0, True)].effective_from == T3
+    assert rows[(64_000.0, False)].effective_to == T3 and rows[(72_900.0, True)].effective_from == T3
 
 
 @pytest.mark.parametrize("seed", range(8))

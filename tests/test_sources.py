@@ -21,7 +21,7 @@ def _csv(path, text):
 
 
 def test_csv_schema_and_rows(spark, tmp_path):
-    path = _csv(tmp_path / "u.csv", HEADER + "U001,Alice,Smith,US,true\nU002,Bob,Jones,UK,false\n")
+    path = _csv(tmp_path / "u.csv", HEADER + "u-03,Noor,Haddad,MA,true\nu-08,Piet,Visser,NL,false\n")
     df = read_users_csv(spark, path)
     assert df.schema == USER_SCHEMA and df.count() == 2
 
@@ -55,7 +55,7 @@ def test_strict_csv_fails_on_bad_value(spark, tmp_path):
 
 
 def _customer_parquet(spark, path):
-    fx.customers(spark, fx.ALICE_JAN, fx.BOB_UK_JAN).write.parquet(path)
+    fx.customers(spark, fx.NOOR_1, fx.PIET_1).write.parquet(path)
     return path
 
 
@@ -66,7 +66,7 @@ def test_parquet_schema_and_rows(spark, scratch):
 
 def test_parquet_missing_column_is_null_unless_strict(spark, scratch):
     path = f"{scratch}/c"
-    fx.customers(spark, fx.ALICE_JAN).drop("city").write.parquet(path)
+    fx.customers(spark, fx.NOOR_1).drop("city").write.parquet(path)
     assert read_customers_parquet(spark, path).collect()[0].city is None
     with pytest.raises(SchemaDriftError, match="missing city"):
         read_customers_parquet(spark, path, strict=True)
@@ -75,8 +75,8 @@ def test_parquet_missing_column_is_null_unless_strict(spark, scratch):
 def test_parquet_type_drift_detected_before_reading(spark, scratch):
     path = f"{scratch}/c"
     schema = StructType([StructField(f.name, StringType() if f.name == "revenue_ytd" else f.dataType) for f in CUSTOMER_SCHEMA])
-    row = list(fx.ALICE_JAN)
-    row[7] = "75000"
+    row = list(fx.NOOR_1)
+    row[7] = "61250.5"
     spark.createDataFrame([tuple(row)], schema).write.parquet(path)
     with pytest.raises(SchemaDriftError, match="revenue_ytd"):
         read_customers_parquet(spark, path, strict=True)
@@ -85,7 +85,7 @@ def test_parquet_type_drift_detected_before_reading(spark, scratch):
 
 def test_parquet_reader_prunes_to_declared_columns(spark, scratch):
     path = f"{scratch}/c"
-    fx.customers(spark, fx.ALICE_JAN).withColumn("unused", fx_lit()).write.parquet(path)
+    fx.customers(spark, fx.NOOR_1).withColumn("unused", fx_lit()).write.parquet(path)
     plan = fx.plan_text(read_customers_parquet(spark, path).select("country"))
     assert "ReadSchema: struct<country:string>" in plan
 
@@ -98,12 +98,12 @@ def fx_lit():
 
 def test_strict_parquet_checks_every_file(spark, scratch):
     path = f"{scratch}/c"
-    fx.customers(spark, fx.ALICE_JAN).write.mode("append").parquet(path)
-    fx.customers(spark, fx.BOB_UK_JAN).drop("email").write.mode("append").parquet(path)
+    fx.customers(spark, fx.NOOR_1).write.mode("append").parquet(path)
+    fx.customers(spark, fx.PIET_1).drop("email").write.mode("append").parquet(path)
     # the merged schema still has every column: accepted, the missing values read as null
     assert read_customers_parquet(spark, path, strict=True).count() == 2
     schema = StructType([StructField(f.name, StringType() if f.name == "revenue_ytd" else f.dataType) for f in CUSTOMER_SCHEMA])
-    row = list(fx.ZOE_MAR)
+    row = list(fx.MEI_3)
     row[7] = "200000"
     spark.createDataFrame([tuple(row)], schema).write.mode("append").parquet(path)
     with pytest.raises(SchemaDriftError):
