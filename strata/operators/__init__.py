@@ -6,7 +6,9 @@ from strata.operators.aggregates import (
     revenue_by_segment,
     user_count_by_country,
 )
+from strata.operators.asof import as_of_join
 from strata.operators.dedupe import latest_per_key
+from strata.operators.history import scd2_merge_versions, scd2_splice, seen_rows, spliced_versions
 from strata.operators.quality import (
     dimension_report,
     duplicate_current,
@@ -42,12 +44,15 @@ from strata.operators.scd import (
     unchanged_current_rows,
     with_hash_version,
 )
+from strata.operators.temporal import daily, over_time
 
 __all__ = [
+    "as_of_join",
     "close_stale_versions",
     "closed_rows",
     "count_by",
     "current_rows",
+    "daily",
     "dimension_report",
     "duplicate_current",
     "duplicate_keys",
@@ -64,14 +69,19 @@ __all__ = [
     "null_current_flags",
     "null_keys",
     "open_history",
+    "over_time",
     "require_not_null",
     "revenue_by_country",
     "revenue_by_segment",
     "scd1",
     "scd2_changes",
     "scd2_merge",
+    "scd2_merge_versions",
+    "scd2_splice",
+    "seen_rows",
     "silver_customers",
     "silver_users",
+    "spliced_versions",
     "stale_hash_rows",
     "unchanged_current_rows",
     "user_count_by_country",

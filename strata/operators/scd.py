@@ -28,8 +28,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, IntegerType
 
@@ -404,6 +406,47 @@ def scd2_merge(
     return carried.unionByName(merged).drop(CHANGE)
 
 
+def scd2_merge_keyless(
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str = CUSTOMER_KEY,
+    order: str = CUSTOMER_ORDER,
+    tracked: Sequence[str] | None = None,
+    **options,
+) -> DataFrame:
+    """:func:`scd2_merge` for the rows with a key, and a merge of its own for those without.
+
+    Nothing tells which row without a key follows which, so such a row stands for itself: its source
+    columns are its identity, and equal rows are told apart by their number only. The incoming keyless rows that the
+    current ones do not hold yet (as multisets) become new current rows; those held stay as they are. The same
+    snapshot merged twice therefore adds nothing, and all keyless rows of a snapshot are kept, not one of them.
+    With ``absent="close"`` current keyless rows beyond those of the snapshot are closed at ``close_absent_at``.
+    """
+    existing, incoming = _align(existing, incoming, options.get("allow_missing_columns", False))
+    source = [c for c in existing.columns if c not in SCD2_COLUMNS]
+    keyless = F.col(key).isNull()
+    current = keyless & F.coalesce(F.col(IS_CURRENT), F.lit(False))
+    merged = scd2_merge(existing.where(~current), incoming.where(~keyless), key, order, tracked, **options)
+
+    types = {c: merged.schema[c].dataType for c in merged.columns}
+    held = existing.where(current).select(*[F.col(c).cast(types[c]).alias(c) for c in merged.columns])
+    rows = incoming.where(keyless).select(*[F.col(c).cast(types[c]).alias(c) for c in source])
+    opened = {EFFECTIVE_FROM: F.col(order), EFFECTIVE_TO: F.lit(None), IS_CURRENT: F.lit(True), HASH_VERSION_COL: F.lit(HASH_VERSION)}
+    new = rows.exceptAll(held.select(*source)).select(*[opened.get(c, F.col(c)).cast(types[c]).alias(c) for c in merged.columns])
+    if options.get("absent") == "close":
+        # of equal current rows, the first ones stay
+        at = options["close_absent_at"]
+        at = at if isinstance(at, Column) else F.lit(at)
+        counts = rows.groupBy(*source).agg(F.count(F.lit(1)).alias("__strata_wanted"))
+        place = F.row_number().over(Window.partitionBy(*source).orderBy(F.col(EFFECTIVE_FROM).asc_nulls_first()))
+        same = reduce(and_, [F.col(f"h.{c}").eqNullSafe(F.col(f"w.{c}")) for c in source])
+        held = held.withColumn("__strata_place", place).alias("h").join(counts.alias("w"), same, "left")
+        gone = F.col("__strata_place") > F.coalesce(F.col("__strata_wanted"), F.lit(0))
+        closed = {EFFECTIVE_TO: F.when(gone, at), IS_CURRENT: ~gone}
+        held = held.select(*[closed.get(c, F.col(f"h.{c}")).cast(types[c]).alias(c) for c in merged.columns])
+    return merged.unionByName(held).unionByName(new)
+
+
 # ---- the row sets of one merge, each as its own DataFrame -------------------
 
 

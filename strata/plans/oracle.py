@@ -20,7 +20,7 @@ from strata.constants import (
     TIER_LABELS,
     TRACKED_COLUMNS,
 )
-from strata.sources.tables import SNAPSHOT_1_END, SNAPSHOT_2_END
+from strata.sources.tables import EVERYTHING, SNAPSHOT_1_END, SNAPSHOT_2_END
 
 SRC = [
     "customer_id",
@@ -111,6 +111,7 @@ def snapshot_filter(n: int) -> str:
         1: f"extracted_at < TIMESTAMP '{SNAPSHOT_1_END}'",
         2: f"extracted_at < TIMESTAMP '{SNAPSHOT_2_END}'",
         3: f"extracted_at >= TIMESTAMP '{SNAPSHOT_2_END}'",
+        EVERYTHING: "true",
     }[n]
 
 

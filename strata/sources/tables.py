@@ -13,8 +13,9 @@ null rules of every operator are exercised; no row is ever dropped. The same
 definitions exist as SQL text in :mod:`strata.plans.oracle`.
 
 Snapshots split the customer states by order date: ``< 1997`` (first load),
-``< 1999`` (cumulative: keys without newer orders come back unchanged) and
-``>= 1999`` (disjoint: keys without such orders are absent).
+``< 1999`` (cumulative: keys without newer orders come back unchanged),
+``>= 1999`` (disjoint: keys without such orders are absent) and, for queries of
+one or two snapshots, all of them (cumulative to the last order).
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from pyspark.sql import functions as F
 
 EXTRACTED_AT = "extracted_at"
 
+#: Number of the snapshot that holds all states.
+EVERYTHING = 4
+
 # Snapshot boundaries on the order date.
 SNAPSHOT_1_END = "1997-01-01 00:00:00"
 SNAPSHOT_2_END = "1999-01-01 00:00:00"
@@ -93,7 +97,9 @@ def _ntz(ts: str) -> Column:
 
 
 def snapshot(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
-    """Customer snapshot 1, 2 or 3 (see module doc)."""
+    """Customer snapshot 1, 2 or 3, or :data:`EVERYTHING` (see module doc)."""
+    if number == EVERYTHING:
+        return customer_states(spark, sf_dir)
     states = customer_states(spark, sf_dir, with_extract_date=True)
     at = F.col(EXTRACTED_AT)
     cond = {
