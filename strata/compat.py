@@ -1,11 +1,8 @@
 """Drop-in names for code written against the user / customer flow API.
 
 Every name maps onto a strata operator; nothing here has logic of its own.
-The SCD2 merge's intermediate building blocks (joined frame, change filter,
-closed / inserted / unchanged projections) have no one-to-one equivalent,
-because the merge runs as one join: use :func:`strata.operators.scd.scd2_changes`
-or the row-set functions ``new_or_changed_rows``, ``closed_rows``,
-``inserted_rows``, ``unchanged_current_rows`` and ``historical_rows``.
+The steps of the SCD2 merge work on one joined frame with struct columns ``new`` and ``old``
+(:mod:`strata.operators.steps`), whose fields have the same names as those of an aliased join.
 """
 
 from __future__ import annotations
@@ -41,6 +38,12 @@ from strata.operators.scd import (  # noqa: F401
     current_rows,
     history_rows,
 )
+from strata.operators import steps
+from strata.operators.steps import (  # noqa: F401
+    detect_changed_or_new,
+    get_unchanged_current_rows,
+    join_incoming_with_current,
+)
 from strata.plans.layers import compute_dataset
 from strata.schemas import CUSTOMER_PARQUET_SCHEMA, USER_CSV_SCHEMA  # noqa: F401
 from strata.sources.files import read_customers_parquet, read_users_csv  # noqa: F401
@@ -58,6 +61,15 @@ def get_historical_rows(existing_scd2: DataFrame) -> DataFrame:
     return history_rows(existing_scd2)
 
 
+def build_closed_rows(changed_or_new: DataFrame, existing_scd2: DataFrame) -> DataFrame:
+    return steps.build_closed_rows(changed_or_new).select(*existing_scd2.columns)
+
+
+def build_inserted_rows(changed_or_new: DataFrame, latest_incoming: DataFrame) -> DataFrame:
+    inserted = steps.build_inserted_rows(changed_or_new)
+    return inserted.select(*latest_incoming.columns, *inserted.columns[-4:])
+
+
 def _dataset(name: str):
     def compute(spark: SparkSession) -> DataFrame:
         return compute_dataset(spark, name)

@@ -30,6 +30,21 @@ def test_change_hash_on_a_join_side(spark):
     assert r.same is True and r.diff is False
 
 
+def test_merge_steps_by_their_names(spark):
+    state, incoming = fx.existing_state(spark), fx.customers(spark, fx.NOOR_3_MORE, fx.MEI_3)
+    current = compat.get_current_active(state)
+    changed = compat.detect_changed_or_new(compat.join_incoming_with_current(incoming, current), compat.SCD2_TRACKED_COLUMNS)
+    assert changed.filter(F.col("old.customer_id").isNull()).count() == 1
+    out = compat.get_historical_rows(state)
+    for part in (
+        compat.build_closed_rows(changed, state),
+        compat.build_inserted_rows(changed, incoming),
+        compat.get_unchanged_current_rows(current, changed),
+    ):
+        out = out.unionByName(part)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, compat.apply_scd_type2(state, incoming).collect()))
+
+
 def test_compute_by_name(spark):
     fx.users(spark).createOrReplaceTempView("bronze_users")
     try:
