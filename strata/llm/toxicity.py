@@ -202,6 +202,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     share = F.when(F.col("toxic") == 1, PER_CLASS[1] / counts[1]).otherwise(PER_CLASS[0] / counts[0])
     chosen = known.where(unit_hash(F.col("doc_id"), F.lit("toxic")) < share)
     part = (unit_hash(F.col("doc_id"), F.lit("calibrate")) < 1 / 3).alias("calibrate")
+    # stored, so that Spark knows its size (some thousand rows) and need not shuffle the texts
+    chosen = stored(chosen, "toxicity-chosen")
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "toxic", part)
     rows = stored(rows, "toxicity-sample").orderBy("doc_id").toPandas()
     if not len(rows):
