@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on ordinary and one on toxic text. Every whole
-text is cut into windows of ``WINDOW`` bytes (each overlaps the next by ``OVERLAP``, so that
+text is rewritten with each word twice in a row and cut into windows of ``WINDOW`` bytes (each overlaps the next by ``OVERLAP``, so that
 a word cut in one window is whole in another), and every window is compressed with
-both. Where toxic text shows, the toxic dictionary saves bytes that the ordinary one does
+both. A word that no dictionary holds then costs its letters and a copy, a word that one holds a copy
+only, so even a short marked word shows by all of its letters. Where toxic text shows, the toxic dictionary saves bytes that the ordinary one does
 not. The largest saving of a window, the mean of the largest eighth and of all, and the
 share and sum of clear savings are turned into a probability by a logistic regression (the
 calibration), shifted to the share of toxic rows among all labelled ones.
@@ -35,12 +36,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import held_out, shingles, slices, stored, text_bytes, unit_hash, utf8
+from strata.llm.common import held_out, ranges, shingles, slices, stored, text_bytes, unit_hash, utf8, word_bounds
 from strata.llm.svm import logistic
 
 PER_CLASS = {0: 3000, 1: 1500}
-WINDOW = 80
-OVERLAP = 16
+WINDOW = 96
+OVERLAP = 40
 LEVEL = 5
 MATCH = 5
 ORDINARY_BYTES = 16384
@@ -62,6 +63,21 @@ def fold(data: np.ndarray) -> np.ndarray:
     return _FOLD[data]
 
 
+def doubled(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The folded texts with every word twice in a row and a blank behind it, and their offsets."""
+    data = fold(data)
+    start, end, first = word_bounds(data, offsets)
+    length = end - start
+    blank = np.full(len(start), len(data))
+    parts = np.stack([start, start, blank], axis=1).ravel(), np.stack([length, length, np.ones_like(length)], axis=1).ravel()
+    ends = np.concatenate([[0], np.cumsum(2 * length + 1)])
+    return np.append(data, np.uint8(32))[ranges(*parts)], ends[first]
+
+
+def _doubled(text: bytes) -> bytes:
+    return doubled(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))[0].tobytes()
+
+
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     """A compressor of bare frames that copies runs of at least ``MATCH`` bytes from ``content``."""
     shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -137,6 +153,7 @@ class Model:
         """Per text, the bytes that the toxic dictionary saves in each window (none for an empty text)."""
         if not hasattr(self, "_pair"):
             self._pair = _compressor(self.ordinary), _compressor(self.toxic)
+        data, offsets = doubled(data, offsets)
         size = np.diff(offsets)
         step = WINDOW - OVERLAP
         count = np.where(size > 0, 1 + np.maximum(0, -(-(size - WINDOW) // step)), 0)
@@ -144,7 +161,7 @@ class Model:
         start = np.repeat(offsets[:-1], count) + (np.arange(bounds[-1]) - np.repeat(bounds[:-1], count)) * step
         length = np.minimum(WINDOW, np.repeat(offsets[1:], count) - start)
         saved = np.zeros(bounds[-1], dtype=np.int64)
-        blob = fold(data).tobytes()
+        blob = data.tobytes()
         for at in range(0, len(saved), 20_000):
             part = slice(at, at + 20_000)
             segments = zstandard.BufferWithSegments(blob, np.stack([start[part], length[part]], axis=1).astype("<u8").tobytes())
@@ -179,11 +196,11 @@ def fit(texts: list[str], toxic: np.ndarray, calibrate: np.ndarray, odds: float
     rows = {c: _without_near_copies([t for t, y, k in zip(folded, toxic, calibrate, strict=True) if y == c and not k]) for c in (0, 1)}
     if not rows[0] or not rows[1] or len(set(toxic[calibrate].tolist())) < 2:
         return None
-    pieces = [t[i : i + 256] for t in rows[0] for i in range(0, len(t), 256)]
+    pieces = [t[i : i + 256] for t in map(_doubled, rows[0]) for i in range(0, len(t), 256)]
     pieces = pieces[:: max(1, len(pieces) // 4000)]
     ordinary = _ordinary(pieces)
     stems = tuple(marked_stems(rows[1], rows[0]))
-    samples = [b" " + w + b" " for t in rows[1] for w in t.split() if w.startswith(stems)] if stems else []
+    samples = [b" " + w + w + b" " for t in rows[1] for w in t.split() if w.startswith(stems)] if stems else []
     model = Model(ordinary, ordinary + _toxic(samples))
     x = model.features(pa.array([t for t, k in zip(texts, calibrate, strict=True) if k], pa.string()))
     y = toxic[calibrate].astype(float)
