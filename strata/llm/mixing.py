@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import stored
+
 WEIGHTS = (3, 1, 2)
 #: Words of the mix as a fraction of all words (numerator, denominator), and most repeats of a source.
 SHARE = (3, 2)
@@ -64,21 +66,34 @@ def targets(sizes: DataFrame) -> DataFrame:
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def plan(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with ``size``, ``source_size``, ``target`` and ``copies`` (0, 1, ...)."""
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    sized = docs.select(*kept).withColumn("size", n_words(F.col("text")))
-    goal = targets(docs.select("source", n_words(F.col("text")).alias("size"))).select(
-        F.col("source").alias("goal_source"), "source_size", "target")
+def _draw() -> Column:
+    """A hash of the document's id and text, spread over [0, 1)."""
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))))
-    draw = F.conv(F.substring(key, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
-    rate = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
-    copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)
-    joined = sized.join(goal, F.col("source").eqNullSafe(F.col("goal_source")))
-    return joined.withColumn("copies", copies).drop("goal_source")
+    return F.conv(F.substring(key, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+
+
+def _with_copies(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """``rows`` (with their ``__mix_draw``) and their source's goal, with ``__mix_copies``.
+
+    Goals have one row per source and are stored: Spark broadcasts them if they are small, and no row is shuffled.
+    """
+    rate = F.coalesce(F.try_divide(F.col("__mix_target"), F.col("__mix_source_size")), F.lit(0.0))
+    copies = F.floor(rate) + F.when(F.col("__mix_draw") < rate - F.floor(rate), 1).otherwise(0)
+    goals = stored(goals, "mixing-goals").toDF("__mix_source", "__mix_source_size", "__mix_target")
+    return rows.join(goals, F.col("source").eqNullSafe(F.col("__mix_source"))).withColumn("__mix_copies", copies)
+
+
+def plan(docs: DataFrame) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, copies)`` for every row of ``docs`` (copies: 0, 1, ...)."""
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _draw().alias("__mix_draw"))
+    rows = stored(rows, "mixing-sizes")
+    names = {"__mix_source_size": "source_size", "__mix_target": "target", "__mix_copies": "copies"}
+    return _with_copies(rows, targets(rows)).drop("__mix_source", "__mix_draw").withColumnsRenamed(names)
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix: every document as often as it is taken, with the columns of ``docs``."""
-    taken = plan(docs).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The mix: every document as often as it is taken, with the columns of ``docs`` (names that start with ``__mix_`` are the operator's)."""
+    goals = targets(docs.select("source", n_words(F.col("text")).alias("size")))
+    taken = _with_copies(docs.withColumn("__mix_draw", _draw()), goals).where("__mix_copies > 0")
+    taken = taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
+    return taken.drop("__mix_draw", "__mix_source", "__mix_source_size", "__mix_target", "__mix_copies", "__mix_copy")
