@@ -18,7 +18,8 @@ the commonest label, at most ``PIVOTS`` pivots). In high dimensions with evenly
 boundaries reach far and copies abound; blocks bound the memory.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and
-those with a null label or ``vec_id``, link with nothing; vectors of different lengths do not link;
+those with a null label or ``vec_id``, link with nothing; labels may be of any type and are
+compared in it; vectors of different lengths do not link;
 rows that share a ``vec_id`` are one vector in several places (their links are united); other
 columns are ignored.
 """
@@ -30,8 +31,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, DataType, FractionalType, IntegralType
 
 from strata.llm.common import by_key, connected_components, stored
 
@@ -47,6 +49,15 @@ def usable(embedding) -> F.Column:
     return F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & fine & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
+def _grouped(label: Column, kind: DataType) -> Column:
+    """The label as a number or text that is equal for equal labels only (NaN equals itself, and 0 equals -0)."""
+    if isinstance(kind, IntegralType):
+        return label.cast("long")
+    if isinstance(kind, FractionalType):
+        label = F.when(label == 0, F.lit(0).cast(kind)).otherwise(label)
+    return label.cast("string") if isinstance(kind, AtomicType) else F.when(label.isNotNull(), F.to_json(F.struct(label)))
+
+
 def _vectors(column: pa.Array) -> list[np.ndarray]:
     return [np.asarray(v, dtype=np.float64) for v in column.to_pylist()]
 
@@ -57,7 +68,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=-1, keepdims=True))
 
 
-_PLACED = "label int, dim int, cell int, home boolean, node long, weight long, vector binary"
+_PLACED = "label {label}, dim int, cell int, home boolean, node long, weight long, vector binary"
 
 
 def _placed(pivots: list[list[float]], cosine: float):
@@ -141,7 +152,8 @@ def embedding_components(vectors: DataFrame, cosine: float = COSINE) -> DataFram
     """``(vec_id, n_links, component_id, kept)`` for every row."""
     spark = vectors.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = vectors.select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    label = _grouped(F.col("label"), vectors.schema["label"].dataType)
+    rows = vectors.select("vec_id", label.alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.withColumn("usable", usable(F.col("embedding")))
     rows = rows.withColumn("hash", F.xxhash64("label", "embedding"))
     valid = rows.where("usable")
@@ -151,7 +163,7 @@ def embedding_components(vectors: DataFrame, cosine: float = COSINE) -> DataFram
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     count = min(PIVOTS, max(1, -(-most // CELL)))
     chosen = classes.orderBy(F.xxhash64("hash", F.lit("pivot")), "node").limit(count).select("embedding").collect()
-    placed = stored(classes.select("label", "node", "weight", "embedding").mapInArrow(_placed([r["embedding"] for r in chosen], cosine), _PLACED), "embedding-cells")
+    placed = stored(classes.select("label", "node", "weight", "embedding").mapInArrow(_placed([r["embedding"] for r in chosen], cosine), _PLACED.format(label=classes.schema["label"].dataType.simpleString())), "embedding-cells")
 
     cell = ["label", "dim", "cell"]
     chunks = stored(placed.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks")), "embedding-chunks")
