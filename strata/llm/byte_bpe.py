@@ -11,8 +11,9 @@ A document's ids are those of its pieces, one after another; decoding maps ids t
 Pieces longer than ``LONG`` bytes (a text without a break) would need as many rounds as they have
 merges; they merge the same pairs in the same order from a heap of (rank, position).
 
-The cache of pieces holds at most ``CACHE_ENTRIES`` entries or ``CACHE_BYTES`` of text (and one
-slice's pieces) in each of two generations, so memory does not grow with the input. Defined cases: null text encodes as empty (no ids); rows are kept
+The cache maps pieces to packed ids and takes at most ``CACHE_BYTES`` of memory (and one
+slice's pieces) in each of two generations, so memory does not grow with the input; ids are decoded from
+the table of tokens. Defined cases: null text encodes as empty (no ids); rows are kept
 one to one, repeated rows get equal results; special tokens are ordinary text; other
 columns are ignored. The vocabulary's path is a parameter; every task reads the ranks from
 a broadcast copy (under 2 MB).
@@ -24,18 +25,19 @@ import base64
 import hashlib
 import heapq
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from strata.llm.common import slices, utf8
+from strata.llm.common import ranges, slices, utf8
 
 LONG = 512
-CACHE_ENTRIES, CACHE_BYTES = 200_000, 24 << 20
+#: Memory of a generation of the cache, and ids joined at once.
+CACHE_BYTES, JOINED = 32 << 20, 1 << 18
 # The letters, numbers and blanks below U+0250, where Python's own (faster)
 # regular expressions need them spelled out.
 _NARROW = {r"\p{L}": "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"\p{N}": "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", r"\s": "\t-\r \u0085\u00a0"}
@@ -115,12 +117,9 @@ class Encoder:
         self.wide, self.narrow, self.ranks = regex.compile(pattern), re.compile(narrowed(pattern)), ranks
         self.pairs = PairTable(ranks)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
-        self.text: dict[str, str] = {}
-        self.bytes: dict[str, bytes] = {}
-        self.old: tuple[dict[str, str], dict[str, bytes]] = {}, {}
+        self.tokens = token_bytes(ranks)
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
     # ---- matrices -----------------------------------------------------------
@@ -210,38 +209,57 @@ class Encoder:
 
     # ---- texts --------------------------------------------------------------
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join([self.tokens[i] for i in ids])
-
     def learn(self, pieces: set[str]) -> None:
-        """Put the pieces' ids (decimal text, decoded bytes) into the cache.
+        """Put the pieces' packed ids into the cache.
 
         A full cache becomes the old one, from which pieces still in use are taken over.
         """
-        if len(self.text) > CACHE_ENTRIES or self.held > CACHE_BYTES:
-            self.old, self.text, self.bytes, self.held = (self.text, self.bytes), {}, {}, 0
-        new = pieces.difference(self.text)
-        for piece in new.intersection(self.old[0]):
-            self._put(piece, self.old[0][piece], self.old[1][piece])
+        if self.held > CACHE_BYTES:
+            self.old, self.known, self.held = self.known, {}, 0
+        new = pieces.difference(self.known)
+        for piece in new.intersection(self.old):
+            self._put(piece, self.old[piece])
             new.discard(piece)
         new = list(new)
         for piece, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
-            self._put(piece, " ".join(map(str, ids)), self.decode(ids))
+            self._put(piece, np.array(ids, dtype="<i4").tobytes())
 
-    def _put(self, piece: str, text: str, data: bytes) -> None:
-        self.text[piece], self.bytes[piece] = text, data
-        self.held += len(piece) + len(text) + len(data)
+    def _put(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        # both objects, and their places in the dictionary
+        self.held += sys.getsizeof(piece) + sys.getsizeof(ids) + 100
 
     def split(self, text: str) -> list[str]:
         return (self.wide if _WIDE.search(text) else self.narrow).findall(text)
 
-    def encode_rows(self, texts: list[str]) -> Iterator[tuple[int, str, bytes]]:
-        """(number of ids, their decimals joined by blanks, decoded bytes) per text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text."""
         split = [self.split(t) for t in texts]
         self.learn(set().union(*split))
-        for pieces in split:
-            ids = " ".join(map(self.text.__getitem__, pieces))
-            yield ids.count(" ") + 1 if ids else 0, ids, b"".join(map(self.bytes.__getitem__, pieces))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), dtype="<i4") for pieces in split]
+
+
+class Strings:
+    """Byte strings by number, joined for many numbers at once."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.size = np.array([len(s) for s in strings], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def joined(self, numbers: np.ndarray) -> bytes:
+        parts = [
+            self.data[ranges(self.start[part], self.size[part])].tobytes()
+            for part in (numbers[at : at + JOINED] for at in range(0, len(numbers), JOINED))
+        ]
+        return b"".join(parts)
+
+
+def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -250,10 +268,11 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
+        token, decimal = Strings(encoder.tokens), Strings([b"%d " % k for k in range(len(encoder.tokens))])
         for part in slices(batches):
             made = [
-                (n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest())
-                for n, ids, decoded in encoder.encode_rows(utf8(part.column("text")).to_pylist())
+                (len(ids), hashlib.sha256(decimal.joined(ids)[:-1]).hexdigest(), hashlib.sha256(token.joined(ids)).hexdigest())
+                for ids in encoder.encode(utf8(part.column("text")).to_pylist())
             ]
             n, ids, decoded = zip(*made, strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -271,8 +290,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
         for part in slices(batches):
-            rows = encoder.encode_rows(utf8(part.column("text")).to_pylist())
-            ids = [[int(x) for x in text.split()] for _, text, _ in rows]
+            ids = encoder.encode(utf8(part.column("text")).to_pylist())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
@@ -280,12 +298,12 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def decoded(ids: DataFrame, path: str) -> DataFrame:
     """``(doc_id, bytes)`` of rows ``(doc_id, ids)``: the inverse of :func:`encoded` (null ids: no bytes)."""
-    tokens = {rank: token for token, rank in read_ranks(path).items()}
-    shared = ids.sparkSession.sparkContext.broadcast(tokens)
+    shared = ids.sparkSession.sparkContext.broadcast(token_bytes(read_ranks(path)))
 
-    @F.udf("binary")
-    def join(row):
-        table = shared.value
-        return b"".join(table[i] for i in row or ())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = Strings(shared.value)
+        for rows in batches:
+            made = [token.joined(np.array(row or [], dtype=np.int64)) for row in rows.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(made, pa.binary())], names=["doc_id", "bytes"])
 
-    return ids.select("doc_id", join("ids").alias("bytes"))
+    return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")

@@ -164,8 +164,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
             acc += words[j : len(words) - width + 1 + j]
         long = np.flatnonzero(count >= width)
         if len(long):
-            at = np.repeat(first[:-1][long] - bounds[:-1][long], made[long]) + _ranges(bounds[:-1][long], made[long])
-            out[_ranges(bounds[:-1][long], made[long])] = acc[at]
+            at = np.repeat(first[:-1][long] - bounds[:-1][long], made[long]) + ranges(bounds[:-1][long], made[long])
+            out[ranges(bounds[:-1][long], made[long])] = acc[at]
     for n in range(1, width):
         rows = np.flatnonzero(count == n)
         if len(rows):
@@ -177,7 +177,7 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     return mix64(out), bounds
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The integers of all ranges ``[starts[i], starts[i] + lengths[i])``, one after another."""
     total = int(lengths.sum())
     out = np.ones(total, dtype=np.int64)
