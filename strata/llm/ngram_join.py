@@ -5,18 +5,21 @@ space or tab..CR, A-Z lower-cased; a document with fewer words has its whole wor
 sequence as its only shingle; one without words has the empty set and links with
 nothing). Documents link when ``100 * |intersection| >= percent * |union|``.
 
-The join is exact (up to collisions of hashes: 64 bits for classes and prefixes, 48 bits where two
-sets are compared) and has four steps:
+The join is exact (up to collisions of hashes: 64 bits for classes and signatures, 48 bits where two
+sets are compared, and up to the chance ``MISS`` below) and has four steps:
 
 1. one pass over the texts gives every document its set's size and 64-bit key;
-   documents of equal keys are one class. The pass also counts shingles that several
-   classes share; bitmaps of fixed size mark those shared at least ``LEVELS`` times.
-2. every class posts its prefix (once per task): its first ``n - ceil(t * n) + 1`` shingles in the order
-   (level of sharing, hash). Two sets that link share a shingle of their prefixes, whatever
-   the order, so the bitmaps change the cost only. Shingles of one class are
-   dropped; classes that share a prefix shingle and lie in the same or the next size class
-   are chained, and connected components of the chain are the *forests* in which
-   links can exist. Sizes of linked sets differ by at most one size class.
+   documents of equal keys are one class.
+2. a second pass posts signatures of every class (once per task). Two linked sets of at most ``a``
+   shingles differ in at most ``D = floor(2a * (100 - percent) / (100 + percent))`` shingles.
+   Shingles are dealt into parts by their hash, and the hash of a part's shingles is a signature
+   (:func:`schemes`); linked sets agree in a part that no difference falls into. Where D is large, so many parts are
+   taken that the chance of no such part of at least ``SHARED`` shingles is below ``MISS`` for two sets just at the limit;
+   where D is small, more than D parts, so that there is one for certain (unless a set's shingles lie in too few parts; then the
+   sets of its size also post their prefix, the first ``n - ceil(t * n) + 1`` shingles in order of hashes, of
+   which linked sets share one). Sets that merely have a passage in common rarely agree in a part of several shingles.
+   Classes that share a signature are chained, and connected components of the chain are the *forests* in which
+   links can exist.
 3. the full sets of a forest come together (a second pass over the texts, of which a bitmap of
    fixed size drops most classes in no forest before the shuffle), in salted blocks by size class where a forest is
    large, and every block (or pair of blocks) is joined by a signature tree.
@@ -39,6 +42,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,22 +51,20 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import by_key, connected_components, mix64, shingles, slices, stored, text_bytes
 
-#: Times shared from which a shingle has the first, second, ... level, and bits of each level's bitmap (4 MB);
-#: more shared shingles sort later in prefixes. Results do not depend on either.
-LEVELS = (2, 8, 32, 128)
-LEVEL_BITS = 1 << 25
-#: Shingles after which a task reports the ones it has seen in several classes.
-CHUNK = 4_000_000
+#: Ratio of the sizes at which two schemes of parts start, and most schemes.
+STEP, SCHEMES = 1.5, 60
+#: Chance of having no large enough equal part, and least shingles of a part where that chance is used.
+MISS, SHARED = 1e-13, 3
 BITS = 4096
 LEAF = 64
 FANOUT = 8
-#: Most classes, and most shingles, that one block should hold.
-BLOCK = 2048
+#: Least and most classes, and most shingles, that one block should hold (fewer blocks copy less, more spread better).
+LEAST_BLOCK, BLOCK = 2048, 8192
 BLOCK_SHINGLES = 3_000_000
 #: More than the chunks that a size class can have; numbers of chunks are unique within a forest.
 MOST_CHUNKS = 1 << 40
 #: Classes that a task remembers as posted, and bits of the filter of wanted classes (4 MB).
-POSTED = 500_000
+POSTED = 100_000
 FILTER_BITS = 1 << 25
 
 
@@ -94,71 +96,113 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-_KEYED = "doc_id long, n int, key long, shared long, seen int"
+@lru_cache(maxsize=None)
+def parts_for(most: int) -> int:
+    """Parts for sets with up to ``most`` differences: the fewest (from 16 on) of which one stays without any, up to a
+    chance of ``MISS``; ``most`` and some more where that takes more. About a seventh of the equal parts may be too small."""
+    if most <= 0:
+        return 0
+    certain = 3 + most + most // 10
+    low, high = min(16, certain), certain
+    while low < high:  # the chance falls with the number of parts
+        middle = (low + high) // 2
+        if middle * math.log1p(-0.85 * math.exp(-most / middle)) <= math.log(MISS):
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
+def schemes(n: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(scheme, parts, differences, least) per set size for each scheme that a size may have (parts 0: none).
+
+    Scheme c has the sizes from ``STEP**c`` to the largest that links with one below ``STEP**(c+1)``, so two linked
+    sets have one in common. ``differences``: the most that a set has to a smaller or equal one linked with it (-1 where there
+    are no more parts than that, so that chance decides). ``least``: the shingles from which a part counts.
+    """
+    c = np.floor(np.log(np.maximum(n, 1)) / math.log(STEP) + 1e-9).astype(np.int64)
+    bound = 2 * (100 - percent)
+    own = bound * n.astype(np.int64) // (100 + percent)
+    out = []
+    for scheme in (c - back for back in range(1 + math.ceil(math.log(100 / percent) / math.log(STEP)))):
+        high = np.floor(STEP ** (scheme + 1.0) * (100 / percent) + 1e-6).astype(np.int64)
+        most = np.where((n <= high) & (scheme >= 0), bound * high // (100 + percent), 0)
+        parts = np.array([parts_for(m) for m in most.tolist()], dtype=np.int64)
+        chance = parts <= most
+        out.append((np.minimum(scheme, SCHEMES), parts, np.where(chance, -1, own), np.where(chance, SHARED, 1)))
+    return out
+
 
+def _parted(sets: list[np.ndarray], scheme: np.ndarray, parts: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures, row, parts in use per row) of the sets by their scheme (sets of 0 parts have none)."""
+    rows = np.flatnonzero(parts)
+    size = np.array([len(sets[r]) for r in rows], dtype=np.int64)
+    ends = np.cumsum(parts[rows])
+    used = np.zeros(len(sets), dtype=np.int64)
+    if not len(rows):
+        return np.empty(0, dtype=np.uint64), rows, used
+    h = np.concatenate([sets[r] for r in rows])
+    number = np.repeat(parts[rows].astype(np.uint64), size)
+    place = ((h & np.uint64(0xFFFFFFFF)) * number >> np.uint64(32)).astype(np.int64) + np.repeat(ends - parts[rows], size)
+    total = np.zeros(int(ends[-1]), dtype=np.uint64)
+    np.add.at(total, place, mix64(h + np.uint64(0x9E3779B97F4A7C15)))
+    row = np.repeat(rows, parts[rows])
+    full = np.bincount(place, minlength=len(total)) >= least[row]
+    part = np.arange(len(total)) - np.repeat(ends - parts[rows], parts[rows])
+    mark = mix64(part.astype(np.uint64) * np.uint64(2 * SCHEMES + 1) + scheme[row].astype(np.uint64) + np.uint64(1))
+    used += np.bincount(row[full], minlength=len(sets))
+    return mix64(total[full] + mark[full]), row[full], used
 
-def _keyed(width: int):
-    """Rows (doc_id, n, key) per document and rows (shared, seen) per shingle found in several classes."""
 
-    def report(held: dict[int, np.ndarray]) -> pa.RecordBatch | None:
-        if not held:
-            return None
-        value, seen = np.unique(np.concatenate(list(held.values())), return_counts=True)
-        value, seen = value[seen > 1].view(np.int64), seen[seen > 1].astype(np.int32)
-        none = pa.nulls(len(value))
-        return pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), pa.array(value), pa.array(seen)],
-            names=["doc_id", "n", "key", "shared", "seen"],
-        )
+_KEYED = "doc_id long, n int, key long, thin long"
+
+
+def _keyed(width: int, percent: int):
+    """Rows (doc_id, n, key, thin): the bits of ``thin`` are schemes in which the set has too few parts in use."""
 
     def run(batches):
-        held: dict[int, np.ndarray] = {}
-        total = 0
         for ids, sets in _sets(batches, width):
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            thin = np.zeros(len(sets), dtype=np.int64)
+            for scheme, parts, differences, least in schemes(n, percent):
+                parts = np.where(differences < 0, 0, parts)
+                few = (parts > 0) & (_parted(sets, scheme, parts, least)[2] <= differences)
+                thin[few] |= np.int64(1) << scheme[few]
             keys = [class_key(s) if len(s) else None for s in sets]
-            none = pa.nulls(len(sets))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.int64()), none.cast(pa.int64()), none.cast(pa.int32())],
-                names=["doc_id", "n", "key", "shared", "seen"],
-            )
-            for key, s in zip(keys, sets, strict=True):
-                if key is not None and key not in held:
-                    held[key] = s
-                    total += len(s)
-            if total >= CHUNK:
-                yield report(held)
-                held, total = {}, 0
-        if (last := report(held)) is not None:
-            yield last
+                [ids, pa.array(n.astype(np.int32)), pa.array(keys, pa.int64()), pa.array(thin)], names=["doc_id", "n", "key", "thin"])
 
     return run
 
 
-def _prefixes(width: int, percent: int, levels):
+def _signatures(width: int, percent: int, thin: int, wanted=None):
+    """Rows (token, key, n): the signatures of every class, once per task, and prefixes in the schemes of ``thin``.
+
+    ``wanted``: a broadcast bitmap (:func:`wanted_bits`) of the classes that post, by default all.
+    """
+
     def run(batches):
-        bits = levels.value.reshape(len(LEVELS), -1)
+        bits = None if wanted is None else wanted.value
         posted: set[int] = set()  # classes of this task, so copies post once; emptied when it grows large
         for _, sets in _sets(batches, width):
-            keys, sizes, tokens = [], [], []
             if len(posted) > POSTED:
                 posted.clear()
+            new: dict[int, np.ndarray] = {}
             for s in sets:
-                n = len(s)
-                if not n or (key := class_key(s)) in posted:
-                    continue
-                posted.add(key)
-                length = n - -(-percent * n // 100) + 1
-                at = (s & np.uint64(LEVEL_BITS - 1)).astype(np.int64)
-                level = (bits[:, at >> 3] >> (at & 7).astype(np.uint8) & 1).sum(axis=0, dtype=np.uint8)
-                prefix = s[np.argsort(level, kind="stable")[:length]]  # the hashes are sorted already
-                keys.append(np.full(len(prefix), key, dtype=np.int64))
-                sizes.append(np.full(len(prefix), n, dtype=np.int32))
-                tokens.append(prefix.view(np.int64))
-            if tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))],
-                    names=["token", "key", "n"],
-                )
+                if len(s) and (key := class_key(s)) not in posted and (bits is None or _has(bits, key)):
+                    new.setdefault(key, s)
+            posted.update(new)
+            sets = list(new.values())
+            keys, n = np.array(list(new), dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int64)
+            for scheme, parts, _, least in schemes(n, percent) if sets else []:
+                tokens, row, _ = _parted(sets, scheme, parts, least)
+                for r in np.flatnonzero((parts > 0) & (thin >> scheme & 1 == 1)):
+                    prefix = sets[r][: len(sets[r]) - -(-percent * len(sets[r]) // 100) + 1]
+                    tokens = np.append(tokens, mix64(prefix + np.uint64(scheme[r] + 1)))
+                    row = np.append(row, np.full(len(prefix), r))
+                if len(tokens):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tokens.view(np.int64)), pa.array(keys[row]), pa.array(n[row].astype(np.int32))], names=["token", "key", "n"])
 
     return run
 
@@ -166,18 +210,6 @@ def _prefixes(width: int, percent: int, levels):
 _POSTED = "token long, key long, n int"
 
 
-def set_keys(width: int):
-    """Rows (doc_id, n, key) per document."""
-
-    def run(batches):
-        for ids, sets in _sets(batches, width):
-            keys = [class_key(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int32()), pa.array(keys, pa.int64())], names=["doc_id", "n", "key"])
-
-    return run
-
-
 def _in_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by (token, key): those of tokens with several keys, equal rows once.
 
@@ -221,12 +253,14 @@ def _bitmap(bits: DataFrame, size: int, label: str) -> np.ndarray:
     return out
 
 
-def _level_bits(counted: DataFrame) -> np.ndarray:
-    """One bitmap per level, one after another: the shingles (``shared``) ``seen`` that often."""
-    level = F.explode(F.filter(F.sequence(F.lit(0), F.lit(len(LEVELS) - 1)), lambda k: F.col("seen") >= F.element_at(F.array(*map(F.lit, LEVELS)), k + 1)))
-    bits = counted.select("shared", level.alias("level")).select(
-        (F.col("level") * F.lit(LEVEL_BITS).cast("long") + F.pmod("shared", F.lit(LEVEL_BITS))).alias("bit"))
-    return _bitmap(bits, len(LEVELS) * LEVEL_BITS, "ngram-levels")
+def wanted_bits(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with the bits of the column ``key``: no key is missed, others may seem to be in it."""
+    return _bitmap(keys.select(F.pmod("key", F.lit(FILTER_BITS)).alias("bit")), FILTER_BITS, "ngram-wanted")
+
+
+def _has(bits: np.ndarray, key: int) -> bool:
+    bit = key % FILTER_BITS
+    return bool(bits[bit >> 3] >> (bit & 7) & 1)
 
 
 def _whole_sets(width: int, wanted):
@@ -240,10 +274,8 @@ def _whole_sets(width: int, wanted):
             if len(sent) > POSTED:
                 sent.clear()
             for s in sets:
-                if len(s) and (key := class_key(s)) not in sent:
-                    bit = key % FILTER_BITS
-                    if bits[bit >> 3] >> (bit & 7) & 1:
-                        found[key] = packed(s)
+                if len(s) and (key := class_key(s)) not in sent and _has(bits, key):
+                    found[key] = packed(s)
             sent.update(found)
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["key", "members"])
 
@@ -398,13 +430,21 @@ def _placing(inside: DataFrame, block: int) -> DataFrame:
 
 def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: the smallest ``doc_id`` reachable by links."""
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    keyed = stored(docs.mapInArrow(_keyed(width), _KEYED), "ngram-keyed")
-    sizes = keyed.where("shared IS NULL").select("doc_id", "n", "key")
-    counted = keyed.where("shared IS NOT NULL").groupBy("shared").agg(F.sum("seen").alias("seen"))
-    levels = spark.sparkContext.broadcast(_level_bits(counted))
-    return verified_components(docs, sizes, docs.mapInArrow(_prefixes(width, percent, levels), _POSTED), width, percent)
+    sizes, thin = keyed_sets(docs, width, percent)
+    return verified_components(docs, sizes, docs.mapInArrow(_signatures(width, percent, thin), _POSTED), width, percent)
+
+
+def in_several(posted: DataFrame) -> DataFrame:
+    """The rows of ``posted(token, key, n)`` whose token has several keys, equal ones once."""
+    parts = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return posted.repartition(parts, "token").sortWithinPartitions("token", "key").mapInArrow(_in_several, _POSTED)
+
+
+def keyed_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, int]:
+    """``(doc_id, n, key)`` per document, and the schemes in which some set has too few parts in use."""
+    sizes = stored(docs.mapInArrow(_keyed(width, percent), _KEYED), "ngram-keyed")
+    return sizes.drop("thin"), sizes.agg(F.bit_or("thin")).first()[0] or 0
 
 
 def verified_components(docs: DataFrame, sizes: DataFrame, posted: DataFrame, width: int, percent: int) -> DataFrame:
@@ -415,27 +455,24 @@ def verified_components(docs: DataFrame, sizes: DataFrame, posted: DataFrame, wi
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # forests: classes chained by a token within neighbouring size classes
-    shared = posted.repartition(parts, "token").sortWithinPartitions("token", "key").mapInArrow(_in_several, _POSTED)
+    # forests: classes chained by a token
+    shared = stored(in_several(posted).select("token", "key"), "ngram-shared")
+    first = stored(shared.groupBy("token").agg(F.min("key").alias("first")), "ngram-first")
+    chain = shared.join(first, "token").select(F.col("first").alias("a"), F.col("key").alias("b")).where("a <> b")
     width_of_class = -math.log(percent / 100) * 1.000001
-    bucket = F.floor(F.log(F.col("n").cast("double")) / F.lit(width_of_class))
-    shared = stored(shared.select("token", "key", F.explode(F.array(bucket - 1, bucket)).alias("bucket")), "ngram-shared")
-    first = stored(shared.groupBy("token", "bucket").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-                   .where("first <> last").drop("last"), "ngram-first")
-    chain = shared.join(first, ["token", "bucket"]).select(F.col("first").alias("a"), F.col("key").alias("b")).where("a <> b")
     forests = connected_components(chain, "ngram-forests").select(F.col("node").alias("key"), F.col("component").alias("forest"))
 
     # the smallest document of every class, and the classes in forests
     classes = stored(sizes.where("key IS NOT NULL").groupBy("key")
                      .agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n")).where("first_id IS NOT NULL"), "ngram-classes")
     inside = stored(classes.join(forests, "key"), "ngram-inside")
-    block = max(LEAF, min(BLOCK, inside.count() // max(1, parts)))
+    block = max(LEAST_BLOCK, min(BLOCK, inside.count() // max(1, parts)))
     inside = inside.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(width_of_class)))
     placing = stored(_placing(inside, block), "ngram-placing")
     inside = inside.join(placing, ["forest", "class"]).select(
         "key", "forest", "near", (F.col("base") + F.pmod(F.xxhash64("key"), F.col("chunks"))).alias("salt"))
     inside = stored(inside, "ngram-inside")
-    wanted = spark.sparkContext.broadcast(_bitmap(inside.select(F.pmod("key", F.lit(FILTER_BITS)).alias("bit")), FILTER_BITS, "ngram-wanted"))
+    wanted = spark.sparkContext.broadcast(wanted_bits(inside))
     sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary")
     placed = sets.join(inside, "key")
     others = F.flatten(F.transform("near", lambda x: F.sequence(x["base"], x["base"] + x["chunks"] - 1)))
