@@ -8,8 +8,9 @@ sets; equal texts have equal fingerprints. All permutations run over a whole sli
 texts at once (``a * h + b`` modulo 2**64 with odd ``a``, minima per document by ``reduceat``).
 
 :func:`near_duplicates` finds near-duplicates: fingerprints of distinct shingle sets are cut into ``BANDS``
-bands, sets that share a band and lie in the same or the next size class are chained into groups, and all
-pairs within a group are verified on the shingle sets, in salted blocks. Two sets of likeness 0.8 share no
+bands, and the sets that share a band with another are candidates. Candidates that may reach the likeness (they share a
+signature of :mod:`ngram_join`, as all linked sets do) form groups, and all pairs within a group are verified on the shingle sets, in
+salted blocks; so a passage or template that makes many texts somewhat alike makes no large group. Two sets of likeness 0.8 share no
 band with a chance of about 5e-8 (estimated as if the minima were independent); no other link is lost.
 
 :func:`fingerprint_with_edits` also fingerprints each document's edited text, whose last floor(n/2)
@@ -94,7 +95,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _ranges(docs: DataFrame) -> DataFrame:
+def ranges(docs: DataFrame) -> DataFrame:
     """The rows with their range (0 holds the largest ids) and, once more, the head of every
     range at the end of the range before it (of the first one at the end of the last)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * RANGES
@@ -154,7 +155,7 @@ def fingerprint_with_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             )
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _ranges(docs.select("doc_id", "text")).repartition(parts, "range").sortWithinPartitions("range", "tail", "order")
+    rows = ranges(docs.select("doc_id", "text")).repartition(parts, "range").sortWithinPartitions("range", "tail", "order")
     return rows.select("doc_id", "text", "range", "tail").mapInArrow(run, _EDITED)
 
 
@@ -164,7 +165,7 @@ def fingerprint_with_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def _bands(width: int):
-    """Rows (token, key, n): the bands of every set's fingerprint, once per class of equal sets and task."""
+    """Rows (token, key, 0): the bands of every set's fingerprint, once per class of equal sets and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         posted: set[int] = set()  # emptied when it grows large
@@ -172,19 +173,18 @@ def _bands(width: int):
             hashes, bounds = shingles(*text_bytes(part.column("text")), width)
             if len(posted) > ngram_join.POSTED:
                 posted.clear()
-            rows, keys, sizes = [], [], []
+            rows, keys = [], []
             for row, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
                 values = np.unique(hashes[a:b])
                 if len(values) and (key := ngram_join.class_key(values)) not in posted:
                     posted.add(key)
                     rows.append(row)
                     keys.append(key)
-                    sizes.append(len(values))
             if rows:
                 bands = np.ascontiguousarray(_minima(hashes, bounds)[0][rows]).view(np.uint64)  # four minima a band
                 tokens = mix64(bands * np.uint64(2 * BANDS + 1) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens.ravel()), pa.array(np.repeat(np.array(keys, dtype=np.int64), BANDS)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), BANDS))],
+                    [pa.array(tokens.ravel()), pa.array(np.repeat(np.array(keys, dtype=np.int64), BANDS)), pa.array(np.zeros(BANDS * len(keys), dtype=np.int32))],
                     names=["token", "key", "n"],
                 )
 
@@ -194,13 +194,16 @@ def _bands(width: int):
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, component_id)`` per distinct id: smallest id reachable by verified links.
 
-    Links have a Jaccard likeness of at least ``percent`` / 100. Bands only chain sets into groups; within
-    a group every pair is compared (by :func:`ngram_join.verified_components`), whichever members a
+    Links have a Jaccard likeness of at least ``percent`` / 100. Bands only choose the candidates; within
+    a group of them every pair is compared (by :func:`ngram_join.verified_components`), whichever members a
     band has. Rows that share an id are one document.
     """
     docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    sizes = stored(docs.mapInArrow(ngram_join.set_keys(width), "doc_id long, n int, key long"), "fingerprint-sizes")
-    found = ngram_join.verified_components(docs, sizes, docs.mapInArrow(_bands(width), "token long, key long, n int"), width, percent)
+    sizes, thin = ngram_join.keyed_sets(docs, width, percent)
+    banded = stored(ngram_join.in_several(docs.mapInArrow(_bands(width), "token long, key long, n int")).select("key").distinct(), "fingerprint-banded")
+    wanted = docs.sparkSession.sparkContext.broadcast(ngram_join.wanted_bits(banded))
+    signatures = docs.mapInArrow(ngram_join._signatures(width, percent, thin, wanted), "token long, key long, n int")
+    found = ngram_join.verified_components(docs, sizes, signatures, width, percent)
     found = stored(found.select("doc_id", "component_id").distinct(), "fingerprint-found")
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return found
