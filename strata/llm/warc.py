@@ -4,12 +4,12 @@
 a blank line and the payload, and the record separator is the writer's line separator, so every file
 is a gzip WARC file on the cluster's file system. Of records with equal payloads of at least
 ``REVISIT_BYTES`` bytes, the one with the largest ``page_id`` is the response and the others are revisits
-of it, which hold no payload.
+of it, which hold the payload's length in place of the payload.
 
 :func:`read_warc` reads the archives back (each gzip file as one stream of lines, put together
 again by the record's Content-Length) into index entries. Each task sorts its entries by
 (URL key, time, id) into runs of at most ``RUN`` entries. :func:`merged_index` deals the runs'
-entries by ranges of that key and merges the runs of each range with a k-way loser tree;
+entries by ranges of that key (about ``RANGE`` entries each at most) and merges the runs of each range with a k-way loser tree;
 ranges in order give the globally ordered capture histories. A URL captured very often is
 split over ranges by time and id.
 
@@ -38,6 +38,10 @@ RUN = 50_000
 #: Capture times start here (the pages have none) and follow the page ids by the second.
 FIRST_CAPTURE = "2024-01-01 00:00:00"
 _CRLF = "\r\n"
+#: Header of a revisit with the length of the payload that it does not repeat.
+_FULL_LENGTH = "X-Payload-Length"
+#: Index entries that one task should merge.
+RANGE = 500_000
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -48,7 +52,7 @@ def captures(pages: DataFrame) -> DataFrame:
         F.max("page_id").alias("response"), F.min("page_id").alias("least"))
     groups = stored(groups.where("response <> least").select(F.col("digest").alias("key"), "response"), "warc-groups")
     joined = rows.join(groups, F.col("digest") == F.col("key"), "left")
-    return joined.select("page_id", "url", "payload", "digest", F.when(F.col("page_id") < F.col("response"), F.col("response")).alias("refers_to"))
+    return joined.select("page_id", "url", "payload", "n", "digest", F.when(F.col("page_id") < F.col("response"), F.col("response")).alias("refers_to"))
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
@@ -68,8 +72,9 @@ def write_warc(pages: DataFrame, path: str) -> None:
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         F.when(revisit, line("WARC-Refers-To", urn(F.col("refers_to")))).otherwise(F.lit("")),
         F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" + _CRLF)).otherwise(F.lit("")),
+        F.when(revisit, line(_FULL_LENGTH, F.col("n").cast("string"))).otherwise(F.lit("")),
         F.lit("Content-Type: text/html" + _CRLF),
-        line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.octet_length("payload")).cast("string")),
+        line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("n")).cast("string")),
         F.lit(_CRLF),
     )
     record = F.concat(header, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
@@ -138,7 +143,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
             raise ValueError("a payload does not have its digest")
         held.append((url_key(fields.get("WARC-Target-URI", "")), fields["WARC-Date"], _id(fields["WARC-Record-ID"]), kind,
-                     _id(fields.get("WARC-Refers-To")), len(payload) if kind == "response" else None, digest))
+                     _id(fields.get("WARC-Refers-To")), len(payload) if kind == "response" else int(fields[_FULL_LENGTH]), digest))
         if len(held) >= RUN:
             yield out()
             held, run = [], run + 1
@@ -147,15 +152,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Index entries of all records below ``path``, as sorted runs; revisits with their response's size."""
+    """Index entries of all records below ``path``, as sorted runs (a revisit has the length of its response's payload)."""
     lines = spark.read.option("lineSep", _CRLF).text(path)
-    runs = stored(lines.mapInArrow(_runs, _ENTRY), "warc-runs")
-    response = runs.where("record_type = 'response'")
-    sizes = response.where("payload_bytes >= %d" % REVISIT_BYTES).groupBy("page_id").agg(F.max("payload_bytes").alias("size"))
-    sizes = stored(sizes.withColumnRenamed("page_id", "of"), "warc-sizes")
-    revisit = runs.where("record_type = 'revisit'").join(sizes, F.col("refers_to") == F.col("of"))
-    revisit = revisit.withColumn("payload_bytes", F.col("size")).select(*runs.columns)
-    return response.unionByName(revisit)
+    return stored(lines.mapInArrow(_runs, _ENTRY), "warc-runs")
 
 
 class LoserTree:
@@ -208,7 +207,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def merged_index(entries: DataFrame) -> DataFrame:
     """All entries in the order of (URL key, time, id), by range and within it."""
-    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-entries.count() // RANGE))
     key = ["url_key", "warc_date", "page_id"]
     ranges = entries.repartitionByRange(parts, *key).sortWithinPartitions("run", *key)
     return ranges.mapInArrow(_merged, _ENTRY.split(", ", 1)[1])
