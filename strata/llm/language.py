@@ -161,7 +161,7 @@ def _machines(sample: DataFrame, levels: dict[str, list[str]]) -> dict[str, Vote
     if not places:
         return votes
     where = spark.createDataFrame(places, "of string, level string, class int, own int, other int")
-    rows = sample.join(F.broadcast(where), F.col("lang") == F.col("of")).select(
+    rows = sample.join(where, F.col("lang") == F.col("of")).select(
         "level", "class", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "x")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "level", "i", "j").sortWithinPartitions("level", "i", "j")
@@ -184,7 +184,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     wanted = min(per_language, max(LEAST_ROWS, ROWS // len(languages)))
     share = F.greatest(F.lit(float(wanted)) / F.col("rows"), F.col("first") + 1e-12)  # the first row in any case
     part = counts.select(F.col("lang").alias("of"), share.alias("share"), "rows", "first")
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(part), F.col("lang") == F.col("of")).where(drawn < F.col("share"))
+    rows = usable.select("doc_id", "lang", "text").join(part, F.col("lang") == F.col("of")).where(drawn < F.col("share"))
     enough = F.least("rows", F.lit(wanted)) >= CALIBRATED
     rows = rows.select("lang", "text", (enough & (unit_hash(F.col("doc_id"), F.lit("calibrate")) < 0.2) & (drawn > F.col("first"))).alias("calibrate"))
 
