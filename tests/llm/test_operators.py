@@ -340,6 +340,41 @@ def test_language_and_toxicity_on_held_out_rows(spark):
     assert np.mean([scored[i]["predicted"] == int(data[i][3]) for i in out]) >= 0.9
 
 
+def test_short_toxic_texts_on_held_out_rows(spark):
+    """Texts of 8 or 60 words with two marked words."""
+    rng = random.Random(4)
+    parts = ["the", "ing", "th", "wh", "er", "and", "eau", "que", "é", "ou", "les", "aux"]
+    data = []
+    for i in range(400):
+        words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 3))) for _ in range(rng.choice([8, 60]))]
+        if i % 4 < 2:
+            words[rng.randrange(len(words))] = words[-1] = f"zqxw{rng.choice(['a', 'o', 'u'])}rk"
+        data.append((i, " ".join(words), int(i % 4 < 2)))
+    table = spark.createDataFrame([r[:2] for r in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, bad) for i, _, bad in data], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(table, toxicity.train(table, labels)).collect()}
+    for short in (True, False):
+        out = [(i, bad) for i, t, bad in data if got[i]["held_out"] and (len(t.split()) == 8) == short]
+        assert np.mean([got[i]["predicted"] for i, bad in out if bad]) >= 0.9
+        assert np.mean([got[i]["predicted"] == bad for i, bad in out]) >= 0.9
+
+
+def test_savings_are_differences_of_compressed_lengths():
+    """Window by window, against the library's plain calls."""
+    import pyarrow as pa
+
+    model = toxicity.Model(b"plain words of some text", b"plain words of some text zqxzqx")
+    texts = ["", "  ", "Some zqx, words", "x" * 300, "a " * 200 + "ZQX é"]
+    data, offsets = toxicity.text_bytes(pa.array(texts))
+    step = toxicity.WINDOW - toxicity.OVERLAP
+    for text, saved in zip(texts, model.savings(data, offsets), strict=True):
+        raw = b"".join(w + w + b" " for w in toxicity.fold(np.frombuffer(text.encode(), np.uint8)).tobytes().split())
+        windows = [raw[k : k + toxicity.WINDOW] for k in range(0, max(len(raw) - toxicity.OVERLAP, 1), step)] if raw else []
+        assert [len(w) for w in windows[-1:]] == [len(raw) - step * (len(windows) - 1)][: len(windows)]
+        plain = [[len(toxicity._compressor(d).compress(w)) for w in windows] for d in (model.ordinary, model.toxic)]
+        assert saved.tolist() == [a - b for a, b in zip(*plain, strict=True)]
+
+
 def test_language_stage_rejects_letter_junk(spark):
     rng = random.Random(6)
     data = [(i, t, lang) for i, t, lang, _ in _two_languages()]
@@ -384,3 +419,68 @@ def test_null_and_repeated_ids(spark):
     assert byte_bpe.encode_decode(table, RANKS, public_tokenizers.PATTERN).count() == 4
     assert token_counts.count_tokens(table, WORD_BPE).count() == 4
     assert language.identify(table).count() == 4 and mixing.plan(table).count() == 4
+
+
+def test_the_mix_keeps_the_values_of_every_column(spark):
+    rng = random.Random(12)
+    schema = "doc_id long, text string, source string, size string, target int, copies string, source_size int, goal_source string, _copy int, key string, range int, draw double"
+    data = [(k, " ".join("w" * rng.randint(0, 30)), rng.choice(["a", "b", None]), f"s{k}", k, f"c{k}", -k, f"g{k}", 7, f"k{k}", k % 3, 0.5) for k in range(60)]
+    data += data[:4] + [(None, None, "a", None, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(data, schema).repartition(3)
+    taken = {(r["doc_id"], r["source"]): r["copies"] for r in mixing.plan(docs).collect()}
+    want = [row for row in data for _ in range(taken[row[0], row[2]])]
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and len(want) > len(data)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize(("kind", "labels"), [
+    ("string", ["1", "01", "x", None]), ("long", [1 << 40, -3, 0, None]), ("double", [float("nan"), 0.0, -0.0, None]),
+    ("boolean", [True, False, True, None]), ("array<string>", [["a", "b"], ["a, b"], [], None]), ("date", None)])
+def test_embedding_labels_of_any_type(spark, kind, labels):
+    import datetime
+
+    labels = labels or [datetime.date(2030, 1, 1), datetime.date(2030, 1, 2), datetime.date(1970, 1, 1), None]
+    table = spark.createDataFrame([(8 * v + k, [1.0, 2.0 + v / 100], labels[k]) for v in range(3) for k in range(4)], f"vec_id long, embedding array<float>, label {kind}")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_join.embedding_components(table).collect()}
+    same = (lambda a, b: a == b or (a != a and b != b)) if kind == "double" else (lambda a, b: type(a) is type(b) and a == b)
+    for v in range(3):
+        for k in range(4):
+            mates = [8 * w + j for w in range(3) for j in range(4) if labels[j] is not None and same(labels[j], labels[k])]
+            assert got[8 * v + k] == ((len(mates) - 1, min(mates)) if labels[k] is not None else (0, 8 * v + k))
+
+
+def test_linked_sets_share_a_signature_or_are_known_to_be_thin():
+    rng, draw = np.random.default_rng(0), random.Random(0)
+    thin = 0
+    for _ in range(4000):
+        percent = draw.choice([60, 80, 85])
+        a = draw.choice([draw.randint(1, 12), draw.randint(1, 100), draw.randint(1, 600), draw.randint(1, 5000)])
+        b = draw.randint(-(-a * percent // 100), a)
+        both = draw.randint(min(b, int(ngram_join.required_overlap(a, b, percent))), b)
+        made = rng.integers(0, 1 << 63, size=a + b - both, dtype=np.uint64) << np.uint64(1)
+        sets = [np.sort(made[:a]), np.sort(np.concatenate([made[:both], made[a:]]))]
+        if 100 * both < percent * (a + b - both) or both == a == b:
+            continue
+        signatures: tuple[set, set] = set(), set()
+        few = False
+        for scheme, parts, differences, least in ngram_join.schemes(np.array([a, b]), percent):
+            tokens, row, used = ngram_join._parted(sets, scheme, parts, least)
+            for k in (0, 1):
+                signatures[k].update(tokens[row == k].tolist())
+            few |= bool(parts[0] > 0 and used[0] <= differences[0])
+        thin += few
+        assert few or signatures[0] & signatures[1], (a, b, both, percent)
+    assert 0 < thin < 600
+
+
+def test_short_sets_with_few_parts_are_joined_whole(spark):
+    """Texts of a few words, where parts may coincide and prefixes must find the links."""
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(500)}" for _ in range(n)] for n in (9, 10, 11, 12, 13) for _ in range(60)]
+    data = [" ".join(w) for w in base] + [" ".join([*w, "tail"]) for w in base]
+    sets = {i: _set(t, 4) for i, t in enumerate(data)}
+    root = _components(sets, lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    assert any(i != r for i, r in root.items())
+    found = ngram_join.ngram_components(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == root

@@ -45,3 +45,27 @@ def test_pipeline_join_takes_five_words_and_four_fifths(spark):
     docs = spark.createDataFrame([(k, " ".join(t), "s") for k, t in enumerate(texts)], "doc_id long, text string, source string")
     kept = corpus_pipeline.one_of_each_group(spark, docs, SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 5]  # 196/236 and 41/51 go, 96/126 stays
+
+
+def test_pipeline_mix_and_encode_equal_their_operators(spark):
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
+    from strata.llm import byte_bpe, mixing
+
+    docs = table(spark, SF, "documents")
+    copies = {r["doc_id"]: r["copies"] for r in mixing.plan(docs).collect()}
+    mixed = corpus_pipeline.mix(spark, docs, SF)
+    assert sorted(map(repr, mixed.collect())) == sorted(repr(r) for r in docs.collect() for _ in range(copies[r["doc_id"]]))
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def row(r):
+        text = r["text"] or ""
+        ids = library.encode_ordinary(text)
+        return (r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+    encoded = corpus_pipeline.encode(spark, docs, SF)
+    assert sorted(map(tuple, encoded.collect())) == sorted(row(r) for r in docs.collect())
