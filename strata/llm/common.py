@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,26 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = end
 
 
+def compressed(texts: pa.Array) -> list[bytes]:
+    """Each text (null: empty) as a zstandard frame, for a shuffle."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return [pack(x) for x in utf8(texts).cast(pa.large_binary()).to_pylist()]
+
+
+def decompressed(frames: list[bytes]) -> Iterator[tuple[int, pa.Array]]:
+    """(place of the first, texts) of :func:`compressed` frames, at most ``SLICE_BYTES`` of text at once, or one text."""
+    unpack, at, texts, size = zstandard.ZstdDecompressor().decompress, 0, [], 0
+    for place, frame in enumerate(frames):
+        text = unpack(frame)
+        if texts and size + len(text) > SLICE_BYTES:
+            yield at, pa.array(texts, pa.large_binary()).cast(pa.large_string())
+            at, texts, size = place, [], 0
+        texts.append(text)
+        size += len(text)
+    if texts:
+        yield at, pa.array(texts, pa.large_binary()).cast(pa.large_string())
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column: row i is ``bytes[offsets[i]:offsets[i + 1]]``."""
     column = utf8(column)
@@ -198,26 +219,39 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def connected_components(links: DataFrame, label: str = "components") -> DataFrame:
     """``(node, component)`` for every node of ``links(a, b)``: the smallest node reachable.
 
-    Every round joins each node's label with its neighbours', takes the smallest, and then
-    follows the label's own label (so long chains shrink by doubling). Rounds are written
+    Every round gives each node its smallest neighbour (or itself) as a label, follows the labels' own labels
+    to the end (chains shrink by doubling), and goes on with the links between different labels, of
+    which at most half as many nodes are left. Rounds are written
     below the checkpoint folder; a node's many neighbours are folded by partial aggregation
     and its rows in the joins can be split.
     """
-    both = links.select("a", "b").where("a <> b")
-    both = stored(both.union(both.select("b", "a")).distinct(), f"{label}-links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-                    .select("node", F.least("node", "m").alias("component")), label)
-    while True:
-        near = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "component")
-        near = near.union(labels.select("node", "component")).groupBy("node").agg(F.min("component").alias("component"))
-        near = stored(near, label)
-        up = near.select(F.col("node").alias("root"), F.col("component").alias("above"))
-        new = stored(near.join(up, near.component == up.root).select("node", F.least("component", "above").alias("component")), label)
-        moved = new.join(labels.select(F.col("node").alias("n"), F.col("component").alias("c")),
-                         (F.col("node") == F.col("n")) & (F.col("component") == F.col("c")), "left_anti")
-        if moved.isEmpty():
-            return new
-        labels = new
+
+    def ordered(a: Column, b: Column) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    links = stored(links.select(*ordered(F.col("a"), F.col("b"))).where("a < b").distinct(), f"{label}-links")
+    if links.isEmpty():
+        return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    rounds = []
+    while not links.isEmpty():
+        both = links.union(links.select("b", "a"))
+        labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component"))
+        labels, moved = stored(labels, label), True
+        while moved:
+            up = labels.select(F.col("node").alias("root"), F.col("component").alias("above"))
+            labels = stored(labels.join(up, labels.component == up.root).select(
+                "node", F.col("above").alias("component"), (F.col("above") < F.col("component")).alias("moved")), label)
+            moved = not labels.where("moved").isEmpty()
+            labels = labels.select("node", "component")
+        rounds.append(labels)
+        of_a, of_b = (labels.select(F.col("node").alias(f"node_{x}"), F.col("component").alias(f"of_{x}")) for x in "ab")
+        links = links.join(of_a, F.col("a") == F.col("node_a")).join(of_b, F.col("b") == F.col("node_b"))
+        links = stored(links.select(*ordered(F.col("of_a"), F.col("of_b"))).where("a < b").distinct(), f"{label}-links")
+    out = rounds.pop()
+    while rounds:  # labels of the earlier rounds, by what became of them
+        earlier, up = rounds.pop(), out.select(F.col("node").alias("root"), F.col("component").alias("above"))
+        out = stored(earlier.join(up, earlier.component == up.root, "left").select("node", F.coalesce("above", "component").alias("component")), label)
+    return out
 
 
 def by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -15,8 +15,9 @@ band with a chance of about 5e-8 (estimated as if the minima were independent);
 
 :func:`fingerprint_with_edits` also fingerprints each document's edited text, whose last floor(n/2)
 code points are replaced by the first as many of the next document in descending ``doc_id``
-(after the last: the first). Documents are dealt once, into ranges of ``doc_id``; each
-range also gets the head of the range after it, so no range waits for another.
+(after the last: the first). Documents are dealt once, compressed, into ranges of ``doc_id``; each
+range also gets the head of the range after it, so no range waits for another. The components found
+are dealt into the same ranges, so the fingerprints are not shuffled to meet them.
 
 Defined cases: null text is empty; an empty document has the fingerprint "" and likeness 1 to
 another empty one, 0 to any other; rows that share a ``doc_id`` follow each other in
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import ngram_join
-from strata.llm.common import connected_components, mix64, shingles, slices, stored, text_bytes, utf8
+from strata.llm.common import compressed, connected_components, decompressed, mix64, shingles, slices, stored, text_bytes, utf8
 
 PERMUTATIONS = 128
 WIDTH = 5
@@ -95,18 +96,23 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def ranges(docs: DataFrame) -> DataFrame:
-    """The rows with their range (0 holds the largest ids) and, once more, the head of every
-    range at the end of the range before it (of the first one at the end of the last)."""
+def ranges(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """The rows with their range (0 holds the largest ids), their texts compressed, and, once more, the head of every
+    range at the end of the range before it (of the first one at the end of the last).
+
+    ``found(doc_id, component_id)``: each of its rows comes, without a text, before the rows of its ``doc_id``.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * RANGES
     split = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)]).alias("at")).first()["at"] or []
     edges = [float("-inf"), *sorted({0.0} | {-float(x) for x in split}), float("inf")]
-    tie = F.xxhash64(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", "text", (-F.col("doc_id").cast("double")).alias("at"), tie.alias("tie"))
-    rows = rows.withColumn("at", F.coalesce("at", F.lit(float("inf"))))
-    rows = Bucketizer(splits=edges, inputCol="at", outputCol="range").transform(rows).drop("at")
-    rows = rows.withColumn("range", F.col("range").cast("int"))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), (-F.coalesce("doc_id", F.lit(0))).alias("down"), "tie")
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("at", F.coalesce(-F.col("doc_id").cast("double"), F.lit(float("inf"))))
+        rows = Bucketizer(splits=edges, inputCol="at", outputCol="range").transform(rows).drop("at")
+        return rows.withColumn("range", F.col("range").cast("int"))
+
+    rows = ranged(docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie")))
     heads = rows.groupBy("range").agg(F.min(order).alias("head"))
     by_range = Window.orderBy("range")  # one row per range
     before = F.coalesce(F.lag("range").over(by_range), F.max("range").over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
@@ -116,22 +122,61 @@ def ranges(docs: DataFrame) -> DataFrame:
     tails = rows.join(F.broadcast(heads), F.col("order") == F.col("head")).select(
         "doc_id", "text", "order", F.col("before").alias("range"), F.lit(True).alias("tail"))
     tails = tails.dropDuplicates(["range"])
-    return rows.select("doc_id", "text", "order", "range", F.lit(False).alias("tail")).unionByName(tails)
+    rows = rows.select("doc_id", "text", "order", "range", F.lit(False).alias("tail")).unionByName(tails)
+    rows = rows.mapInArrow(_packed, _PACKED)
+    if found is None:
+        return rows
+    named = ranged(found.select("doc_id", "component_id", F.lit(None).cast("long").alias("tie")))  # a null tie comes first
+    return rows.unionByName(named.select("doc_id", "component_id", order.alias("order"), "range", F.lit(False).alias("tail")), allowMissingColumns=True)
+
+
+_PACKED = "doc_id long, packed binary, order struct<no_id:boolean,down:long,tie:long>, range int, tail boolean, component_id long"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with their texts compressed."""
+    for part in slices(batches):
+        held = [part.column(c) for c in ("order", "range", "tail")]
+        yield pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), pa.array(compressed(part.column("text")), pa.binary()), *held, pa.nulls(part.num_rows, pa.int64())],
+            names=["doc_id", "packed", "order", "range", "tail", "component_id"])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of sorted rows of :func:`ranges`, with their texts and the component found for their id."""
+    of, component = None, None  # of the last row without a text
+    for batch in batches:
+        ids, frames, named = (batch.column(c).to_pylist() for c in ("doc_id", "packed", "component_id"))
+        at, own = [], []
+        for k, (doc_id, frame) in enumerate(zip(ids, frames, strict=True)):
+            if frame is None:
+                of, component = doc_id, named[k]
+            else:
+                at.append(k)
+                own.append(component if doc_id is not None and doc_id == of else None)
+        rows = batch.select(["doc_id", "tail"]).take(pa.array(at, pa.int64()))
+        for first, texts in decompressed([frames[k] for k in at]):
+            doc_id, tail = (c.slice(first, len(texts)) for c in rows.columns)
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, texts, tail, pa.array(own[first : first + len(texts)], pa.int64())], names=["doc_id", "text", "tail", "component_id"])
 
 
 _EDITED = """doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,
-near_edited double, near_next double"""
+near_edited double, near_next double, component_id long"""
+
 
+def fingerprint_with_edits(docs: DataFrame, width: int = WIDTH, found: DataFrame | None = None) -> DataFrame:
+    """One row per document: id, length, both fingerprints and their likenesses (see the module).
 
-def fingerprint_with_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One row per document: id, length, both fingerprints and their likenesses (see the module)."""
+    ``found(doc_id, component_id)``, one row per id, adds ``component_id`` (null where ``found`` lacks the id).
+    """
+    names = [x.split()[0] for x in _EDITED.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the last row, until the next one is there
-        for part in slices(batches):
+        for part in _unpacked(batches):
             rows = part if held is None else pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
             held = rows.slice(rows.num_rows - 1)
-            rows = rows.select(["doc_id", "text", "range", "tail"])
             if rows.num_rows < 2:
                 continue
             column = utf8(rows.column("text"))
@@ -150,13 +195,15 @@ def fingerprint_with_edits(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     pa.array(to_hex(new[keep], new_full[keep]), pa.string()),
                     pa.array(_like(own[keep], new[keep], full[keep], new_full[keep])),
                     pa.array(_like(own[keep], own[keep + 1], full[keep], full[keep + 1])),
+                    rows.column("component_id").take(pa.array(keep)),
                 ],
-                names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+                names=names,
             )
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = ranges(docs.select("doc_id", "text")).repartition(parts, "range").sortWithinPartitions("range", "tail", "order")
-    return rows.select("doc_id", "text", "range", "tail").mapInArrow(run, _EDITED)
+    rows = ranges(docs.select("doc_id", "text"), found).repartition(parts, "range").sortWithinPartitions("range", "tail", "order")
+    made = rows.select("doc_id", "packed", "tail", "component_id").mapInArrow(run, _EDITED)
+    return made.drop("component_id") if found is None else made
 
 
 # ---------------------------------------------------------------------------
@@ -215,6 +262,4 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 def fingerprints_and_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of :func:`fingerprint_with_edits` with the ``component_id`` of :func:`near_duplicates` (null without an id)."""
-    found = near_duplicates(docs, width).withColumnRenamed("doc_id", "node")
-    rows = fingerprint_with_edits(docs, width)
-    return rows.join(found, F.col("doc_id") == F.col("node"), "left").drop("node")
+    return fingerprint_with_edits(docs, width, near_duplicates(docs, width))

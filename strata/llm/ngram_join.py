@@ -21,7 +21,8 @@ sets are compared, and up to the chance ``MISS`` below) and has four steps:
    Classes that share a signature are chained, and connected components of the chain are the *forests* in which
    links can exist.
 3. the full sets of a forest come together (a second pass over the texts, of which a bitmap of
-   fixed size drops most classes in no forest before the shuffle), in salted blocks by size class where a forest is
+   fixed size drops most classes in no forest before the shuffle; a set goes as its hashes or as its
+   text compressed, whichever is shorter), in salted blocks by size class where a forest is
    large, and every block (or pair of blocks) is joined by a signature tree.
 4. components of the links found, carried back to all documents.
 
@@ -49,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import by_key, connected_components, mix64, shingles, slices, stored, text_bytes
+from strata.llm.common import by_key, compressed, connected_components, decompressed, mix64, shingles, slices, stored, text_bytes
 
 #: Ratio of the sizes at which two schemes of parts start, and most schemes.
 STEP, SCHEMES = 1.5, 60
@@ -237,6 +238,20 @@ def _in_several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.array(rows[:, 2].astype(np.int32))], names=["token", "key", "n"])
 
 
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (token, key): rows (a, b) of the smallest key of a token and each other one."""
+    token, first = None, 0  # of the last row
+    for batch in _in_several(batches):
+        tokens, keys = (batch.column(c).to_numpy() for c in ("token", "key"))
+        new = np.append(tokens[0] != token, tokens[1:] != tokens[:-1])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+        firsts = np.where(at < 0, first, keys[at])
+        token, first = tokens[-1], firsts[-1]
+        if not new.all():
+            a, b = np.unique(np.stack([firsts[~new], keys[~new]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a.copy()), pa.array(b.copy())], names=["a", "b"])
+
+
 def _bitmap(bits: DataFrame, size: int, label: str) -> np.ndarray:
     """A bitmap of ``size`` bits with every ``bit`` (0 to size - 1) set.
 
@@ -264,24 +279,45 @@ def _has(bits: np.ndarray, key: int) -> bool:
 
 
 def _whole_sets(width: int, wanted):
-    """Sets of the documents whose class may be wanted (its bit is set), one row per class and task."""
+    """Sets of the documents whose class may be wanted (its bit is set), one row per class and task.
+
+    A set goes as its hashes, or as its text (compressed) where that is shorter.
+    """
 
     def run(batches):
         bits = wanted.value
         sent: set[int] = set()  # classes of this task, so copies are sent once; emptied when it grows large
-        for _, sets in _sets(batches, width):
-            found = {}
+        for part in slices(batches):
+            hashes, bounds = shingles(*text_bytes(part.column("text")), width)
+            found: dict[int, tuple[int, bytes]] = {}
             if len(sent) > POSTED:
                 sent.clear()
-            for s in sets:
-                if len(s) and (key := class_key(s)) not in sent and _has(bits, key):
-                    found[key] = packed(s)
+            for row, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                values = np.unique(hashes[a:b])
+                if len(values) and (key := class_key(values)) not in sent and _has(bits, key):
+                    found[key] = row, packed(values)
             sent.update(found)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["key", "members"])
+            members: list[bytes | None] = [m for _, m in found.values()]
+            texts: list[bytes | None] = compressed(part.column("text").take(pa.array([r for r, _ in found.values()], pa.int64())))
+            for k, (m, t) in enumerate(zip(members, texts, strict=True)):
+                (texts if len(m) <= len(t) else members)[k] = None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.int64()), pa.array(members, pa.binary()), pa.array(texts, pa.binary())], names=["key", "members", "packed"])
 
     return run
 
 
+def _received(rows: pa.Table, width: int) -> list[np.ndarray]:
+    """The sets of rows (members, packed), of 48-bit hashes."""
+    sets = [None if m is None else unpacked(m) for m in rows["members"].to_pylist()]
+    open_rows = [k for k, s in enumerate(sets) if s is None]
+    for at, texts in decompressed([x for x in rows["packed"].to_pylist() if x is not None]):
+        hashes, bounds = shingles(*text_bytes(texts), width)
+        for k, a, b in zip(open_rows[at:], bounds, bounds[1:], strict=False):
+            sets[k] = np.unique(hashes[a:b]) >> np.uint64(16) << np.uint64(16)
+    return sets
+
+
 # ---------------------------------------------------------------------------
 # Signature tree
 # ---------------------------------------------------------------------------
@@ -378,14 +414,14 @@ def tree_join(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None
     return found
 
 
-def _joined(percent: int):
+def _joined(percent: int, width: int):
     def run(batches):
         for rows in by_key(batches, ["forest", "i", "j"]):
             keys, at = np.unique(rows["key"].to_numpy(), return_index=True)  # a class comes once per task that met it
             if len(keys) < 2:
                 continue
             salt = rows["salt"].to_numpy()[at]
-            sets = [unpacked(m) for m in rows["members"].take(pa.array(at)).to_pylist()]
+            sets = _received(rows.select(["members", "packed"]).take(pa.array(at)), width)
             i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
             root = np.arange(len(sets))
             if i == j:
@@ -437,8 +473,13 @@ def ngram_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Data
 
 def in_several(posted: DataFrame) -> DataFrame:
     """The rows of ``posted(token, key, n)`` whose token has several keys, equal ones once."""
+    return by_token(posted).mapInArrow(_in_several, _POSTED)
+
+
+def by_token(posted: DataFrame) -> DataFrame:
+    """The rows of a token together, sorted by (token, key)."""
     parts = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return posted.repartition(parts, "token").sortWithinPartitions("token", "key").mapInArrow(_in_several, _POSTED)
+    return posted.repartition(parts, "token").sortWithinPartitions("token", "key")
 
 
 def keyed_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, int]:
@@ -456,9 +497,7 @@ def verified_components(docs: DataFrame, sizes: DataFrame, posted: DataFrame, wi
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # forests: classes chained by a token
-    shared = stored(in_several(posted).select("token", "key"), "ngram-shared")
-    first = stored(shared.groupBy("token").agg(F.min("key").alias("first")), "ngram-first")
-    chain = shared.join(first, "token").select(F.col("first").alias("a"), F.col("key").alias("b")).where("a <> b")
+    chain = by_token(posted).mapInArrow(_chain, "a long, b long")
     width_of_class = -math.log(percent / 100) * 1.000001
     forests = connected_components(chain, "ngram-forests").select(F.col("node").alias("key"), F.col("component").alias("forest"))
 
@@ -473,13 +512,13 @@ def verified_components(docs: DataFrame, sizes: DataFrame, posted: DataFrame, wi
         "key", "forest", "near", (F.col("base") + F.pmod(F.xxhash64("key"), F.col("chunks"))).alias("salt"))
     inside = stored(inside, "ngram-inside")
     wanted = spark.sparkContext.broadcast(wanted_bits(inside))
-    sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary")
+    sets = docs.mapInArrow(_whole_sets(width, wanted), "key long, members binary, packed binary")
     placed = sets.join(inside, "key")
     others = F.flatten(F.transform("near", lambda x: F.sequence(x["base"], x["base"] + x["chunks"] - 1)))
-    blocks = placed.select("key", "members", "forest", "salt", F.explode(others).alias("other")).select(
-        "key", "members", "forest", "salt", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"))
+    blocks = placed.select("key", "members", "packed", "forest", "salt", F.explode(others).alias("other")).select(
+        "key", "members", "packed", "forest", "salt", F.least("salt", "other").alias("i"), F.greatest("salt", "other").alias("j"))
     blocks = blocks.repartition(parts, F.xxhash64("forest", "i", "j")).sortWithinPartitions("forest", "i", "j")
-    links = stored(blocks.mapInArrow(_joined(percent), "a long, b long"), "ngram-links")
+    links = stored(blocks.mapInArrow(_joined(percent, width), "a long, b long"), "ngram-links")
 
     # components of classes, named by their smallest document, and back to the documents
     joined = connected_components(links, "ngram-components")
