@@ -3,6 +3,8 @@ shingles and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -58,9 +60,23 @@ def utf8(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Row ranges of the batches whose texts hold at most ``limit`` bytes, or one row."""
+def give_back() -> None:
+    """Return freed memory of Arrow and, where the C library can, of numpy to the system.
+
+    Python workers outlive their tasks, and both keep what a task has freed; the next one may not need it.
+    """
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Row ranges of the batches whose texts hold at most ``limit`` bytes (and which have at most ``rows`` rows), or one row.
+
+    What the work on a batch has freed goes back to the system before the next one, and at the end.
+    """
     for batch in batches:
+        give_back()
         if not batch.num_rows:
             continue
         size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
@@ -68,8 +84,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         while at < batch.num_rows:
             base = size[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(size, base + limit, "right")))
+            end = end if rows is None else min(end, at + rows)
             yield batch.slice(at, end - at)
             at = end
+    give_back()
 
 
 def compressed(texts: pa.Array) -> list[bytes]:

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import by_key, held_out, slices, stored, text_bytes, unit_hash, utf8
+from strata.llm.common import by_key, give_back, held_out, slices, stored, text_bytes, unit_hash, utf8
 from strata.llm.svm import linear_svm
 
 DIM = 4096
@@ -42,6 +42,8 @@ PER_LANGUAGE = 1000
 ROWS, LEAST_ROWS = 16_000, 50
 #: Classes of a group.
 GROUP = 8
+#: Rows whose features (16 KB each) are held at once when texts are short.
+AT_ONCE = 1024
 #: Sampled rows from which a language takes part in the calibration, and the share of right rows it may reject.
 CALIBRATED, LOSS = 20, 0.005
 UNKNOWN = "und"
@@ -84,7 +86,18 @@ def features(data: np.ndarray) -> np.ndarray:
 
 def _rows(part: pa.RecordBatch) -> np.ndarray:
     data, offsets = text_bytes(part.column("text"))
-    return np.stack([features(data[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)])
+    out = np.empty((part.num_rows, DIM), dtype=np.float32)
+    for row, a, b in zip(out, offsets, offsets[1:], strict=False):
+        row[:] = features(data[a:b])
+    return out
+
+
+def _matrix(stored_rows: pa.ChunkedArray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen ones of feature vectors stored as float16, without further copies of them."""
+    out = np.empty((len(chosen), DIM), dtype=np.float32)
+    for row, k in zip(out, chosen.tolist(), strict=True):
+        row[:] = np.frombuffer(stored_rows[k].as_buffer(), dtype=np.float16)
+    return out
 
 
 def has_letter(texts: pa.Array) -> np.ndarray:
@@ -135,13 +148,13 @@ class Model:
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The machines between two groups of classes of one level (family "" holds the families)."""
     for rows in by_key(batches, ["level", "i", "j"]):
+        give_back()
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
         of, group = rows["class"].to_numpy(), rows["own"].to_numpy()
-        x = np.stack([np.frombuffer(r, dtype=np.float16) for r in rows["x"].to_pylist()]).astype(np.float32)
         left, right = np.unique(of[group == i]).tolist(), np.unique(of[group == j]).tolist()
         for a, b in [(a, b) for a in left for b in right if a < b]:
-            pair = (of == a) | (of == b)
-            w = linear_svm(x[pair], np.where(of[pair] == a, 1.0, -1.0)).astype(np.float32)
+            pair = np.flatnonzero((of == a) | (of == b))
+            w = linear_svm(_matrix(rows["x"], pair), np.where(of[pair] == a, 1.0, -1.0)).astype(np.float32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([rows["level"][0].as_py()]), pa.array([a], pa.int32()), pa.array([b], pa.int32()), pa.array([w.tobytes()])],
                 names=["level", "a", "b", "w"])
@@ -189,7 +202,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     rows = rows.select("lang", "text", (enough & (unit_hash(F.col("doc_id"), F.lit("calibrate")) < 0.2) & (drawn > F.col("first"))).alias("calibrate"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, rows=AT_ONCE):
             x = pa.array([r.astype(np.float16).tobytes() for r in _rows(part)])
             yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("calibrate"), x], names=["lang", "calibrate", "x"])
 
@@ -219,7 +232,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     model = model if model is not None else train(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, rows=AT_ONCE):
             letters = has_letter(part.column("text"))
             if model is None:
                 names, score = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
@@ -249,7 +262,7 @@ def keep_identified(docs: DataFrame, least: float | None = None) -> DataFrame:
     least = model.least if least is None else least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, rows=AT_ONCE):
             _, score = model.predict(_rows(part))
             yield part.filter(pa.array((score >= least) & has_letter(part.column("text"))))
 
