@@ -17,9 +17,11 @@ sets are compared, and up to the chance ``MISS`` below) and has four steps:
    taken that the chance of no such part of at least ``SHARED`` shingles is below ``MISS`` for two sets just at the limit;
    where D is small, more than D parts, so that there is one for certain (unless a set's shingles lie in too few parts; then the
    sets of its size also post their prefix, the first ``n - ceil(t * n) + 1`` shingles in order of hashes, of
-   which linked sets share one). Sets that merely have a passage in common rarely agree in a part of several shingles.
-   Classes that share a signature are chained, and connected components of the chain are the *forests* in which
-   links can exist.
+   which linked sets share one). Long sets that merely have a passage in common rarely agree in a part of several shingles;
+   short ones, whose parts are small, often do. So the classes of a signature are a *group*, in which they are compared by
+   sketches of ``SKETCH`` bits (groups with the same members once, a large group in salted blocks): a bit tells whether an odd number of
+   shingles falls on it, so two sets differ in at least as many shingles as their sketches do in bits. Classes that
+   may still link are chained, and connected components of the chain are the *forests* in which links can exist.
 3. the full sets of a forest come together (a second pass over the texts, of which a bitmap of
    fixed size drops most classes in no forest before the shuffle; a set goes as its hashes or as its
    text compressed, whichever is shorter), in salted blocks by size class where a forest is
@@ -64,6 +66,9 @@ LEAST_BLOCK, BLOCK = 2048, 8192
 BLOCK_SHINGLES = 3_000_000
 #: More than the chunks that a size class can have; numbers of chunks are unique within a forest.
 MOST_CHUNKS = 1 << 40
+#: Bits of a sketch, those looked at first (both in words of 64), and classes of a group's salt.
+SKETCH, FIRST = 1024, 512
+GROUP_BLOCK = 4096
 #: Classes that a task remembers as posted, and bits of the filter of wanted classes (4 MB).
 POSTED = 100_000
 FILTER_BITS = 1 << 25
@@ -155,13 +160,27 @@ def _parted(sets: list[np.ndarray], scheme: np.ndarray, parts: np.ndarray, least
     return mix64(total[full] + mark[full]), row[full], used
 
 
-_KEYED = "doc_id long, n int, key long, thin long"
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """``SKETCH`` bits per set, in words of 64: whether an odd number of its hashes falls on the bit."""
+    out = np.zeros((len(sets), SKETCH // 64), dtype=np.uint64)
+    if len(sets):
+        bit = np.concatenate(sets) >> np.uint64(64 - SKETCH.bit_length() + 1)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        np.bitwise_xor.at(out.reshape(-1), row * (SKETCH // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
+_KEYED = "doc_id long, n int, key long, thin long, sketch binary"
 
 
 def _keyed(width: int, percent: int):
-    """Rows (doc_id, n, key, thin): the bits of ``thin`` are schemes in which the set has too few parts in use."""
+    """Rows (doc_id, n, key, thin, sketch): the bits of ``thin`` are schemes in which the set has too few parts in use.
+
+    A class has its sketch once per task (and where there are many classes, a few times).
+    """
 
     def run(batches):
+        told: set[int] = set()  # classes of this task; emptied when it grows large
         for ids, sets in _sets(batches, width):
             n = np.array([len(s) for s in sets], dtype=np.int64)
             thin = np.zeros(len(sets), dtype=np.int64)
@@ -170,8 +189,16 @@ def _keyed(width: int, percent: int):
                 few = (parts > 0) & (_parted(sets, scheme, parts, least)[2] <= differences)
                 thin[few] |= np.int64(1) << scheme[few]
             keys = [class_key(s) if len(s) else None for s in sets]
+            if len(told) > POSTED:
+                told.clear()
+            new = {key: row for row, key in enumerate(keys) if key is not None and key not in told}
+            told.update(new)
+            sketch: list[bytes | None] = [None] * len(sets)
+            for row, bits in zip(new.values(), sketches([sets[row] for row in new.values()]), strict=True):
+                sketch[row] = bits.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n.astype(np.int32)), pa.array(keys, pa.int64()), pa.array(thin)], names=["doc_id", "n", "key", "thin"])
+                [ids, pa.array(n.astype(np.int32)), pa.array(keys, pa.int64()), pa.array(thin), pa.array(sketch, pa.binary())],
+                names=["doc_id", "n", "key", "thin", "sketch"])
 
     return run
 
@@ -252,6 +279,120 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a.copy()), pa.array(b.copy())], names=["a", "b"])
 
 
+_GROUPED = "group long, i int, j int, key long"
+
+
+def _runs(batches: Iterator[pa.RecordBatch], names: list[str], by: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """(columns, starts of runs) of whole runs of rows equal in the first ``by`` columns, many runs at once.
+
+    Columns are numbers, or bytes of ``SKETCH`` bits (as rows of words). The last run waits for the next batch.
+    """
+
+    def column(c: pa.Array) -> np.ndarray:
+        if not pa.types.is_binary(c.type):
+            return c.to_numpy(zero_copy_only=False)
+        return np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)
+
+    held: list[list[np.ndarray]] = []  # parts of one run
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [column(batch.column(c)) for c in names]
+        new = np.ones(batch.num_rows, dtype=bool)
+        new[0] = not held or any(a[0] != b[-1] for a, b in zip(rows[:by], held[-1][:by], strict=True))
+        new[1:] = np.any([c[1:] != c[:-1] for c in rows[:by]], axis=0)
+        starts = np.flatnonzero(new)
+        if not len(starts):
+            held.append(rows)
+            continue
+        held.append([c[: starts[-1]] for c in rows])
+        whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+        before = len(whole[0]) - starts[-1]
+        if len(whole[0]):
+            yield whole, np.unique(np.append(0, starts[:-1] + before))
+        held = [[c[starts[-1] :] for c in rows]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)], np.zeros(1, dtype=np.int64)
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by (token, key): rows (group, i, j, key) for the tokens with several keys.
+
+    ``group`` depends on the keys only, so tokens with the same keys are one group. A group of more than
+    ``GROUP_BLOCK`` keys is dealt into salts, of which every two meet in a block (i, j).
+    """
+
+    def rows(group, i, j, key):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(group), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(key)], names=["group", "i", "j", "key"])
+
+    for (_, keys), starts in _runs(_in_several(batches), ["token", "key"], 1):
+        mixed = mix64(keys.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        size = np.diff(np.append(starts, len(keys)))
+        group = mix64(np.add.reduceat(mixed, starts) + size.astype(np.uint64)).view(np.int64)
+        small = np.repeat(size <= GROUP_BLOCK, size)
+        zero = np.zeros(int(small.sum()), dtype=np.int32)
+        yield rows(np.repeat(group, size)[small], zero, zero, keys[small])
+        for at in np.flatnonzero(size > GROUP_BLOCK):
+            own = slice(starts[at], starts[at] + size[at])
+            salts = -(-size[at] // GROUP_BLOCK)
+            salt = (mixed[own] % np.uint64(salts)).astype(np.int64)
+            for other in range(salts):
+                met = salt != other
+                of = salt[met]
+                yield rows(np.full(len(of), group[at]), np.minimum(of, other), np.maximum(of, other), keys[own][met])
+
+
+def may_link(n: np.ndarray, bits: np.ndarray, x, y, percent: int) -> np.ndarray:
+    """Whether the sizes and sketches of the sets ``x`` and ``y`` (places, or one place) leave a link possible."""
+    a, b = n[x], n[y]
+    most = a + b - 2 * required_overlap(a, b, percent)
+    ok = np.minimum(a, b) * 100 >= np.maximum(a, b) * percent
+    for words in (slice(0, FIRST // 64), slice(None)):
+        at = np.flatnonzero(ok)
+        p, q = (v if np.ndim(v) == 0 else v[at] for v in (x, y))
+        ok[at] = np.bitwise_count(bits[p, words] ^ bits[q, words]).sum(axis=1, dtype=np.int64) <= most[at]
+    return ok
+
+
+def _alike(n: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+    """The component of every set, by the pairs that may link (:func:`may_link`); its number is one of its sets."""
+    out = np.arange(len(n))
+    rest = out.copy()  # in no component yet
+    while len(rest) > 1:
+        first, rest = rest[0], rest[1:]
+        waiting = [first]
+        while waiting and len(rest):
+            near = may_link(n, bits, waiting.pop(), rest, percent)
+            out[rest[near]] = first
+            waiting += rest[near].tolist()
+            rest = rest[~near]
+    return out
+
+
+def _compared(percent: int):
+    """Of rows (group, i, j, key, n, sketch) sorted by (group, i, j): rows (a, b) that chain the classes of a block which may link."""
+
+    def parts(batches):
+        """Rows (token, key, n): a number for each component of a block, sorted."""
+        number = 0
+        for (_, _, _, keys, n, bits), starts in _runs(batches, ["group", "i", "j", "key", "n", "sketch"], 3):
+            n = n.astype(np.int64)
+            size = np.diff(np.append(starts, len(keys)))
+            of = np.arange(len(keys))
+            pairs = starts[size == 2]
+            joined = pairs[may_link(n, bits, pairs, pairs + 1, percent)]
+            of[joined + 1] = joined
+            for a, k in zip(starts[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+                of[a : a + k] = a + _alike(n[a : a + k], bits[a : a + k], percent)
+            order = np.lexsort((keys, of))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(of[order] + number), pa.array(keys[order]), pa.array(n[order].astype(np.int32))], names=["token", "key", "n"])
+            number += len(keys)
+
+    return lambda batches: _chain(parts(batches))
+
+
 def _bitmap(bits: DataFrame, size: int, label: str) -> np.ndarray:
     """A bitmap of ``size`` bits with every ``bit`` (0 to size - 1) set.
 
@@ -483,21 +624,32 @@ def by_token(posted: DataFrame) -> DataFrame:
 
 
 def keyed_sets(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, int]:
-    """``(doc_id, n, key)`` per document, and the schemes in which some set has too few parts in use."""
+    """``(doc_id, n, key, sketch)`` per document, and the schemes in which some set has too few parts in use."""
     sizes = stored(docs.mapInArrow(_keyed(width, percent), _KEYED), "ngram-keyed")
     return sizes.drop("thin"), sizes.agg(F.bit_or("thin")).first()[0] or 0
 
 
+def chained(posted: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: chains of the classes that share a token and whose sketches leave a link possible."""
+    parts = int(posted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = stored(by_token(posted).mapInArrow(_grouped, _GROUPED).distinct(), "ngram-groups")
+    held = sizes.where("sketch IS NOT NULL").join(groups.select("key").distinct(), "key", "left_semi")
+    held = held.groupBy("key").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))  # a class comes once per task that met it
+    blocks = groups.join(held, "key").select("group", "i", "j", "key", "n", "sketch")
+    blocks = blocks.repartition(parts, "group", "i", "j").sortWithinPartitions("group", "i", "j")
+    return blocks.mapInArrow(_compared(percent), "a long, b long")
+
+
 def verified_components(docs: DataFrame, sizes: DataFrame, posted: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row of ``sizes(doc_id, n, key)``.
+    """``(doc_id, n_shingles, component_id)`` per row of ``sizes(doc_id, n, key, sketch)``.
 
-    ``posted(token, key, n)``: what chains classes of sets into forests; two classes that may link share a token.
+    ``posted(token, key, n)``: what brings classes of sets together; two classes that may link share a token.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # forests: classes chained by a token
-    chain = by_token(posted).mapInArrow(_chain, "a long, b long")
+    # forests: classes that share a token and may link, chained
+    chain = chained(posted, sizes, percent)
     width_of_class = -math.log(percent / 100) * 1.000001
     forests = connected_components(chain, "ngram-forests").select(F.col("node").alias("key"), F.col("component").alias("forest"))
 
