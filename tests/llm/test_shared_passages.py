@@ -49,6 +49,20 @@ def test_texts_with_a_common_passage_make_no_forest_in_the_pipeline(spark, monke
     assert seen == [10]
 
 
+def test_classes_in_forests_follow_the_links_not_the_texts_with_a_passage(spark, tmp_path, monkeypatch):
+    from strata.llm import queries
+
+    seen = _inside(monkeypatch)
+    for count in (60, 180):
+        texts = _with_passage(count, 45, 2)
+        texts += [" ".join(texts[k].split()[:-3]) for k in range(4)] + [texts[4].upper()]
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/{count}/documents.parquet")
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op5_ngram_join(spark, f"{tmp_path}/{count}").collect()}
+        want = {k: (82, k) for k in range(count)} | {count + k: (79, k) for k in range(4)} | {count + 4: (82, 4)}
+        assert got == want
+    assert seen == [8, 8]
+
+
 def _batches(rows: list[tuple], names: list[str], types: list[pa.DataType], rng: random.Random) -> list[pa.RecordBatch]:
     out, at = [], 0
     while at < len(rows):
